@@ -16,10 +16,14 @@ REASON = "reject_reason"
 
 
 def _parse(value: Column, schema: T.StructType) -> Column:
+    """Parse once per message.
+
+    A filter on a parsed field would otherwise move below the projection and parse the text once
+    per field it reads. Filters do not move below `explode`.
+    """
     with_bad = T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
-    return F.from_json(
-        value.cast("string"), with_bad, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD}
+    return F.explode(F.array(F.from_json(value.cast("string"), with_bad, options)))
 
 
 def _nothing_read(parsed: str, schema: T.StructType) -> Column:

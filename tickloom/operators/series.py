@@ -1,24 +1,23 @@
 """Ordered series at scale: windows per symbol without a task per symbol.
 
-`Window.partitionBy(symbol)` sends a whole symbol to one task. Here a symbol
-with more rows than one task should hold is cut along time into chunks, and each
-chunk also gets a copy of the `look_back` rows before it (its halo). A window over
-(symbol, chunk) then sees every row that a bounded frame can reach, so results are
-the same as over the whole symbol. Cost: two column-pruned passes that count rows,
-then one shuffle of the data, as for the plain window. When no symbol is large, the
-chunk table is empty and only the first counting pass is extra work.
+`Window.partitionBy(symbol)` sends a whole symbol to one task. Here a symbol with more
+rows than one task should hold is cut along time into chunks, and each chunk also gets a
+copy of the `look_back` rows before it (its halo). A window over (symbol, chunk) then sees
+every row that a bounded frame can reach, so results are the same as over the whole symbol.
+
+Cost: column-pruned passes that count rows, then one shuffle of the data, as for the plain
+window. When no symbol is large the tables of cuts are empty and the joins with them fall
+away at run time, so only the first counting pass is extra work.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-
-from tickloom.functions.columns import micros
+from pyspark.sql import types as T
 
 CHUNK = "_chunk"
 BLOCK = "_block"
@@ -29,16 +28,20 @@ HALO = "_halo"
 class Split:
     """How large symbols are cut.
 
-    A symbol is cut when it has more than L rows, L = max(`rows`, all rows / `max_chunks`).
-    So at most `max_chunks` symbols are cut, into at most 2 * `slices` * `max_chunks` time
-    slices in all: this bounds the two broadcast tables whatever the size of the data.
-    `slices` is the number of counted slices per chunk; consecutive slices are put together
-    until they hold L rows, which evens out busy and quiet hours.
+    A symbol is cut when it has more than L rows, L = max(`rows`, all rows / `max_chunks`). Its
+    time span is counted in equal slices, `slices` per expected chunk; a slice that still has
+    more than L rows (a burst, or a stray date that stretches the span) is counted again in
+    equal steps between its own first and last time, or along the tie-breaker when all its rows
+    have one time or none. Consecutive slices then form chunks of about L rows.
+
+    At most `max_chunks` symbols and `max_chunks` slices exceed L, and they are cut into at most
+    4 * `slices` * `max_chunks` pieces in all. This bounds the broadcast tables whatever the size
+    of the data: a million short rows with the defaults.
     """
 
     rows: int = 1_000_000
     max_chunks: int = 131_072
-    slices: int = 4
+    slices: int = 2
 
 
 DEFAULT_SPLIT = Split()
@@ -64,95 +67,122 @@ def split_series(
     """
     keys = as_keys(keys)
     totals = dict(totals or {})
-    lean = df.select(*keys, micros(F.col(order[0])).alias("_at"), *[v.alias(k) for k, v in totals.items()])
-
-    per_key = lean.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_at").alias("_lo"), F.max("_at").alias("_hi")
-    )
-    limit = per_key.agg(
-        F.greatest(
-            F.lit(max(split.rows, look_back + 1)), F.ceil(F.sum("_n") / F.lit(split.max_chunks))
-        ).cast("bigint")
-    ).scalar()
+    at = f"unix_micros(CAST(`{order[0]}` AS TIMESTAMP)) AS _at"
+    tie = f"{_tie_breaker(df, order)} AS _tie"
+    lean = df.select(*keys, F.expr(at), F.expr(tie), *[value.alias(name) for name, value in totals.items()])
+
+    per_key = lean.groupBy(*keys).agg(F.expr("count(1) AS _n"), F.expr("min(_at) AS _lo"), F.expr("max(_at) AS _hi"))
+    # Counting all rows reads no column of a Parquet table.
+    rows = max(split.rows, look_back + 1)
+    limit = lean.selectExpr(f"greatest({rows}, CAST(ceil(count(1) / {split.max_chunks}) AS BIGINT))").scalar()
     large = (
         per_key.withColumn("_limit", limit)
-        .where(F.col("_n") > F.col("_limit"))
-        .select(
-            *[F.col(k).alias(f"_l_{k}") for k in keys],
-            "_lo",
-            "_limit",
-            F.greatest(
-                F.lit(1), F.ceil((F.col("_hi") - F.col("_lo") + 1) / (split.slices * F.ceil(F.col("_n") / F.col("_limit"))))
-            ).cast("bigint").alias("_width"),
+        .where("_n > _limit")
+        .selectExpr(
+            *[f"`{k}` AS `_l_{k}`" for k in keys], "_lo", "_limit", f"{_step('_lo', '_hi', split.slices)} AS _width"
         )
     )
-    chunks = _chunk_table(lean, large, keys, look_back, list(totals))
-
-    out = (
-        df.withColumn("_at", micros(F.col(order[0])))
-        .join(F.broadcast(large.drop("_limit")), _same(keys, "_l_"), "left")
-        .withColumn("_slice", _slice())
-        .join(F.broadcast(chunks), _same([*keys, "_slice"], "_c_"), "left")
-        .withColumn("_own", F.coalesce(F.col("_targets")[0], F.lit(0).cast("bigint")))
-        .withColumn(CHUNK, F.explode(F.coalesce("_targets", F.array(F.lit(0).cast("bigint")))))
-        .withColumn(HALO, F.col(CHUNK) != F.col("_own"))
-    )
-    return out.select(
-        *df.columns,
-        CHUNK,
-        HALO,
-        *[F.coalesce(F.col(f"_t_{t}"), F.lit(0)).alias(t) for t in totals],
+    of_large = lean.join(F.broadcast(large), F.expr(_same(keys, "_l_"))).selectExpr("*", f"{_SLICE} AS _slice")
+    busy = _busy_slices(of_large, keys, split.slices)
+    chunks = _chunk_table(of_large, busy, keys, look_back, list(totals))
+
+    own_columns = [f"`{c}`" for c in df.columns]
+    return (
+        df.select("*", F.expr(at), F.expr(tie))
+        .join(F.broadcast(large.drop("_limit")), F.expr(_same(keys, "_l_")), "left")
+        .selectExpr(*own_columns, "_at", "_tie", f"{_SLICE} AS _slice")
+        .join(F.broadcast(busy), F.expr(_same([*keys, "_slice"], "_b_")), "left")
+        .selectExpr(*own_columns, "_slice", f"{_PIECE} AS _piece")
+        .join(F.broadcast(chunks), F.expr(_same([*keys, "_slice", "_piece"], "_c_")), "left")
+        .selectExpr(
+            *own_columns,
+            *[f"coalesce(`_t_{t}`, 0) AS `{t}`" for t in totals],
+            "coalesce(_targets[0], 0L) AS _own",
+            f"explode(coalesce(_targets, array(0L))) AS {CHUNK}",
+        )
+        .selectExpr("* EXCEPT (_own)", f"{CHUNK} <> _own AS {HALO}")
     )
 
 
-def _same(keys: Sequence[str], prefix: str) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(prefix + k)) for k in keys])
+def _tie_breaker(df: DataFrame, order: Sequence[str]) -> str:
+    """The second order column, where it is an integer that can be cut into steps."""
+    integral = len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.IntegralType)
+    return f"CAST(`{order[1]}` AS BIGINT)" if integral else "CAST(NULL AS BIGINT)"
+
+
+def _step(lo: str, hi: str, slices: int) -> str:
+    return f"greatest(1L, CAST(ceil((CAST({hi} AS DOUBLE) - {lo} + 1) / ({slices} * ceil(_n / _limit))) AS BIGINT))"
 
 
-def _slice() -> Column:
-    # Rows without a time sort first, so they go to the first slice.
-    return F.when(F.col("_width").isNotNull(), F.coalesce(F.expr("(_at - _lo) div _width"), F.lit(0)))
+# Null times and null tie-breakers sort first, hence -1. Rows of small symbols have no slice.
+_SLICE = "CASE WHEN _width IS NOT NULL THEN coalesce((_at - _lo) div _width, -1L) END"
+_PIECE = "CASE WHEN _step IS NULL THEN 0L ELSE coalesce((CASE WHEN _by_tie THEN _tie ELSE _at END - _from) div _step, -1L) END"
+
+
+def _same(keys: Sequence[str], prefix: str) -> str:
+    return " AND ".join(f"`{k}` <=> `{prefix}{k}`" for k in keys)
+
+
+def _busy_slices(of_large: DataFrame, keys: list[str], slices: int) -> DataFrame:
+    """The slices with more than L rows, and the steps in which they are counted again."""
+    return (
+        of_large.groupBy(*keys, "_slice", "_limit")
+        .agg(
+            F.expr("count(1) AS _n"),
+            F.expr("min(_at) AS _at_lo"),
+            F.expr("max(_at) AS _at_hi"),
+            F.expr("min(_tie) AS _tie_lo"),
+            F.expr("max(_tie) AS _tie_hi"),
+        )
+        .where("_n > _limit")
+        .selectExpr("*", "_at_lo <=> _at_hi AS _by_tie")
+        .selectExpr(
+            *[f"`{k}` AS `_b_{k}`" for k in keys],
+            "_slice AS _b__slice",
+            "_by_tie",
+            "CASE WHEN _by_tie THEN _tie_lo ELSE _at_lo END AS _from",
+            f"""CASE WHEN NOT _by_tie THEN {_step('_at_lo', '_at_hi', slices)}
+                WHEN _tie_lo IS NOT NULL THEN {_step('_tie_lo', '_tie_hi', slices)} END AS _step""",
+        )
+    )
 
 
 def _chunk_table(
-    lean: DataFrame, large: DataFrame, keys: list[str], look_back: int, totals: list[str]
+    of_large: DataFrame, busy: DataFrame, keys: list[str], look_back: int, totals: list[str]
 ) -> DataFrame:
-    """(key, slice) of the large symbols -> the chunks its rows belong to, own chunk first."""
-    slices = (
-        lean.join(F.broadcast(large), _same(keys, "_l_"))
-        .withColumn("_slice", _slice())
-        .groupBy(*keys, "_slice", "_limit")
-        .agg(F.count(F.lit(1)).alias("_n"), *[F.sum(t).alias(t) for t in totals])
+    """(key, slice, piece) of the large symbols -> the chunks its rows belong to, own chunk first."""
+    by_key = ", ".join(f"`{k}`" for k in keys)
+    earlier = f"OVER (PARTITION BY {by_key} ORDER BY _slice, _piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    placed = (
+        of_large.join(F.broadcast(busy), F.expr(_same([*keys, "_slice"], "_b_")), "left")
+        .selectExpr("*", f"{_PIECE} AS _piece")
+        .groupBy(*keys, "_slice", "_piece", "_limit")
+        .agg(F.expr("count(1) AS _n"), *[F.expr(f"sum(`{t}`) AS `{t}`") for t in totals])
+        .selectExpr(
+            *[f"`{k}`" for k in keys],
+            "_slice",
+            "_piece",
+            f"coalesce(sum(_n) {earlier}, 0L) AS _before",
+            "_n",
+            "_limit",
+            *[f"coalesce(sum(`{t}`) {earlier}, 0) AS `{t}`" for t in totals],
+        )
+        .selectExpr("*", "_before div _limit AS _own", "_before + _n AS _end")
+        .selectExpr("*", f"lead(_own) OVER (PARTITION BY {by_key} ORDER BY _slice, _piece) AS _next")
     )
-    in_order = Window.partitionBy(*keys).orderBy("_slice")
-    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    placed = slices.select(
-        *keys,
-        "_slice",
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
-        "_n",
-        "_limit",
-        *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(t) for t in totals],
-    ).select(
-        *keys,
-        "_slice",
-        F.expr("_before div _limit").alias("_own"),
-        (F.col("_before") + F.col("_n")).alias("_end"),
-        *totals,
+    # A chunk that starts within `look_back` rows after a piece needs the piece's rows.
+    halo = (
+        f"""collect_list(CASE WHEN _next <> _own THEN _next END) OVER (
+            PARTITION BY {by_key} ORDER BY _end RANGE BETWEEN CURRENT ROW AND {look_back - 1} FOLLOWING)"""
+        if look_back
+        else "array()"
     )
-    placed = placed.withColumn("_next", F.lead("_own").over(in_order))
-    targets = F.array("_own")
-    if look_back:
-        # A chunk that starts within `look_back` rows after this slice needs its rows.
-        reach = Window.partitionBy(*keys).orderBy("_end").rangeBetween(0, look_back - 1)
-        starts = F.when(F.col("_next") != F.col("_own"), F.col("_next"))
-        targets = F.concat(targets, F.collect_list(starts).over(reach))
-    in_chunk = Window.partitionBy(*keys, "_own").orderBy("_slice")
-    return placed.select(
-        *[F.col(k).alias(f"_c_{k}") for k in keys],
-        F.col("_slice").alias("_c__slice"),
-        targets.alias("_targets"),
-        *[F.first(t).over(in_chunk).alias(f"_t_{t}") for t in totals],
+    return placed.selectExpr(
+        *[f"`{k}` AS `_c_{k}`" for k in keys],
+        "_slice AS _c__slice",
+        "_piece AS _c__piece",
+        f"concat(array(_own), {halo}) AS _targets",
+        *[f"first(`{t}`) OVER (PARTITION BY {by_key}, _own ORDER BY _slice, _piece) AS `_t_{t}`" for t in totals],
     )
 
 
@@ -165,14 +195,15 @@ def split_blocks(
     No shuffle, as (symbol, chunk, block) is already grouped by (symbol, chunk).
     """
     rows = max(rows, 4 * look_back)
-    position = F.row_number().over(Window.partitionBy(*as_keys(keys), CHUNK).orderBy(*order)) - 1
-    own = F.expr(f"_pos div {rows}")
-    targets = F.when(F.col("_pos") % rows >= rows - look_back, F.array(own, own + 1)).otherwise(F.array(own))
+    position = F.row_number().over(chunk_window(keys, order)) - 1
     return (
         df.withColumn("_pos", position)
-        .withColumn(BLOCK, F.explode(targets))
-        .withColumn(HALO, F.col(HALO) | (F.col(BLOCK) != own))
-        .drop("_pos")
+        .selectExpr(
+            "*",
+            f"""explode(CASE WHEN _pos % {rows} >= {rows - look_back}
+                THEN array(_pos div {rows}, _pos div {rows} + 1) ELSE array(_pos div {rows}) END) AS {BLOCK}""",
+        )
+        .selectExpr(f"* EXCEPT (_pos, {HALO})", f"{HALO} OR {BLOCK} <> _pos div {rows} AS {HALO}")
     )
 
 

@@ -73,9 +73,12 @@ def diff(column: str, out: str) -> Study:
 
 def trend(column: str = "sma", out: str = "trend", labels: Sequence[str] = ("up", "down", "flat")) -> Study:
     """Direction of the change against the row before; the first row is flat."""
-    return Study(
-        1, lambda df, w: df.withColumn(out, direction(F.col(column) - F.lag(column).over(w), labels))
-    )
+
+    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
+        changed = df.withColumn("_change", F.col(column) - F.lag(column).over(w))
+        return changed.withColumn(out, direction(F.col("_change"), labels)).drop("_change")
+
+    return Study(1, add)
 
 
 def bollinger(price: str = "close", n: int = 15, width: float = 2.0, prefix: str = "bb") -> Study:
@@ -99,10 +102,9 @@ def volume_direction(
     """Up when the price is not below the row before; null on the first row."""
 
     def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        previous = F.lag(price).over(w)
-        return df.withColumn(
-            out, F.when(F.col(price) >= previous, labels[0]).when(F.col(price) < previous, labels[1])
-        )
+        followed = df.withColumn("_previous", F.lag(price).over(w))
+        rose, fell = F.col(price) >= F.col("_previous"), F.col(price) < F.col("_previous")
+        return followed.withColumn(out, F.when(rose, labels[0]).when(fell, labels[1])).drop("_previous")
 
     return Study(1, add)
 
