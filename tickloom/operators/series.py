@@ -5,9 +5,9 @@ rows than one task should hold is cut along time into chunks, and each chunk als
 copy of the `look_back` rows before it (its halo). A window over (symbol, chunk) then sees
 every row that a bounded frame can reach, so results are the same as over the whole symbol.
 
-Cost: column-pruned passes that count rows, then one shuffle of the data, as for the plain
-window. When no symbol is large the tables of cuts are empty and the joins with them fall
-away at run time, so only the first counting pass is extra work.
+Cost: one job counts the rows per symbol, with map-side combining and two columns read. When
+no symbol is large, the plain window follows. Else two more such passes find the cuts, and then
+the data is shuffled once, as for the plain window.
 """
 
 from __future__ import annotations
@@ -82,6 +82,9 @@ def split_series(
             *[f"`{k}` AS `_l_{k}`" for k in keys], "_lo", "_limit", f"{_step('_lo', '_hi', split.slices)} AS _width"
         )
     )
+    if large.isEmpty():
+        return df.select("*", *[F.lit(0).alias(t) for t in totals], F.lit(0).cast("bigint").alias(CHUNK), F.lit(False).alias(HALO))
+
     of_large = lean.join(F.broadcast(large), F.expr(_same(keys, "_l_"))).selectExpr("*", f"{_SLICE} AS _slice")
     busy = _busy_slices(of_large, keys, split.slices)
     chunks = _chunk_table(of_large, busy, keys, look_back, list(totals))

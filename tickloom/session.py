@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +28,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="tickloom-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder name for checkpoints and tables that a job writes and reads back.
 
@@ -38,6 +44,5 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
