@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,9 +198,8 @@ def split_blocks(
     No shuffle, as (symbol, chunk, block) is already grouped by (symbol, chunk).
     """
     rows = max(rows, 4 * look_back)
-    position = F.row_number().over(chunk_window(keys, order)) - 1
     return (
-        df.withColumn("_pos", position)
+        df.selectExpr("*", f"row_number() OVER ({chunk_window(keys, order)}) - 1 AS _pos")
         .selectExpr(
             "*",
             f"""explode(CASE WHEN _pos % {rows} >= {rows - look_back}
@@ -210,8 +209,10 @@ def split_blocks(
     )
 
 
-def chunk_window(keys: str | Sequence[str], order: Sequence[str], blocks: bool = False) -> WindowSpec:
-    return Window.partitionBy(*as_keys(keys), CHUNK, *([BLOCK] if blocks else [])).orderBy(*order)
+def chunk_window(keys: str | Sequence[str], order: Sequence[str], blocks: bool = False) -> str:
+    """The window over a symbol's chunk, as SQL text."""
+    columns = [*as_keys(keys), CHUNK, *([BLOCK] if blocks else [])]
+    return "PARTITION BY {} ORDER BY {}".format(*(", ".join(f"`{c}`" for c in part) for part in (columns, order)))
 
 
 def drop_halo(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ import math
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import direction
@@ -28,8 +28,10 @@ from tickloom.operators.series import (
 
 @dataclass(frozen=True)
 class Study:
+    """`add(df, window)` gets the SQL text of the window, `PARTITION BY ... ORDER BY ...`."""
+
     look_back: int
-    add: Callable[[DataFrame, WindowSpec], DataFrame]
+    add: Callable[[DataFrame, str], DataFrame]
     many_steps: bool = False
 
 
@@ -52,30 +54,40 @@ def with_studies(
     return drop_halo(out)
 
 
+def _plus(df: DataFrame, **columns: str) -> DataFrame:
+    """Add columns by SQL expression."""
+    return df.selectExpr("*", *[f"{expr} AS `{name}`" for name, expr in columns.items()])
+
+
+def _last(n: int) -> str:
+    return f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW"
+
+
 def sma(price: str = "close", n: int = 3, out: str = "sma", full: bool = False) -> Study:
     """Mean of the current and the n - 1 rows before it, nulls left out.
 
     The first rows average what there is; with `full` they get null until n prices exist.
     """
 
-    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        frame = w.rowsBetween(1 - n, 0)
-        mean = F.avg(price).over(frame)
-        return df.withColumn(out, F.when(F.count(price).over(frame) == n, mean) if full else mean)
+    def add(df: DataFrame, w: str) -> DataFrame:
+        mean = f"avg(`{price}`) OVER ({w} {_last(n)})"
+        if full:
+            mean = f"CASE WHEN count(`{price}`) OVER ({w} {_last(n)}) = {n} THEN {mean} END"
+        return _plus(df, **{out: mean})
 
     return Study(n - 1, add)
 
 
 def diff(column: str, out: str) -> Study:
     """Change against the row before; null on a symbol's first row."""
-    return Study(1, lambda df, w: df.withColumn(out, F.col(column) - F.lag(column).over(w)))
+    return Study(1, lambda df, w: _plus(df, **{out: f"`{column}` - lag(`{column}`) OVER ({w})"}))
 
 
 def trend(column: str = "sma", out: str = "trend", labels: Sequence[str] = ("up", "down", "flat")) -> Study:
     """Direction of the change against the row before; the first row is flat."""
 
-    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        changed = df.withColumn("_change", F.col(column) - F.lag(column).over(w))
+    def add(df: DataFrame, w: str) -> DataFrame:
+        changed = _plus(df, _change=f"`{column}` - lag(`{column}`) OVER ({w})")
         return changed.withColumn(out, direction(F.col("_change"), labels)).drop("_change")
 
     return Study(1, add)
@@ -84,14 +96,17 @@ def trend(column: str = "sma", out: str = "trend", labels: Sequence[str] = ("up"
 def bollinger(price: str = "close", n: int = 15, width: float = 2.0, prefix: str = "bb") -> Study:
     """Mean and mean +/- `width` sample deviations over n rows; null until n prices exist."""
 
-    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        frame = w.rowsBetween(1 - n, 0)
-        full = F.count(price).over(frame) == n
-        mean = F.when(full, F.avg(price).over(frame))
-        spread = F.when(full, width * F.stddev_samp(price).over(frame))
-        return df.withColumns(
-            {f"{prefix}_mid": mean, f"{prefix}_upper": mean + spread, f"{prefix}_lower": mean - spread}
+    def add(df: DataFrame, w: str) -> DataFrame:
+        frame = f"OVER ({w} {_last(n)})"
+        banded = _plus(
+            df,
+            _n=f"count(`{price}`) {frame}",
+            _mean=f"avg(`{price}`) {frame}",
+            _spread=f"{width}D * stddev_samp(`{price}`) {frame}",
         )
+        bands = {"mid": "_mean", "upper": "_mean + _spread", "lower": "_mean - _spread"}
+        full = {f"{prefix}_{k}": f"CASE WHEN _n = {n} THEN {v} END" for k, v in bands.items()}
+        return _plus(banded, **full).drop("_n", "_mean", "_spread")
 
     return Study(n - 1, add)
 
@@ -101,89 +116,80 @@ def volume_direction(
 ) -> Study:
     """Up when the price is not below the row before; null on the first row."""
 
-    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
-        followed = df.withColumn("_previous", F.lag(price).over(w))
+    def add(df: DataFrame, w: str) -> DataFrame:
+        followed = _plus(df, _previous=f"lag(`{price}`) OVER ({w})")
         rose, fell = F.col(price) >= F.col("_previous"), F.col(price) < F.col("_previous")
         return followed.withColumn(out, F.when(rose, labels[0]).when(fell, labels[1])).drop("_previous")
 
     return Study(1, add)
 
 
-def _strength(gain: Column, loss: Column) -> Column:
-    return F.when(loss > 0, 100 - 100 / (1 + gain / loss)).when((loss == 0) & (gain > 0), 100.0)
-
-
 def rsi(price: str = "close", n: int = 14, out: str = "rsi", wilder: bool = False) -> Study:
     """Relative strength over n changes; null until n changes exist or when nothing moved.
 
     Means are simple; with `wilder` they are exponential with weight 1/n, from the first change.
     """
 
-    def changes(df: DataFrame, w: WindowSpec) -> DataFrame:
-        return df.withColumn("_d", F.col(price) - F.lag(price).over(w)).withColumns(
-            {"_up": F.greatest("_d", F.lit(0.0)), "_down": F.greatest(-F.col("_d"), F.lit(0.0))}
-        )
+    def add(df: DataFrame, w: str) -> DataFrame:
+        moves = _plus(df, _d=f"`{price}` - lag(`{price}`) OVER ({w})")
+        moves = _plus(moves, _up="if(_d > 0, _d, _d * 0)", _down="if(_d < 0, -_d, _d * 0)")
+        if wilder:
+            means = _smooth(moves, w, {"_g": ("_up", 1 / n), "_l": ("_down", 1 / n)})
+            means = _plus(means, _m=f"count(_d) OVER ({w} {_last(n)})")
+        else:
+            frame = f"OVER ({w} {_last(n)})"
+            means = _plus(moves, _g=f"avg(_up) {frame}", _l=f"avg(_down) {frame}", _m=f"count(_d) {frame}")
+        strength = f"""CASE WHEN _m < {n} THEN NULL WHEN _l > 0 THEN 100 - 100 / (1 + _g / _l)
+            WHEN _g > 0 THEN 100D END"""
+        return _plus(means, **{out: strength}).drop("_d", "_up", "_down", "_g", "_l", "_m")
 
-    def add_simple(df: DataFrame, w: WindowSpec) -> DataFrame:
-        frame = w.rowsBetween(1 - n, 0)
-        gains = changes(df, w).withColumns(
-            {
-                "_g": F.avg("_up").over(frame),
-                "_l": F.avg("_down").over(frame),
-                "_m": F.count("_d").over(frame),
-            }
-        )
-        # greatest() skips nulls, so the first row's moves are 0 and only `_m` tells it apart.
-        value = F.when(F.col("_m") == n, _strength(F.col("_g"), F.col("_l")))
-        return gains.withColumn(out, value).drop("_d", "_up", "_down", "_g", "_l", "_m")
+    if wilder:
+        return Study(n + memory_rows(1 / n), add, many_steps=True)
+    return Study(n, add)
 
-    def add_wilder(df: DataFrame, w: WindowSpec) -> DataFrame:
-        gains = changes(df, w).withColumns(
-            {c: F.when(F.col("_d").isNotNull(), F.col(c)) for c in ("_up", "_down")}
-        )
-        gains = gains.withColumn("_m", F.count("_d").over(w.rowsBetween(1 - n, 0)))
-        gains = _smooth(gains, w, {"_g": ("_up", 1 / n), "_l": ("_down", 1 / n)})
-        value = F.when(F.col("_m") == n, _strength(F.col("_g"), F.col("_l")))
-        return gains.withColumn(out, value).drop("_d", "_up", "_down", "_g", "_l", "_m")
 
-    if wilder:
-        return Study(n + memory_rows(1 / n), add_wilder, many_steps=True)
-    return Study(n, add_simple)
+# Rows per step of the exponential sums.
+_FAN = 8
 
 
 def memory_rows(alpha: float) -> int:
-    """Rows after which (1 - alpha)^rows is below 2^-53, as a power of two.
+    """Rows after which (1 - alpha)^rows is below 2^-53, as a power of `_FAN`.
 
     What lies further back weighs less than half a unit in the last place of a double.
     """
     if alpha >= 1:
         return 1
-    return 2 ** math.ceil(math.log2(-53 * math.log(2) / math.log1p(-alpha)))
+    return _FAN ** math.ceil(math.log(-53 * math.log(2) / math.log1p(-alpha), _FAN))
 
 
-def _smooth(df: DataFrame, w: WindowSpec, columns: Mapping[str, tuple[str, float]]) -> DataFrame:
+def _smooth(df: DataFrame, w: str, columns: Mapping[str, tuple[str, float]]) -> DataFrame:
     """Exponential means y = a*x + (1-a)*y_prev, the first non-null value as the start.
 
-    The recurrence is summed by doubling: with S(1) = a*x, S(2k)[i] = S(k)[i] + (1-a)^k S(k)[i-k]
-    covers 2k rows, so each step is one `lag` and a history of m rows takes log2(m) steps.
+    The recurrence is summed in a few steps of lags: S(1) = a*x, and with q = 1 - a the sum
+    S(fk)[i] = S(k)[i] + q^k S(k)[i-k] + q^2k S(k)[i-2k] + ... over f terms covers f*k rows. So a
+    history of m rows takes log(m) window steps, all over the same sorted rows.
     Nulls may only come before the first value.
     """
-    start = {
-        out: F.when(F.col(x).isNull(), F.lit(0.0))
-        .when(F.lag(x).over(w).isNull(), F.col(x))
-        .otherwise(alpha * F.col(x))
-        for out, (x, alpha) in columns.items()
-    }
-    df = df.withColumns(start)
+    plain = [f"`{c}`" for c in df.columns]
+    df = _plus(
+        df,
+        **{
+            out: f"""CASE WHEN `{x}` IS NULL THEN 0D WHEN lag(`{x}`) OVER ({w}) IS NULL THEN `{x}`
+                ELSE `{x}` * {alpha!r}D END"""
+            for out, (x, alpha) in columns.items()
+        },
+    )
     reach = 1
-    while open_ := {o: a for o, (_, a) in columns.items() if memory_rows(a) > reach}:
-        df = df.withColumns(
-            {
-                o: F.col(o) + (1 - a) ** reach * F.coalesce(F.lag(o, reach).over(w), F.lit(0.0))
-                for o, a in open_.items()
-            }
-        )
-        reach *= 2
+    while reach < max(memory_rows(a) for _, a in columns.values()):
+        sums = []
+        for out, (_, alpha) in columns.items():
+            terms = [f"`{out}`"]
+            if memory_rows(alpha) > reach:
+                lags = [reach * j for j in range(1, _FAN)]
+                terms += [f"{(1 - alpha) ** k!r}D * lag(`{out}`, {k}, 0D) OVER ({w})" for k in lags]
+            sums.append(f"{' + '.join(reversed(terms))} AS `{out}`")
+        df = df.selectExpr(*plain, *sums)
+        reach *= _FAN
     return df
 
 
@@ -197,11 +203,11 @@ def macd(price: str = "close", fast: int = 12, slow: int = 26, signal: int = 9)
     """Columns macd (fast EMA - slow EMA), macd_signal (EMA of macd) and macd_hist."""
     a_fast, a_slow, a_signal = (2 / (n + 1) for n in (fast, slow, signal))
 
-    def add(df: DataFrame, w: WindowSpec) -> DataFrame:
+    def add(df: DataFrame, w: str) -> DataFrame:
         both = _smooth(df, w, {"_fast": (price, a_fast), "_slow": (price, a_slow)})
-        line = both.withColumn("macd", F.col("_fast") - F.col("_slow")).drop("_fast", "_slow")
+        line = _plus(both, macd="_fast - _slow").drop("_fast", "_slow")
         line = _smooth(line, w, {"macd_signal": ("macd", a_signal)})
-        return line.withColumn("macd_hist", F.col("macd") - F.col("macd_signal"))
+        return _plus(line, macd_hist="macd - macd_signal")
 
     return Study(
         max(memory_rows(a_fast), memory_rows(a_slow)) + memory_rows(a_signal), add, many_steps=True
@@ -250,5 +256,6 @@ def cumulative_sum(
 ) -> DataFrame:
     """Running sum per symbol. Use a DECIMAL value where the sum must not depend on grouping."""
     carried = split_series(df, keys, order, totals={"_carry": value}, split=split)
-    running = F.sum(value).over(chunk_window(keys, order).rowsBetween(Window.unboundedPreceding, 0))
-    return drop_halo(carried.withColumn(out, F.col("_carry") + running)).drop("_carry")
+    running = f"sum(_value) OVER ({chunk_window(keys, order)} ROWS UNBOUNDED PRECEDING)"
+    summed = _plus(carried.withColumn("_value", value), **{out: f"_carry + {running}"})
+    return drop_halo(summed.drop("_carry", "_value"))
