@@ -201,3 +201,48 @@ def test_scratch_folder_comes_from_the_session(tmp_path):
     assert scratch_dir(Session("local[2]", None), "x")
     with pytest.raises(ValueError):
         scratch_dir(Session("yarn", None), "x")
+
+
+def test_store_is_read_by_day(spark, ticks, tmp_path):
+    from tickloom.operators.select import time_range
+    from tickloom.sinks.store import write_store, write_store_batches
+
+    path = str(tmp_path / "store")
+    write_store(ticks, path)
+    recent = time_range(spark.read.parquet(path), "1 day", "2024-01-15 12:00:00", day="day")
+    want = time_range(ticks, "1 day", "2024-01-15 12:00:00")
+    assert answers(recent, "symbol", "seq") == answers(want, "symbol", "seq")
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert "day" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+    batches = str(tmp_path / "batches")
+    write = write_store_batches(batches)
+    write(ticks, 0)
+    write(ticks, 0)
+    assert spark.read.parquet(batches).count() == ticks.count()
+
+
+STUDIES = [T.sma(), T.trend(), T.rsi(), T.macd(), T.bollinger()]
+
+
+@pytest.mark.parametrize("parts", [1, 4])
+def test_carried_studies_equal_batch(spark, ticks, tmp_path, parts):
+    from tickloom.operators.series import Split
+    from tickloom.streaming.carried import carry_studies
+
+    src, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = ticks.select("symbol", "ts", "seq", "close").cache()
+    feed(rows, src, parts)
+    receiver = carry_studies(STUDIES, str(tmp_path / "tail"), write_parquet(out), split=Split(rows=40))
+
+    def twice(batch, batch_id):
+        # As after a failure between the write and the commit of the batch.
+        receiver(batch, batch_id)
+        receiver(batch, batch_id)
+
+    start_batches(
+        source(spark, rows, src), twice, str(tmp_path / "cp"), trigger={"availableNow": True}, skip_empty=False
+    ).awaitTermination()
+    names = ["sma", "rsi", "macd", "macd_signal", "bb_upper"]
+    rounded = ["symbol", "seq", "trend", *[F.round(n, 6).alias(n) for n in names]]
+    assert answers(spark.read.parquet(out), *rounded) == answers(T.with_studies(rows, STUDIES), *rounded)

@@ -68,15 +68,22 @@ def subscribe(
 
 
 def time_range(
-    df: DataFrame, interval: str = "1 minute", as_of: datetime | str | None = None, ts: str = "ts"
+    df: DataFrame,
+    interval: str = "1 minute",
+    as_of: datetime | str | None = None,
+    ts: str = "ts",
+    day: str | None = None,
 ) -> DataFrame:
     """Rows of the last `interval` before `as_of` (default now): start included, stop not.
 
-    The bounds get the column's own type, so the filter reaches a Parquet or JDBC scan.
+    The bounds get the column's own type, so the filter reaches a Parquet or JDBC scan. For a
+    store partitioned by the date of `ts`, name that column as `day` to skip whole partitions.
     """
     kind = df.schema[ts].dataType.simpleString()
     stop = F.current_timestamp() if as_of is None else F.lit(as_of).cast("timestamp")
     start = stop - F.expr(f"interval {interval}")
+    if day is not None:
+        df = df.where(F.col(day).between(start.cast("date"), stop.cast("date")))
     return df.where((F.col(ts) >= start.cast(kind)) & (F.col(ts) < stop.cast(kind)))
 
 

@@ -156,6 +156,11 @@ _SESSION = f"""WITH {_TICKS}
 SELECT symbol, ts, seq, price FROM ticks
 WHERE isodow(ts) <= 5 AND CAST(ts AS TIME) BETWEEN TIME '09:29:00' AND TIME '16:00:00'"""
 
+# The events lie in January, when New York is five hours behind UTC.
+_SESSION_NEW_YORK = f"""WITH {_TICKS}
+SELECT symbol, ts, seq, price FROM ticks WHERE isodow(ts - INTERVAL 5 HOUR) <= 5
+  AND CAST(ts - INTERVAL 5 HOUR AS TIME) BETWEEN TIME '07:59:00' AND TIME '16:00:00'"""
+
 _SIGNALS = f"""WITH {_TICKS}
 SELECT symbol, ts, seq, close, CASE WHEN close < 100 THEN 'buy' ELSE 'sell' END AS signal
 FROM ticks WHERE close < 100 OR close > 200"""
@@ -311,6 +316,7 @@ ORACLE_SQL: dict[str, str] = {
     "sma_trend_counts": _sma_trend("SELECT symbol, trend, count(*) AS n FROM labelled GROUP BY ALL"),
     "sma_trend": _sma_trend("SELECT * FROM labelled"),
     "sma_trend_split": _sma_trend("SELECT * FROM labelled"),
+    "sma_trend_stream": _sma_trend("SELECT * FROM labelled"),
     "sma_full_window": _SMA_FULL,
     "sma_stream": _SMA_FULL,
     "rsi_14": _RSI,
@@ -333,6 +339,7 @@ ORACLE_SQL: dict[str, str] = {
     "points": _POINTS,
     "subscribe_filter": _SUBSCRIBE,
     "market_session": _SESSION,
+    "market_session_new_york": _SESSION_NEW_YORK,
     "price_signals": _SIGNALS,
     "range_scan": _RANGE,
     "range_pivot": _RANGE_PIVOT,

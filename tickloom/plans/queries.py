@@ -20,6 +20,7 @@ from tickloom.plans import adapters as A
 from tickloom.schema import BAR_SCHEMA, SERVICES, SORT_FIELDS
 from tickloom.session import configure
 from tickloom.sinks.points import BAR_FIELDS, to_lines, to_points
+from tickloom.streaming.carried import studies_over_available
 from tickloom.streaming.keyed import keyed_sma
 from tickloom.streaming.run import collect_stream
 from tickloom.streaming.windows import ohlcv_bars_stream
@@ -77,6 +78,12 @@ def sma_stream(spark, sf_dir):
     return _ntz(collect_stream(spark, keyed_sma(A.tick_stream(spark, sf_dir)), "sma_stream"), "ts")
 
 
+@_query
+def sma_trend_stream(spark, sf_dir):
+    ticks = A.tick_stream(spark, sf_dir).select("symbol", "ts", "seq", "close")
+    return studies_over_available(spark, ticks, [T.sma(), T.trend()], "sma_trend_stream")
+
+
 @_query
 def rsi_14(spark, sf_dir):
     df = A.ticks(spark, sf_dir).select("symbol", "ts", "seq", "close")
@@ -211,6 +218,11 @@ def market_session(spark, sf_dir):
     return S.market_session(A.ticks(spark, sf_dir), zone="UTC").select("symbol", "ts", "seq", "price")
 
 
+@_query
+def market_session_new_york(spark, sf_dir):
+    return S.market_session(A.ticks(spark, sf_dir), pre_hours=True).select("symbol", "ts", "seq", "price")
+
+
 @_query
 def price_signals(spark, sf_dir):
     return S.price_signals(A.ticks(spark, sf_dir).select("symbol", "ts", "seq", "close"))

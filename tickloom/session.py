@@ -9,6 +9,8 @@ from functools import cache
 
 from pyspark.sql import SparkSession
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def build_session(master: str | None = None, app_name: str = "tickloom", **conf: str) -> SparkSession:
     """A session with the settings below; `conf` keys use `__` for `.`."""
@@ -21,10 +23,18 @@ def build_session(master: str | None = None, app_name: str = "tickloom", **conf:
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Feed time is UTC, so time-of-day arithmetic and casts run in UTC."""
+    """Feed time is UTC, so time-of-day arithmetic and casts run in UTC.
+
+    On a cluster, shuffles start with several partitions per core unless the session says
+    otherwise; adaptive execution then merges the small ones.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    context = spark.sparkContext
+    if not context.master.startswith("local") and spark.conf.get(INITIAL_PARTITIONS, None) is None:
+        initial = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * context.defaultParallelism)
+        spark.conf.set(INITIAL_PARTITIONS, str(initial))
     return spark
 
 
