@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import order_key
@@ -16,10 +16,6 @@ from tickloom.operators.series import as_keys
 from tickloom.schema import FREQUENCIES, SORT_FIELDS
 
 
-def _bucket(ts: str, interval: str) -> Column:
-    return F.window(F.col(ts), interval)["start"]
-
-
 def ohlcv_bars(
     ticks: DataFrame,
     interval: str = "1 hour",
@@ -33,14 +29,14 @@ def ohlcv_bars(
 
     Works on a stream too, after `withWatermark` on `ts`.
     """
-    at = order_key(F.col(ts), F.col(seq))
     return (
-        ticks.groupBy(*as_keys(keys), F.window(F.col(ts), interval).alias("_w"))
+        ticks.withColumn("_at", order_key(F.col(ts), F.col(seq)))
+        .groupBy(*as_keys(keys), F.window(F.col(ts), interval).alias("_w"))
         .agg(
-            F.min_by(price, at).alias("open"),
+            F.min_by(price, "_at").alias("open"),
             F.max(price).alias("high"),
             F.min(price).alias("low"),
-            F.max_by(price, at).alias("close"),
+            F.max_by(price, "_at").alias("close"),
             F.sum(volume).alias("volume"),
             F.count(F.lit(1)).alias("trades"),
         )
@@ -54,10 +50,10 @@ def latest_quote(
     ticks: DataFrame, keys: str | Sequence[str] = "symbol", ts: str = "ts", seq: str = "seq"
 ) -> DataFrame:
     """The last tick of each symbol by (ts, seq)."""
-    at = order_key(F.col(ts), F.col(seq))
     keys = as_keys(keys)
     rest = [c for c in ticks.columns if c not in keys]
-    return ticks.groupBy(*keys).agg(*[F.max_by(c, at).alias(c) for c in rest]).select(*ticks.columns)
+    keyed = ticks.withColumn("_at", order_key(F.col(ts), F.col(seq)))
+    return keyed.groupBy(*keys).agg(*[F.max_by(c, "_at").alias(c) for c in rest]).select(*ticks.columns)
 
 
 def parse_screener_key(key: str) -> tuple[str, str, int]:

@@ -12,8 +12,11 @@ from tickloom.sinks.points import BAR_FIELDS
 from tickloom.sources.files import stream_parquet
 
 
+EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def with_k(events: DataFrame) -> DataFrame:
