@@ -70,3 +70,16 @@ def test_comma_strings_and_lower_case(spark):
         ("LEVELONE_EQUITIES", "AMD", ("0", "1", "2")),
         ("LEVELONE_EQUITIES", "INTC", ("0", "1")),
     }
+
+
+def test_subscribed_feed_salted_equals_broadcast(spark):
+    from tickloom.operators import ingest as I
+    from tickloom.operators.subscriptions import subscribed
+    from tickloom.plans import adapters as A
+
+    sf_dir = "/root/testdata/sf0.001"
+    content = I.explode_content(I.route(I.parse_envelopes(A.envelopes(spark, sf_dir))))
+    state = subscription_state(A.feed_command_log(spark, sf_dir))
+    broadcast, salted = subscribed(content, state), subscribed(content, state, small_rows=0)
+    assert broadcast.count() > 0
+    assert sorted(map(repr, broadcast.collect())) == sorted(map(repr, salted.collect()))

@@ -111,6 +111,18 @@ def command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feed_command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Commands over the services, keys and field ids of `envelopes`."""
+    k = F.col("k")
+    return with_k(events(spark, sf_dir)).select(
+        F.col("event_id").alias("seq"),
+        _service(F.col("user_id")).alias("service"),
+        F.when(k < 50, "ADD").when(k < 52, "SUBS").when(k < 90, "UNSUBS").otherwise("VIEW").alias("command"),
+        F.col("event_type").alias("keys"),
+        F.when(k % 3 == 0, "3").when(k % 3 == 1, "8,12").otherwise("12").alias("fields"),
+    )
+
+
 def instrument_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks whose symbol is a key in one of the documented formats."""
     k, user = F.col("k"), F.concat(F.lit("U"), F.col("user_id").cast("string"))

@@ -252,10 +252,19 @@ ranked AS (
 SELECT window_start, rank, symbol, round(score, 6) AS score FROM ranked WHERE rank <= 3"""
 
 
-_SUBSCRIPTIONS = f"""WITH {_EVENTS}, log AS (
-  SELECT event_id AS seq, CAST(user_id % 50 AS VARCHAR) AS service,
-         CASE event_type WHEN 'signup' THEN 'SUBS' WHEN 'error' THEN 'UNSUBS' WHEN 'purchase' THEN 'VIEW'
-         ELSE 'ADD' END AS command, CAST(k % 10 AS VARCHAR) AS key, CAST(k % 7 AS VARCHAR) AS field FROM events_k),
+# One row per command, key and field.
+_COMMANDS = """SELECT event_id AS seq, CAST(user_id % 50 AS VARCHAR) AS service,
+  CASE event_type WHEN 'signup' THEN 'SUBS' WHEN 'error' THEN 'UNSUBS' WHEN 'purchase' THEN 'VIEW'
+  ELSE 'ADD' END AS command, CAST(k % 10 AS VARCHAR) AS key, CAST(k % 7 AS VARCHAR) AS field FROM events_k"""
+
+_FEED_COMMANDS = f"""SELECT event_id AS seq, {_SERVICE} AS service,
+  CASE WHEN k < 50 THEN 'ADD' WHEN k < 52 THEN 'SUBS' WHEN k < 90 THEN 'UNSUBS' ELSE 'VIEW' END AS command,
+  event_type AS key,
+  unnest(CASE k % 3 WHEN 0 THEN ['3'] WHEN 1 THEN ['8', '12'] ELSE ['12'] END) AS field FROM events_k"""
+
+
+def _fold(commands: str) -> str:
+    return f"""{_EVENTS}, log AS ({commands}),
 resets AS (SELECT service, max(seq) AS s FROM log WHERE command = 'SUBS' GROUP BY 1),
 removals AS (SELECT service, key, max(seq) AS u FROM log WHERE command = 'UNSUBS' GROUP BY ALL),
 live AS (
@@ -265,13 +274,25 @@ live AS (
   WHERE l.command IN ('ADD', 'SUBS') AND l.seq >= coalesce(r.s, -1) AND l.seq > coalesce(x.u, -1)),
 born AS (SELECT service, key, min(seq) AS f FROM live GROUP BY ALL),
 viewed AS (
-  SELECT b.service, b.key, max(v.seq) AS v, arg_max(v.field, v.seq) AS field FROM born b
+  SELECT b.service, b.key, max(v.seq) AS v FROM born b
   JOIN log v ON v.service = b.service AND v.command = 'VIEW' AND v.seq > b.f GROUP BY ALL),
 all_fields AS (
   SELECT l.service, l.key, l.field FROM live l LEFT JOIN viewed w USING (service, key)
   WHERE l.seq > coalesce(w.v, -1)
-  UNION SELECT service, key, field FROM viewed)
-SELECT service, key, string_agg(field, ',' ORDER BY field) AS fields FROM all_fields GROUP BY ALL"""
+  UNION SELECT w.service, w.key, l.field FROM viewed w JOIN log l ON l.service = w.service AND l.seq = w.v),
+state AS (SELECT service, key, list(field ORDER BY field) AS fields FROM all_fields GROUP BY ALL)"""
+
+
+_SUBSCRIPTIONS = f"""WITH {_fold(_COMMANDS)}
+SELECT service, key, array_to_string(fields, ',') AS fields FROM state"""
+
+_SUBSCRIBED_FEED = f"""WITH {_fold(_FEED_COMMANDS)}, sent AS (
+  SELECT {_SERVICE} AS service, * FROM events_k WHERE k > 1)
+SELECT s.service, event_type AS symbol, date_trunc('millisecond', ts) AS date,
+       CASE WHEN list_contains(fields, '3') THEN value END AS "lastPrice",
+       CASE WHEN list_contains(fields, '8') THEN k END AS volume,
+       CASE WHEN list_contains(fields, '12') THEN value END AS close
+FROM sent s JOIN state t ON t.service = s.service AND t.key = s.event_type"""
 
 _FIELD_LIST = "[" + ", ".join(f"'{f}'" for f in SORT_FIELDS) + "]"
 
@@ -355,5 +376,6 @@ ORACLE_SQL: dict[str, str] = {
     "latest_quote": _LATEST,
     **{f"screener_{f.lower()}": _screener(f) for f in SORT_FIELDS},
     "subscription_fold": _SUBSCRIPTIONS,
+    "subscribed_feed": _SUBSCRIBED_FEED,
     "instrument_chains": _INSTRUMENTS,
 }

@@ -15,7 +15,7 @@ from tickloom.operators import studies as T
 from tickloom.operators.instruments import chain_summary, instrument_dimension
 from tickloom.operators.profile import histogram, pivot_fields, table_profile
 from tickloom.operators.series import Split
-from tickloom.operators.subscriptions import subscription_state
+from tickloom.operators.subscriptions import subscribed, subscription_state
 from tickloom.plans import adapters as A
 from tickloom.schema import BAR_SCHEMA, SERVICES, SORT_FIELDS
 from tickloom.session import configure
@@ -316,6 +316,14 @@ def subscription_fold(spark, sf_dir):
     return state.select("service", "key", F.array_join("fields", ",").alias("fields"))
 
 
+@_query
+def subscribed_feed(spark, sf_dir):
+    """The feed as the current subscriptions let it through."""
+    content = I.explode_content(I.route(I.parse_envelopes(A.envelopes(spark, sf_dir))))
+    feed = subscribed(content, subscription_state(A.feed_command_log(spark, sf_dir)))
+    return _ntz(feed.select("service", "symbol", "date", "lastPrice", "volume", "close"), "date")
+
+
 @_query
 def instrument_chains(spark, sf_dir):
     return chain_summary(instrument_dimension(A.instrument_ticks(spark, sf_dir)))
