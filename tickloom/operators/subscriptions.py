@@ -117,8 +117,8 @@ def subscription_state(log: DataFrame, small_rows: int = SMALL_ROWS) -> DataFram
 def subscribed(content: DataFrame, state: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Feed items that a subscription state asks for, each with the fields its key asks for.
 
-    `content` comes from `ingest.explode_content`, `state` from `subscription_state`. Fields
-    that were not asked for are null.
+    `content` comes from `ingest.explode_content`, `state` from `subscription_state`, best as a
+    stored table, as it is counted before the join. Fields that were not asked for are null.
     """
     items = content.withColumn("key", F.col("content.key"))
     kept = join_small(

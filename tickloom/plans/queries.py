@@ -18,7 +18,7 @@ from tickloom.operators.series import Split
 from tickloom.operators.subscriptions import subscribed, subscription_state
 from tickloom.plans import adapters as A
 from tickloom.schema import BAR_SCHEMA, SERVICES, SORT_FIELDS
-from tickloom.session import configure
+from tickloom.session import configure, scratch_dir
 from tickloom.sinks.points import BAR_FIELDS, to_lines, to_points
 from tickloom.streaming.carried import studies_over_available
 from tickloom.streaming.keyed import keyed_sma
@@ -320,7 +320,11 @@ def subscription_fold(spark, sf_dir):
 def subscribed_feed(spark, sf_dir):
     """The feed as the current subscriptions let it through."""
     content = I.explode_content(I.route(I.parse_envelopes(A.envelopes(spark, sf_dir))))
-    feed = subscribed(content, subscription_state(A.feed_command_log(spark, sf_dir)))
+    state = subscription_state(A.feed_command_log(spark, sf_dir))
+    # The state is counted and joined: fold the log once.
+    path = scratch_dir(spark, "subscription_state")
+    state.write.parquet(path)
+    feed = subscribed(content, spark.read.schema(state.schema).parquet(path))
     return _ntz(feed.select("service", "symbol", "date", "lastPrice", "volume", "close"), "date")
 
 
