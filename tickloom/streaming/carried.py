@@ -40,10 +40,12 @@ def carry_studies(
             rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
         # Counted, studied and cut to the tail: read the batch from its source once.
         rows.persist()
-        write(with_studies(rows, studies, keys, order, split).where("_new").drop("_new"), batch_id)
-        tail = last_rows(rows.drop("_new"), look_back, keys, order)
-        tail.write.mode("overwrite").parquet(f"{tail_path}/{batch_id % 2}")
-        rows.unpersist()
+        try:
+            write(with_studies(rows, studies, keys, order, split).where("_new").drop("_new"), batch_id)
+            tail = last_rows(rows.drop("_new"), look_back, keys, order)
+            tail.write.mode("overwrite").parquet(f"{tail_path}/{batch_id % 2}")
+        finally:
+            rows.unpersist()
 
     return handle
 
