@@ -8,7 +8,7 @@ from functools import wraps
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import line_dedup, mixing, packing
+from tickloom.llm import line_dedup, mixing, near_dup, packing
 from tickloom.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,11 @@ def op1_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), copy_col="copy")
 
 
+@_query
+def op4_minhash_near_dedup(spark, sf_dir):
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Sketching(words=3, percent=85))
+
+
 @_query
 def op7_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
