@@ -7,9 +7,10 @@ from functools import wraps
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import line_dedup, mixing, near_dup, packing
-from tickloom.llm.common import table
+from tickloom.llm import line_dedup, mixing, near_dup, packing, toxicity
+from tickloom.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,3 +43,11 @@ def op7_best_fit_packing(spark, sf_dir):
 @_query
 def op8_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), counts=("n_lines", "n_removed"))
+
+
+@_query
+def op10_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = remainder(F.col("doc_id"), toxicity.HELD_OUT) == toxicity.HELD_OUT_REST
+    return toxicity.score(docs, model).withColumn("held_out", held_out)
