@@ -97,3 +97,10 @@ def dedup_lines(
             F.when(F.col(removed).isNull(), 0).otherwise(gone).cast("long").alias(counts[1]),
         ]
     return out.select(*columns)
+
+
+def without_repeats(docs: DataFrame, size: int = WINDOW_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`dedup_lines`, less the documents that had text and lost all of it. All columns stay."""
+    before, gone = fresh(docs, "lines_before", "lines_gone")
+    left = dedup_lines(docs, size, id_col, text_col, (before, gone))
+    return left.where((F.col(gone) == 0) | (F.trim(quoted(text_col)) != "")).select(*quoted_all(docs.columns))

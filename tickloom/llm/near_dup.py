@@ -13,7 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import per_text, quoted, stored
+from tickloom.llm.common import fresh, per_text, quoted, stored, text_or_empty
 from tickloom.llm.components import components
 
 # Registers are spaced by powers of BASE; RATE is the rate of the exponential draws.
@@ -140,7 +140,10 @@ def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarra
 
 
 def sketches(docs: DataFrame, how: Sketching, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, d1, d2, registers) per document; d1 and d2 are 128 hash bits of the set."""
+    """(id, n_shingles, d1, d2, registers, text_key) per document.
+
+    d1 and d2 are 128 hash bits of the set, text_key is `xxhash64` of the text.
+    """
 
     def make():
         sets, sketch = shingle_sets(how.words), registers(how.registers)
@@ -153,14 +156,19 @@ def sketches(docs: DataFrame, how: Sketching, id_col: str = "doc_id", text_col:
                 "d1": [int.from_bytes(d[:8], "little", signed=True) for d in digests],
                 "d2": [int.from_bytes(d[8:], "little", signed=True) for d in digests],
                 "registers": [sketch(s) if len(s) else b"" for s in found],
+                "text_key": [_signed(xxhash.xxh64_intdigest(t.encode("utf-8", "surrogatepass"), 42)) for t in texts],
             }
 
         return run
 
-    rows = per_text(docs, make, "n_shingles long, d1 long, d2 long, registers binary", id_col, text_col)
+    rows = per_text(docs, make, "n_shingles long, d1 long, d2 long, registers binary, text_key long", id_col, text_col)
     return rows.withColumnRenamed(id_col, "id")
 
 
+def _signed(value: int) -> int:
+    return value - (1 << 64) if value >> 63 else value
+
+
 def _small(ids: DataFrame) -> DataFrame:
     """`ids`, to be broadcast if a count shows that they are few."""
     return F.broadcast(ids) if ids.count() <= SMALL_IDS else ids
@@ -219,7 +227,7 @@ def _pairs(df: DataFrame, x: Column, y: Column) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, how: Sketching = Sketching(), id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """(id, n_shingles, component_id, kept) per row of `docs`, whose ids are integers.
+    """(id, n_shingles, component_id, kept, text_key) per row of `docs`, whose ids are integers.
 
     Documents are linked when their shingle sets reach the threshold. Equal sets are one class, which
     its smallest id stands for. Classes that share a band of registers meet in a bucket; candidates
@@ -286,9 +294,24 @@ def near_duplicates(
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        "text_key",
     )
 
 
+def without_near_duplicates(
+    docs: DataFrame, how: Sketching = Sketching(), id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`docs` with one document of each group of near-duplicates, the one with the smallest id.
+
+    Rows that are equal in id and text are one document and stay or go together.
+    """
+    found = near_duplicates(docs, how, id_col, text_col).where(~F.col("kept"))
+    i, k = fresh(docs, "near_id", "near_key")
+    gone = stored(found.select(quoted(id_col).alias(i), F.col("text_key").alias(k)).distinct(), "later-copies")
+    key = F.xxhash64(text_or_empty(text_col))
+    return docs.join(_small(gone), (quoted(id_col) == F.col(i)) & (key == F.col(k)), "left_anti")
+
+
 def _mixed_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
     """(key, node, comp) of the buckets with more than one component."""
     known = labels.select(F.col("id").alias("node"), "component")

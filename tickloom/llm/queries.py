@@ -32,7 +32,7 @@ def op1_mix_sources(spark, sf_dir):
 
 @_query
 def op4_minhash_near_dedup(spark, sf_dir):
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Sketching(words=3, percent=85))
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Sketching(words=3, percent=85)).drop("text_key")
 
 
 @_query

@@ -340,3 +340,16 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
         return run
 
     return per_text(docs, make, "score double, predicted int, pattern string, n_matches long", id_col, text_col)
+
+
+def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
+    """The rows of `docs` that `model` does not take for toxic, with all their columns."""
+    text_at = docs.columns.index(text_col)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        match = matcher(model)
+        for batch in batches:
+            clean = [model.verdict(match(t or ""))[1] < 0 for t in batch.column(text_at).to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
