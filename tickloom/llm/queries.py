@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_dedup, mixing, near_dup, packing, toxicity
+from tickloom.llm import line_dedup, mixing, near_dup, packing, secrets, token_counts, toxicity
 from tickloom.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,17 @@ def op1_mix_sources(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), copy_col="copy")
 
 
+@_query
+def op2_token_counts(spark, sf_dir):
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@_query
+def op3_secret_scan(spark, sf_dir):
+    test = secrets.TokenTest(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return secrets.secrets(table(spark, sf_dir, "documents"), test)
+
+
 @_query
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Sketching(words=3, percent=85)).drop("text_key")
