@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_dedup, mixing, near_dup, packing, secrets, token_counts, toxicity
+from tickloom.llm import line_dedup, mixing, near_dup, packing, quality, secrets, token_counts, toxicity
 from tickloom.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,14 @@ def op8_line_dedup(spark, sf_dir):
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), counts=("n_lines", "n_removed"))
 
 
+@_query
+def op9_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    held_out = remainder(F.col("doc_id"), quality.HELD_OUT) == quality.HELD_OUT_REST
+    return quality.score(docs, model).withColumn("held_out", held_out)
+
+
 @_query
 def op10_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
