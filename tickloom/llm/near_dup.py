@@ -10,7 +10,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import fresh, per_text, quoted, stored, text_or_empty
@@ -25,9 +25,6 @@ MISS = 1e-6
 MARGIN = 6.0
 # Ids up to which a table of them may be broadcast (about 10 MB).
 SMALL_IDS = 500_000
-# Candidate pairs per bucket row up to which all pairs across components are compared.
-PAIRS_PER_ROW = 8
-HUB_ROUNDS = 4
 CACHED_WORDS = 500_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -212,14 +209,6 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, how: Sketching) -> DataFrame:
     return met.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def _hub_pairs(rows: DataFrame, salt: int) -> DataFrame:
-    """Each bucket member with one member of another component of its bucket (rows: key, node, comp)."""
-    rank = F.struct(F.xxhash64(F.lit(salt), "node"), "node", "comp")
-    hubs = rows.groupBy("key").agg(F.min(rank).alias("h")).select("key", "h.node", "h.comp")
-    hubs = hubs.select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
-    return _pairs(rows.join(hubs, "key").where(F.col("comp") != F.col("hub_comp")), F.col("node"), F.col("hub"))
-
-
 def _pairs(df: DataFrame, x: Column, y: Column) -> DataFrame:
     return df.select(F.greatest(x, y).alias("a"), F.least(x, y).alias("b")).distinct()
 
@@ -233,11 +222,11 @@ def near_duplicates(
     its smallest id stands for. Classes that share a band of registers meet in a bucket; candidates
     whose likelihood estimate comes near the threshold are confirmed on their full sets.
 
-    In a bucket, all members are first compared with one of them. Where a bucket still holds more
-    than one component, further rounds take another member, and at last all pairs of members of
-    different components are compared, so that no link that could join two components is left out;
-    pairs within a component need no comparison. Buckets are never gathered into one task, and large
-    ones are split by Spark's skew handling of joins.
+    In a bucket, all members are compared with one of them. Nodes of buckets that then still hold more
+    than one component are joined exactly on the rarest shingles of their sets (see `_prefix_pairs`),
+    so that no link between them is left out and neither are all pairs of a bucket made; pairs within a
+    component need no comparison. Buckets are never gathered into one task, and large ones are split
+    by Spark's skew handling of joins.
 
     A text without words (or null) links with nothing. A row with a null id links with nothing, has
     no component and is kept. Rows with the same id are told apart by their texts, but share links.
@@ -274,16 +263,10 @@ def near_duplicates(
 
     found = links(_pairs(members.where(F.col("node") != F.col("hub")), F.col("node"), F.col("hub")))
     labels = stored(components(found), "components")
-    for salt in range(1, HUB_ROUNDS + 1):
-        mixed = stored(_mixed_buckets(members.select("key", "node"), labels), "mixed")
-        rows, cross = _cross_pairs(mixed)
-        if not cross:
-            break
-        last = salt == HUB_ROUNDS or cross <= PAIRS_PER_ROW * rows
-        found = found.unionByName(links(_all_pairs(mixed) if last else _hub_pairs(mixed, salt)))
+    apart = stored(_apart(members, labels), "apart")
+    if not apart.isEmpty():
+        found = found.unionByName(links(stored(_prefix_pairs(apart, sets, how), "prefix-pairs")))
         labels = stored(components(found), "components")
-        if last:
-            break
 
     to_class = classes.select("d1", "d2", "node")
     result = sketched.join(to_class, ["d1", "d2"], "left").join(labels.withColumnRenamed("id", "node"), "node", "left")
@@ -312,23 +295,52 @@ def without_near_duplicates(
     return docs.join(_small(gone), (quoted(id_col) == F.col(i)) & (key == F.col(k)), "left_anti")
 
 
-def _mixed_buckets(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """(key, node, comp) of the buckets with more than one component."""
+def _apart(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """(node, comp) of the nodes in buckets with more than one component."""
     known = labels.select(F.col("id").alias("node"), "component")
     rows = members.join(known, "node", "left").select("key", "node", F.coalesce("component", "node").alias("comp"))
     mixed = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
-    return rows.join(mixed, "key")
+    return rows.join(mixed, "key").select("node", "comp").distinct()
 
 
-def _cross_pairs(mixed: DataFrame) -> tuple[int, int]:
-    """How many rows there are, and how many pairs of different components within buckets."""
-    each = mixed.groupBy("key", "comp").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    pairs = each.groupBy("key").agg(F.sum("n").alias("n"), (F.pow(F.sum("n"), 2) - F.sum(F.col("n") * F.col("n"))).alias("p"))
-    rows, cross = pairs.agg(F.sum("n"), F.sum("p")).first()
-    return int(rows or 0), int((cross or 0) / 2)
+def _prefix_pairs(apart: DataFrame, sets: DataFrame, how: Sketching) -> DataFrame:
+    """All pairs (a, b) of these nodes, of different components, that can reach the threshold.
 
+    Two sets that do share one of their rarest shingles, at places that leave room for the overlap
+    they need: the larger set among its first (1 - p) n + 1 in a common order, the smaller among its
+    first (1 - p) / (1 + p) n + 1. The order is by how many of these nodes have a shingle, so that
+    text which many copies share hardly ever comes into it, and a copy with many changes of its own
+    meets no other.
+    """
 
-def _all_pairs(mixed: DataFrame) -> DataFrame:
-    other = mixed.select("key", F.col("node").alias("other"), F.col("comp").alias("other_comp"))
-    met = mixed.join(other, "key").where(F.col("comp") < F.col("other_comp"))
-    return _pairs(met, F.col("node"), F.col("other"))
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [np.frombuffer(x, np.int64) for x in batch.column(2).to_pylist()]
+            size = np.array([len(x) for x in each], np.int64)
+            place = np.repeat(np.arange(len(each)), size)
+            for cut in range(0, len(place), 50_000):
+                at = place[cut : cut + 50_000]
+                columns = [batch.column(0).to_numpy()[at], batch.column(1).to_numpy()[at], size[at]]
+                columns.append(np.concatenate(each)[cut : cut + 50_000])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "comp", "n", "key"])
+
+    rows = apart.join(sets, "node").select("node", "comp", "shingles").mapInArrow(spread, "node long, comp long, n long, key long")
+    rows = stored(rows, "shingle-rows")
+    common = rows.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") > 1)
+    by_node = Window.partitionBy("node")
+    # Shingles that only one node has come first in its order; they meet nothing.
+    first = F.col("n") - F.count(F.lit(1)).over(by_node)
+    placed = rows.join(common, "key").withColumn("pos", first + F.row_number().over(by_node.orderBy("df", "key")))
+    p = how.percent
+    prefix = stored(placed.where(F.col("pos") <= F.col("n") - F.ceil(p * F.col("n") / 100) + 1).drop("df"), "prefixes")
+    smaller = prefix.where(F.col("pos") <= F.col("n") - F.ceil(2 * p * F.col("n") / (100 + p)) + 1).select(
+        "key", *[F.col(c).alias(f"s_{c}") for c in ("node", "comp", "n", "pos")]
+    )
+    room = 1 + F.least(F.col("n") - F.col("pos"), F.col("s_n") - F.col("s_pos"))
+    fits = (
+        (F.col("comp") != F.col("s_comp"))
+        & (F.col("s_n") <= F.col("n"))
+        & (100 * F.col("s_n") >= p * F.col("n"))
+        & ((100 + p) * room >= p * (F.col("n") + F.col("s_n")))
+    )
+    return _pairs(prefix.join(smaller, "key").where(fits), F.col("node"), F.col("s_node"))
