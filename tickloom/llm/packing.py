@@ -3,59 +3,105 @@
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tickloom.llm.common import _arrow_schema, quoted, stored, text_or_empty
 
 CAPACITY = 2048
 END_ID = 0
-# Bound on the words whose ids a task remembers (about 120 MB).
-CACHED_WORDS = 500_000
+# Bound on the words whose ids a task remembers (about 250 MB).
+CACHED_WORDS = 700_000
+# Parts of words that are tokenised at a time.
+LINE_PARTS = 2000
+# Fixed value: the pattern by which the vocabulary splits lower-case text into parts.
+WORD_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+# Anything but printable ASCII and Latin letters and signs below the combining marks.
+UNUSUAL = re.compile("[^\t\n\r -~¡-¬®-įĲ-ʯ]")
 # Rows of one length that one lane ranks, about.
 LANE_ROWS = 20_000
 
 
-def word_ids(tokenizer_path: str):
+class _Words(dict):
+    """The ids of each word between white space, as little-endian 32-bit bytes, found once.
+
+    A word's parts (see WORD_PARTS) are tokenised many at a time: the last id of each part is one of
+    a vocabulary entry that ends a word, so the ids of a line of parts fall apart again at those.
+    """
+
+    def __init__(self, tokenizer_path: str):
+        super().__init__()
+        self.whole = Tokenizer.from_file(tokenizer_path)
+        self.whole.encode_special_tokens = True
+        self.line = Tokenizer.from_file(tokenizer_path)
+        self.line.encode_special_tokens = True
+        self.line.normalizer = None  # words come in lower case
+        bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.line.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytes_only])
+        vocabulary = self.line.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        for entry, number in vocabulary.items():
+            self.ends[number] = entry.endswith("</w>")
+        self.parts: dict[str, bytes] = {}
+
+    def learn(self, words: set[str]) -> None:
+        new = [w for w in words if w not in self]
+        if len(self) + len(new) > CACHED_WORDS:
+            self.clear()
+            self.parts.clear()
+            new = list(words)
+        split = [WORD_PARTS.findall(w) for w in new]
+        unseen = list({p for parts in split for p in parts if p not in self.parts})
+        for start in range(0, len(unseen), LINE_PARTS):
+            some = unseen[start : start + LINE_PARTS]
+            ids = self.ids(self.line, " ".join(some))
+            cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
+            raw = ids.tobytes()
+            self.parts.update(zip(some, (raw[i:j] for i, j in zip([0, *cuts.tolist()], cuts.tolist())), strict=True))
+        self.update((w, b"".join(map(self.parts.__getitem__, parts))) for w, parts in zip(new, split))
+
+    @staticmethod
+    def ids(tokenizer: Tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+
+
+@cache
+def _words(tokenizer_path: str) -> _Words:
+    """Kept for all tasks of a worker process."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return _Words(tokenizer_path)
+
+
+def word_ids(tokenizer_path: str) -> Callable[[list[str]], Iterator[bytes]]:
     """A function from a batch of texts to their ids as little-endian 32-bit bytes.
 
     For a vocabulary that lower-cases and never joins across white space, a text's ids are the ids of
     its words one after the other, so each distinct word is tokenised once. Texts with characters for
     which that may not hold (combining marks, rare spaces, non-Latin letters) are tokenised whole.
     """
-    import re
-
-    from tokenizers import Tokenizer
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(tokenizer_path)
-    tokenizer.encode_special_tokens = True
-    unusual = re.compile("[^\t\n\r -~¡-¬®-įĲ-ʯ]").search
-    known: dict[str, bytes] = {}
-
-    def encode(texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    known = _words(tokenizer_path)
 
     def run(texts: list[str]) -> Iterator[bytes]:
-        for text in texts:
-            if unusual(text):
-                yield encode([text])[0]
-                continue
-            words = text.lower().split()
-            new = [w for w in set(words) if w not in known]
-            if new:
-                if len(known) + len(new) > CACHED_WORDS:
-                    known.clear()
-                    new = list(set(words))
-                known.update(zip(new, encode(new)))
-            yield b"".join(map(known.__getitem__, words))
+        for start in range(0, len(texts), 50):
+            some = texts[start : start + 50]
+            split = [None if UNUSUAL.search(t) else t.lower().split() for t in some]
+            known.learn(set().union(*filter(None, split)))
+            for text, words in zip(some, split):
+                if words is None:
+                    yield known.ids(known.whole, text).tobytes()
+                else:
+                    yield b"".join(map(known.__getitem__, words))
 
     return run
 
