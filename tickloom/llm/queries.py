@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_dedup, mixing, near_dup, packing, quality, secrets, token_counts, toxicity
+from tickloom.llm import line_dedup, mixing, near_dup, packing, quality, secrets, token_counts, toxicity, vector_dedup, vector_search
 from tickloom.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -46,6 +46,16 @@ def op4_minhash_near_dedup(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), near_dup.Sketching(words=3, percent=85)).drop("text_key")
 
 
+@_query
+def op5_embedding_near_dedup(spark, sf_dir):
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op6_nearest_neighbours(spark, sf_dir):
+    return vector_search.nearest_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op7_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
