@@ -227,15 +227,16 @@ def _best(table: pa.Table, nearest: int) -> pa.Table:
     queries, held = np.flatnonzero(asks), np.flatnonzero(~asks)
     member = np.array([lists[k][0] for k in held], int)
     out = [[], [], []]
+    most = nearest * MAX_COPIES  # a vector may be in several of the block's lists
     scores = x[queries] @ x[held].T if len(held) else np.zeros((len(queries), 0))
     for q, row in zip(queries, scores):
         row = np.where(np.isin(member, lists[q]) & (ids[held] != ids[q]), row, -np.inf)
-        if len(row) > nearest:
-            # Products in blocks may differ in the last place; near the edge all are taken and done again.
-            edge = np.partition(row, len(row) - nearest)[len(row) - nearest]
-            some = np.flatnonzero((row >= edge - 1e-9 * max(1.0, abs(edge))) & (row > -np.inf)) if edge > -np.inf else np.flatnonzero(row > -np.inf)
-        else:
-            some = np.flatnonzero(row > -np.inf)
+        edge = -np.inf
+        if len(row) > most:
+            # Products in blocks may differ in the last place, so those near the edge are all done again.
+            edge = np.partition(row, len(row) - most)[len(row) - most]
+            edge -= 1e-9 * max(1.0, abs(edge))
+        some = np.flatnonzero((row >= edge) & (row > -np.inf))
         exact = (x[q] * x[held[some]]).sum(axis=1)
         names, place = np.unique(ids[held[some]], return_inverse=True)
         top = np.full(len(names), -np.inf)
