@@ -25,7 +25,7 @@ MISS = 1e-6
 MARGIN = 6.0
 # Ids up to which a table of them may be broadcast (about 10 MB).
 SMALL_IDS = 500_000
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

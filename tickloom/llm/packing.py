@@ -21,8 +21,8 @@ from tickloom.llm.common import _arrow_schema, quoted, stored, text_or_empty
 
 CAPACITY = 2048
 END_ID = 0
-# Bound on the words whose ids a task remembers (about 250 MB).
-CACHED_WORDS = 700_000
+# Bound on the words whose ids a task remembers (about 180 MB).
+CACHED_WORDS = 500_000
 # Parts of words that are tokenised at a time.
 LINE_PARTS = 2000
 # Fixed value: the pattern by which the vocabulary splits lower-case text into parts.

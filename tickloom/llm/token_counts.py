@@ -12,7 +12,7 @@ from tickloom.llm.common import per_text
 
 # Splits text into words before pieces are matched (the pattern of the rank files' vocabularies).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-CACHED_WORDS = 500_000
+CACHED_WORDS = 300_000
 
 
 def read_ranks(path: str) -> list[bytes]:

@@ -22,7 +22,9 @@ PREFIXES = (4, 5, 6, 7, 8)
 # A word is learned only if this share of its documents is toxic, and chance explains it at this level.
 LEAST_SHARE, LEVEL = 0.8, 0.05
 # Counts that a task holds before it hands them on.
-HELD_COUNTS = 300_000
+HELD_COUNTS = 200_000
+# Words whose class a task remembers.
+CACHED_WORDS = 150_000
 
 # Word classes that hold without labels.
 INSULTS = "idiot idiots moron morons stupid pathetic worthless trash scum clown loser losers disgusting dumb imbecile jerk"
@@ -150,7 +152,7 @@ class _Classes(dict):
         self.fixed = len(self)
 
     def __missing__(self, word: str) -> str:
-        if len(self) > self.fixed + 500_000:
+        if len(self) > self.fixed + CACHED_WORDS:
             kept = list(self.items())[: self.fixed]
             self.clear()
             self.update(kept)
