@@ -59,7 +59,7 @@ def test_equals_replay(spark, seed, n):
 
 def test_salted_join_gives_the_same(spark):
     log = random_log(7, 300)
-    assert fold(spark, log, small_rows=0) == replay(log)
+    assert fold(spark, log) == replay(log)
 
 
 def test_comma_strings_and_lower_case(spark):
@@ -80,6 +80,6 @@ def test_subscribed_feed_salted_equals_broadcast(spark):
     sf_dir = "/root/testdata/sf0.001"
     content = I.explode_content(I.route(I.parse_envelopes(A.envelopes(spark, sf_dir))))
     state = subscription_state(A.feed_command_log(spark, sf_dir))
-    broadcast, salted = subscribed(content, state), subscribed(content, state, small_rows=0)
+    broadcast, salted = subscribed(content, F.broadcast(state)), subscribed(content, state)
     assert broadcast.count() > 0
     assert sorted(map(repr, broadcast.collect())) == sorted(map(repr, salted.collect()))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from decimal import Decimal
 
@@ -42,6 +43,7 @@ def in_session(
 ) -> Column:
     """Monday to Friday, local time within the inclusive market session (UTC session)."""
     local = F.from_utc_timestamp(ts.cast("timestamp"), zone)
+    # Session times.
     start = "07:59:00" if pre_hours else "09:29:00"
     end = "20:00:00" if after_hours else "16:00:00"
     of_day = F.pmod(micros(local), F.lit(DAY_MICROS))
@@ -72,7 +74,12 @@ def number_text(value: Column) -> Column:
 
 
 def _escape(text: Column) -> Column:
-    return F.regexp_replace(text, r"([ ,=])", r"\\$1")
+    """Spaces, commas and equals signs get a backslash; line breaks, which end a point, become spaces."""
+    return F.regexp_replace(F.regexp_replace(text, r"[\r\n]+", " "), r"([ ,=])", r"\\$1")
+
+
+def _escaped(name: str, signs: str) -> str:
+    return re.sub(f"([{signs}])", r"\\\1", re.sub(r"[\r\n]+", " ", name))
 
 
 def line_protocol(
@@ -80,12 +87,12 @@ def line_protocol(
 ) -> Column:
     """`m[,tag=v…] field=v[,…] epoch_ms`; null tags and fields are left out.
 
-    Null when no field has a value, as such a point cannot be written. Spaces, commas
-    and equals signs in tag values are escaped so that option symbols stay one tag.
+    Null when no field has a value or there is no time, as such a point cannot be written. Names
+    and tag values are escaped so that option symbols stay one tag.
     """
-    tag_text = F.concat_ws(",", *[F.concat(F.lit(f"{k}="), _escape(v.cast("string"))) for k, v in tags.items()])
-    field_text = F.concat_ws(",", *[F.concat(F.lit(f"{k}="), number_text(v)) for k, v in fields.items()])
-    head = F.concat(F.lit(measurement), F.when(tag_text != "", F.concat(F.lit(","), tag_text)).otherwise(""))
+    tag_text = F.concat_ws(",", *[F.concat(F.lit(f"{_escaped(k, ' ,=')}="), _escape(v.cast("string"))) for k, v in tags.items()])
+    field_text = F.concat_ws(",", *[F.concat(F.lit(f"{_escaped(k, ' ,=')}="), number_text(v)) for k, v in fields.items()])
+    head = F.concat(F.lit(_escaped(measurement, " ,")), F.when(tag_text != "", F.concat(F.lit(","), tag_text)).otherwise(""))
     return F.when(
         field_text != "",
         F.concat(head, F.lit(" "), field_text, F.lit(" "), F.unix_millis(ts.cast("timestamp")).cast("string")),

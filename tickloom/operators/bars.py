@@ -30,7 +30,8 @@ def ohlcv_bars(
     Works on a stream too, after `withWatermark` on `ts`.
     """
     return (
-        ticks.withColumn("_at", order_key(F.col(ts), F.col(seq)))
+        # A tick without a price neither opens nor closes a bar.
+        ticks.withColumn("_at", F.when(F.col(price).isNotNull(), order_key(F.col(ts), F.col(seq))))
         .groupBy(*as_keys(keys), F.window(F.col(ts), interval).alias("_w"))
         .agg(
             F.min_by(price, "_at").alias("open"),
@@ -47,13 +48,21 @@ def ohlcv_bars(
 
 
 def latest_quote(
-    ticks: DataFrame, keys: str | Sequence[str] = "symbol", ts: str = "ts", seq: str = "seq"
+    ticks: DataFrame,
+    keys: str | Sequence[str] = "symbol",
+    ts: str = "ts",
+    seq: str = "seq",
+    per_field: bool = False,
 ) -> DataFrame:
-    """The last tick of each symbol by (ts, seq)."""
+    """The last tick of each symbol by (ts, seq); with `per_field` the last known value of each column.
+
+    The feed sends only what changed, so a whole last tick may lack most fields.
+    """
     keys = as_keys(keys)
     rest = [c for c in ticks.columns if c not in keys]
     keyed = ticks.withColumn("_at", order_key(F.col(ts), F.col(seq)))
-    return keyed.groupBy(*keys).agg(*[F.max_by(c, "_at").alias(c) for c in rest]).select(*ticks.columns)
+    at = {c: F.when(F.col(c).isNotNull(), F.col("_at")) if per_field else F.col("_at") for c in rest}
+    return keyed.groupBy(*keys).agg(*[F.max_by(c, at[c]).alias(c) for c in rest]).select(*ticks.columns)
 
 
 def parse_screener_key(key: str) -> tuple[str, str, int]:

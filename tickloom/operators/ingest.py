@@ -5,11 +5,13 @@ Input is a `value` column (bytes or text), as a Kafka source or a text file give
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.schema import BAR_SCHEMA, ENVELOPE_SCHEMA, FIELD_NAMES, TICK_COLUMNS
+from tickloom.schema import BAR_SCHEMA, CONTENT_SCHEMA, ENVELOPE_SCHEMA, FIELD_NAMES, PRICE_SCHEMA, TICK_COLUMNS, TICK_SCHEMA
 
 BAD = "_corrupt_record"
 REASON = "reject_reason"
@@ -63,12 +65,17 @@ def route(parsed: DataFrame) -> DataFrame:
 
 
 def explode_content(routed: DataFrame) -> DataFrame:
-    """One row per content item of the data messages: service, timestamp, command, content."""
-    return (
+    """One row per content item of the data messages: service, timestamp, command, content.
+
+    `reject_reason` says why an item could not be read in full; `item` is its text.
+    """
+    items = (
         routed.where(F.col("route") == "data")
         .select(F.explode("envelope.data").alias("d"))
-        .select("d.service", "d.timestamp", "d.command", F.explode("d.content").alias("content"))
+        .select("d.service", "d.timestamp", "d.command", F.explode("d.content").alias("item"))
     )
+    parsed = items.withColumn("content", _parse(F.col("item"), CONTENT_SCHEMA))
+    return parsed.withColumn(REASON, _defect("content", CONTENT_SCHEMA))
 
 
 def ticks_from_content(content: DataFrame) -> DataFrame:
@@ -76,13 +83,31 @@ def ticks_from_content(content: DataFrame) -> DataFrame:
     named = {name: F.col(f"content.`{i}`") for i, name in FIELD_NAMES.items()}
     named["symbol"] = F.col("content.key")
     named["date"] = F.timestamp_millis("timestamp")
-    reason = F.when(F.col("symbol").isNull(), "no_symbol").when(F.col("date").isNull(), "no_time")
-    return content.select("service", *[named[c].alias(c) for c in TICK_COLUMNS]).withColumn(REASON, reason)
+    ticks = content.select("service", *[named[c].alias(c) for c in TICK_COLUMNS], "item", REASON)
+    return ticks.withColumn(REASON, F.coalesce(REASON, _unusable(TICK_COLUMNS)))
+
+
+def _unusable(columns: Sequence[str]) -> Column:
+    """Why a tick or bar that could be read is of no use; the same rule for both."""
+    values = F.coalesce(*[F.col(c).cast("double") for c in columns if c not in ("symbol", "date")])
+    return (
+        F.when(F.col("symbol").isNull(), "no_symbol")
+        .when(F.col("date").isNull(), "no_time")
+        .when(values.isNull(), "no_value")
+    )
 
 
 def flatten_ticks(df: DataFrame) -> DataFrame:
-    """Raw messages to the usable ticks."""
-    return accepted(ticks_from_content(explode_content(route(parse_envelopes(df)))))
+    """Raw messages to the usable ticks; `feed_rejects` has the rest."""
+    return accepted(ticks_from_content(explode_content(route(parse_envelopes(df))))).drop("item")
+
+
+def feed_rejects(df: DataFrame) -> DataFrame:
+    """(reject_reason, text): messages that cannot be read, and unusable content items of the others."""
+    routed = route(parse_envelopes(df))
+    messages = routed.where(F.col("route") == "rejected").select(REASON, F.col("value").cast("string").alias("text"))
+    items = rejected(ticks_from_content(explode_content(routed))).select(REASON, F.col("item").alias("text"))
+    return messages.unionByName(items)
 
 
 def parse_bars(df: DataFrame) -> DataFrame:
@@ -92,14 +117,34 @@ def parse_bars(df: DataFrame) -> DataFrame:
     ever rejected, never run.
     """
     wire = T.StructType([T.StructField("code", T.StringType()), *BAR_SCHEMA.fields])
-    parsed = df.select(F.col("value").cast("string").alias("value"), _parse(F.col("value"), wire).alias("bar"))
-    symbol = F.coalesce("bar.symbol", "bar.code")
-    return parsed.select(
-        "value",
-        symbol.alias("symbol"),
-        *[F.col(f"bar.{c}") for c in BAR_SCHEMA.names[1:]],
-        F.coalesce(_defect("bar", wire), F.when(symbol.isNull(), "no_symbol")).alias(REASON),
+    return _typed(df, wire, BAR_SCHEMA, F.coalesce("read.symbol", "read.code"))
+
+
+def parse_ticks(df: DataFrame) -> DataFrame:
+    """Published ticks, with last price, bid and ask, plus `value` and `reject_reason`."""
+    return _typed(df, TICK_SCHEMA, TICK_SCHEMA, F.col("read.symbol"))
+
+
+def _typed(df: DataFrame, wire: T.StructType, schema: T.StructType, symbol: Column) -> DataFrame:
+    parsed = df.select(F.col("value").cast("string").alias("value"), _parse(F.col("value"), wire).alias("read"))
+    typed = parsed.select(
+        "value", symbol.alias("symbol"), *[F.col(f"read.{c}") for c in schema.names[1:]], _defect("read", wire).alias(REASON)
+    )
+    return typed.withColumn(REASON, F.coalesce(REASON, _unusable(schema.names)))
+
+
+def parse_prices(df: DataFrame) -> DataFrame:
+    """Price messages (symbol, price, volume) plus `value` and `reject_reason`.
+
+    They carry no time; a source's own time or offset columns are kept for that.
+    """
+    others = [c for c in df.columns if c != "value"]
+    parsed = df.select(*others, F.col("value").cast("string").alias("value"), _parse(F.col("value"), PRICE_SCHEMA).alias("read"))
+    reason = F.coalesce(
+        _defect("read", PRICE_SCHEMA),
+        F.when(F.col("read.symbol").isNull(), "no_symbol").when(F.col("read.price").isNull(), "no_value"),
     )
+    return parsed.select(*others, "value", "read.symbol", "read.price", "read.volume", reason.alias(REASON))
 
 
 def accepted(df: DataFrame) -> DataFrame:

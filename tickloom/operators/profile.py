@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -35,12 +35,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 15) -> DataFrame:
     """Equal-width bins over [min, max] of each numeric column, the last bin closed.
 
-    Every bin is listed, with n = 0 where it is empty; nulls and NaN are not counted. A constant
+    Every bin is listed, with n = 0 where it is empty; nulls, NaN and infinities are not counted (see
+    `not_finite`). A constant
     column has all its rows in bin 1. The bounds joined back are one row per column.
     """
     columns = list(columns or numeric_columns(df))
     wide = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    long = wide.unpivot([], columns, "column_name", "v").where(F.col("v").isNotNull() & ~F.isnan("v"))
+    long = wide.unpivot([], columns, "column_name", "v").where(_finite("v"))
     bounds = long.groupBy("column_name").agg(F.min("v").alias("lo"), F.max("v").alias("hi"))
     step = (F.col("hi") - F.col("lo")) / bins
     position = F.when(F.col("hi") > F.col("lo"), F.floor((F.col("v") - F.col("lo")) / step) + 1).otherwise(1)
@@ -62,6 +63,18 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = 1
     )
 
 
+def _finite(name: str) -> Column:
+    return F.col(name).isNotNull() & ~F.isnan(name) & (F.abs(name) < float("inf"))
+
+
+def not_finite(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """(column_name, n): the values that a histogram leaves out, nulls not counted."""
+    columns = list(columns or numeric_columns(df))
+    long = df.select(*[F.col(c).cast("double").alias(c) for c in columns]).unpivot([], columns, "column_name", "v")
+    odd = F.col("v").isNotNull() & ~_finite("v")
+    return long.groupBy("column_name").agg(F.count(F.when(odd, 1)).alias("n"))
+
+
 def to_long(df: DataFrame, fields: Sequence[str], time: str = "date", tags: Sequence[str] = ("symbol",)) -> DataFrame:
     """Wide bars to (_time, tags, _field, _value)."""
     return df.unpivot([time, *tags], list(fields), "_field", "_value").withColumnRenamed(time, "_time")

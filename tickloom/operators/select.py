@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import in_session, price_signal
 from tickloom.operators.series import as_keys
-from tickloom.schema import FIELD_NAMES
+from tickloom.schema import ACCOUNT_FIELDS, ACCOUNT_KEYS, FIELD_NAMES
+
+
+# Spark's default bound on ranks that it filters before a shuffle; parts of a key beyond it.
+GROUP_LIMIT = 1000
+SHARES = 64
 
 
 def market_session(
@@ -67,6 +72,13 @@ def subscribe(
     return subscribe_many(content, {service.upper(): (keys, fields)})
 
 
+def account_activity(
+    content: DataFrame, keys: str | Sequence[object] = ACCOUNT_KEYS, fields: str | Sequence[object] = ACCOUNT_FIELDS
+) -> DataFrame:
+    """Feed items of the account service, by default all of them."""
+    return subscribe(content, "ACCT_ACTIVITY", keys, fields)
+
+
 def time_range(
     df: DataFrame,
     interval: str = "1 minute",
@@ -95,12 +107,19 @@ def last_rows(
 ) -> DataFrame:
     """The last n rows in time order, over all rows or per key.
 
-    Per key the rank filter also runs before the shuffle, so each task sends n rows per key.
+    Per key the rank filter also runs before the shuffle, so each task sends n rows per key; Spark
+    does that up to GROUP_LIMIT. For larger n a key is first ranked in SHARES parts, by a hash of
+    the order, of which each keeps n rows.
     """
     newest_first = [F.col(c).desc() for c in order]
     if keys is None:
         return df.orderBy(*newest_first).limit(n).orderBy(*order)
-    rank = F.row_number().over(Window.partitionBy(*as_keys(keys)).orderBy(*newest_first))
+    keys = as_keys(keys)
+    if n > GROUP_LIMIT:
+        part = Window.partitionBy(*keys, "_part").orderBy(*newest_first)
+        df = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(SHARES)))
+        df = df.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= n).drop("_part", "_rank")
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
@@ -119,3 +138,11 @@ def business_days(df: DataFrame, ts: str = "ts") -> DataFrame:
     span = df.agg(F.min(F.to_date(ts)).alias("lo"), F.max(F.to_date(ts)).alias("hi"))
     days = span.select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias("day"))
     return days.where(F.weekday("day") < 5)
+
+
+def business_days_from(spark: SparkSession, start: date | str, periods: int) -> DataFrame:
+    """`periods` days from Monday to Friday, the first one on or after `start`."""
+    first = F.lit(start).cast("date")
+    # Any week has five such days, so this many days from the start hold enough of them.
+    days = spark.range(periods // 5 * 7 + 7).select(F.date_add(first, F.col("id").cast("int")).alias("day"))
+    return days.where(F.weekday("day") < 5).orderBy("day").limit(periods)

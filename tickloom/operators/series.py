@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CHUNK = "_chunk"
-BLOCK = "_block"
 HALO = "_halo"
 
 
@@ -59,11 +58,24 @@ def split_series(
     totals: Mapping[str, Column] | None = None,
     split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
-    """Add `_chunk` and `_halo` (true for copied rows) to every row.
+    """`cut_series`, without its frame."""
+    return cut_series(df, keys, order, look_back, totals, split)[0]
+
+
+def cut_series(
+    df: DataFrame,
+    keys: str | Sequence[str] = "symbol",
+    order: Sequence[str] = ("ts", "seq"),
+    look_back: int = 0,
+    totals: Mapping[str, Column] | None = None,
+    split: Split = DEFAULT_SPLIT,
+) -> tuple[DataFrame, Frame]:
+    """Add `_chunk` and `_halo` (true for copied rows) to every row; also gives the window's frame.
 
     `order[0]` is a timestamp; the rest of `order` breaks ties and must make it total.
     For each entry of `totals` the column of that name holds the sum of the expression
-    over all rows of the symbol before the row's chunk (0 for the first chunk).
+    over all rows of the symbol before the row's chunk (null where none has a value).
+    Runs the counting jobs at once, to see whether anything must be cut.
     """
     keys = as_keys(keys)
     totals = dict(totals or {})
@@ -71,6 +83,7 @@ def split_series(
     tie = f"{_tie_breaker(df, order)} AS _tie"
     lean = df.select(*keys, F.expr(at), F.expr(tie), *[value.alias(name) for name, value in totals.items()])
 
+    kinds = {t: per_sum.dataType for t, per_sum in zip(totals, lean.agg(*[F.sum(t).alias(t) for t in totals]).schema)} if totals else {}
     per_key = lean.groupBy(*keys).agg(F.expr("count(1) AS _n"), F.expr("min(_at) AS _lo"), F.expr("max(_at) AS _hi"))
     # Counting all rows reads no column of a Parquet table.
     rows = max(split.rows, look_back + 1)
@@ -83,14 +96,16 @@ def split_series(
         )
     )
     if large.isEmpty():
-        return df.select("*", *[F.lit(0).alias(t) for t in totals], F.lit(0).cast("bigint").alias(CHUNK), F.lit(False).alias(HALO))
+        nothing = [F.lit(None).cast(kind).alias(t) for t, kind in kinds.items()]
+        whole = df.select("*", *nothing, F.lit(0).cast("bigint").alias(CHUNK), F.lit(False).alias(HALO))
+        return whole, Frame(tuple(keys), tuple(order), False)
 
     of_large = lean.join(F.broadcast(large), F.expr(_same(keys, "_l_"))).selectExpr("*", f"{_SLICE} AS _slice")
     busy = _busy_slices(of_large, keys, split.slices)
     chunks = _chunk_table(of_large, busy, keys, look_back, list(totals))
 
     own_columns = [f"`{c}`" for c in df.columns]
-    return (
+    cut = (
         df.select("*", F.expr(at), F.expr(tie))
         .join(F.broadcast(large.drop("_limit")), F.expr(_same(keys, "_l_")), "left")
         .selectExpr(*own_columns, "_at", "_tie", f"{_SLICE} AS _slice")
@@ -99,18 +114,31 @@ def split_series(
         .join(F.broadcast(chunks), F.expr(_same([*keys, "_slice", "_piece"], "_c_")), "left")
         .selectExpr(
             *own_columns,
-            *[f"coalesce(`_t_{t}`, 0) AS `{t}`" for t in totals],
+            *[f"CAST(`_t_{t}` AS {kind.simpleString()}) AS `{t}`" for t, kind in kinds.items()],
             "coalesce(_targets[0], 0L) AS _own",
             f"explode(coalesce(_targets, array(0L))) AS {CHUNK}",
         )
         .selectExpr("* EXCEPT (_own)", f"{CHUNK} <> _own AS {HALO}")
     )
+    return cut, Frame(tuple(keys), tuple(order), True)
 
 
 def _tie_breaker(df: DataFrame, order: Sequence[str]) -> str:
-    """The second order column, where it is an integer that can be cut into steps."""
-    integral = len(order) > 1 and isinstance(df.schema[order[1]].dataType, T.IntegralType)
-    return f"CAST(`{order[1]}` AS BIGINT)" if integral else "CAST(NULL AS BIGINT)"
+    """The second order column as an integer that grows with it, so that it can be cut into steps.
+
+    Of text, the first seven bytes count; texts that share them, and types without such a number,
+    are not cut apart.
+    """
+    kind = df.schema[order[1]].dataType if len(order) > 1 else None
+    if isinstance(kind, T.IntegralType):
+        return f"CAST(`{order[1]}` AS BIGINT)"
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return f"unix_micros(CAST(`{order[1]}` AS TIMESTAMP))"
+    if isinstance(kind, T.DateType):
+        return f"CAST(unix_date(`{order[1]}`) AS BIGINT)"
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return f"CAST(conv(rpad(substr(hex(CAST(`{order[1]}` AS BINARY)), 1, 14), 14, '0'), 16, 10) AS BIGINT)"
+    return "CAST(NULL AS BIGINT)"
 
 
 def _step(lo: str, hi: str, slices: int) -> str:
@@ -168,7 +196,7 @@ def _chunk_table(
             f"coalesce(sum(_n) {earlier}, 0L) AS _before",
             "_n",
             "_limit",
-            *[f"coalesce(sum(`{t}`) {earlier}, 0) AS `{t}`" for t in totals],
+            *[f"sum(`{t}`) {earlier} AS `{t}`" for t in totals],
         )
         .selectExpr("*", "_before div _limit AS _own", "_before + _n AS _end")
         .selectExpr("*", f"lead(_own) OVER (PARTITION BY {by_key} ORDER BY _slice, _piece) AS _next")
@@ -189,31 +217,28 @@ def _chunk_table(
     )
 
 
-def split_blocks(
-    df: DataFrame, keys: str | Sequence[str], order: Sequence[str], look_back: int, rows: int = 8192
-) -> DataFrame:
-    """Cut each chunk once more, into short blocks with their own halo, inside its task.
+@dataclass(frozen=True)
+class Frame:
+    """The window over a symbol's chunk. As text it is `PARTITION BY ... ORDER BY ...`.
 
-    For operators that stack many window steps: each step keeps only one block in memory.
-    No shuffle, as (symbol, chunk, block) is already grouped by (symbol, chunk).
+    `cut` says whether any symbol is cut, so that rows before a chunk lie in other chunks.
     """
-    rows = max(rows, 4 * look_back)
-    return (
-        df.selectExpr("*", f"row_number() OVER ({chunk_window(keys, order)}) - 1 AS _pos")
-        .selectExpr(
-            "*",
-            f"""explode(CASE WHEN _pos % {rows} >= {rows - look_back}
-                THEN array(_pos div {rows}, _pos div {rows} + 1) ELSE array(_pos div {rows}) END) AS {BLOCK}""",
-        )
-        .selectExpr(f"* EXCEPT (_pos, {HALO})", f"{HALO} OR {BLOCK} <> _pos div {rows} AS {HALO}")
-    )
 
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    cut: bool
+
+    @property
+    def partition(self) -> str:
+        return ", ".join(f"`{c}`" for c in (*self.keys, CHUNK))
+
+    @property
+    def ordering(self) -> str:
+        return ", ".join(f"`{c}`" for c in self.order)
 
-def chunk_window(keys: str | Sequence[str], order: Sequence[str], blocks: bool = False) -> str:
-    """The window over a symbol's chunk, as SQL text."""
-    columns = [*as_keys(keys), CHUNK, *([BLOCK] if blocks else [])]
-    return "PARTITION BY {} ORDER BY {}".format(*(", ".join(f"`{c}`" for c in part) for part in (columns, order)))
+    def __str__(self) -> str:
+        return f"PARTITION BY {self.partition} ORDER BY {self.ordering}"
 
 
 def drop_halo(df: DataFrame) -> DataFrame:
-    return df.where(~F.col(HALO)).drop(CHUNK, BLOCK, HALO)
+    return df.where(~F.col(HALO)).drop(CHUNK, HALO)

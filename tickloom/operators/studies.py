@@ -7,8 +7,7 @@ the studies before it. Rows are ordered by (ts, seq).
 
 from __future__ import annotations
 
-import math
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -16,23 +15,21 @@ from pyspark.sql import functions as F
 
 from tickloom.functions.columns import direction
 from tickloom.operators.select import last_rows
-from tickloom.operators.series import (
-    DEFAULT_SPLIT,
-    Split,
-    chunk_window,
-    drop_halo,
-    split_blocks,
-    split_series,
-)
+from tickloom.operators.scan import horizon, smooth
+from tickloom.operators.series import DEFAULT_SPLIT, Frame, Split, cut_series, drop_halo
 
 
 @dataclass(frozen=True)
 class Study:
-    """`add(df, window)` gets the SQL text of the window, `PARTITION BY ... ORDER BY ...`."""
+    """`add(df, frame)` gets the window's frame, whose text is `PARTITION BY ... ORDER BY ...`.
+
+    `look_back` counts the earlier rows that windows reach. A study that scans all earlier rows says
+    in `horizon` how many of them weigh anything in a double.
+    """
 
     look_back: int
-    add: Callable[[DataFrame, str], DataFrame]
-    many_steps: bool = False
+    add: Callable[[DataFrame, Frame], DataFrame]
+    horizon: int = 0
 
 
 def with_studies(
@@ -42,15 +39,19 @@ def with_studies(
     order: Sequence[str] = ("ts", "seq"),
     split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
-    """All studies in one pass over the ordered series of each symbol."""
-    look_back = sum(s.look_back for s in studies)
-    blocks = any(s.many_steps for s in studies)
-    out = split_series(df, keys, order, look_back, split=split)
-    if blocks:
-        out = split_blocks(out, keys, order, look_back)
-    window = chunk_window(keys, order, blocks)
-    for study in studies:
-        out = study.add(out, window)
+    """All studies in one pass over the ordered series of each symbol.
+
+    A scan of a cut symbol drops the copied rows; if a later study needs some, the series is cut anew.
+    """
+    rest = [s.look_back for s in studies]
+    out, frame = cut_series(df, keys, order, sum(rest), split=split)
+    scanned = False
+    for i, study in enumerate(studies):
+        if scanned and frame.cut and study.look_back:
+            out, frame = cut_series(drop_halo(out), keys, order, sum(rest[i:]), split=split)
+            scanned = False
+        out = study.add(out, frame)
+        scanned = scanned or bool(study.horizon)
     return drop_halo(out)
 
 
@@ -69,7 +70,7 @@ def sma(price: str = "close", n: int = 3, out: str = "sma", full: bool = False)
     The first rows average what there is; with `full` they get null until n prices exist.
     """
 
-    def add(df: DataFrame, w: str) -> DataFrame:
+    def add(df: DataFrame, w: Frame) -> DataFrame:
         mean = f"avg(`{price}`) OVER ({w} {_last(n)})"
         if full:
             mean = f"CASE WHEN count(`{price}`) OVER ({w} {_last(n)}) = {n} THEN {mean} END"
@@ -86,7 +87,7 @@ def diff(column: str, out: str) -> Study:
 def trend(column: str = "sma", out: str = "trend", labels: Sequence[str] = ("up", "down", "flat")) -> Study:
     """Direction of the change against the row before; the first row is flat."""
 
-    def add(df: DataFrame, w: str) -> DataFrame:
+    def add(df: DataFrame, w: Frame) -> DataFrame:
         changed = _plus(df, _change=f"`{column}` - lag(`{column}`) OVER ({w})")
         return changed.withColumn(out, direction(F.col("_change"), labels)).drop("_change")
 
@@ -96,7 +97,7 @@ def trend(column: str = "sma", out: str = "trend", labels: Sequence[str] = ("up"
 def bollinger(price: str = "close", n: int = 15, width: float = 2.0, prefix: str = "bb") -> Study:
     """Mean and mean +/- `width` sample deviations over n rows; null until n prices exist."""
 
-    def add(df: DataFrame, w: str) -> DataFrame:
+    def add(df: DataFrame, w: Frame) -> DataFrame:
         frame = f"OVER ({w} {_last(n)})"
         banded = _plus(
             df,
@@ -116,7 +117,7 @@ def volume_direction(
 ) -> Study:
     """Up when the price is not below the row before; null on the first row."""
 
-    def add(df: DataFrame, w: str) -> DataFrame:
+    def add(df: DataFrame, w: Frame) -> DataFrame:
         followed = _plus(df, _previous=f"lag(`{price}`) OVER ({w})")
         rose, fell = F.col(price) >= F.col("_previous"), F.col(price) < F.col("_previous")
         return followed.withColumn(out, F.when(rose, labels[0]).when(fell, labels[1])).drop("_previous")
@@ -130,88 +131,42 @@ def rsi(price: str = "close", n: int = 14, out: str = "rsi", wilder: bool = Fals
     Means are simple; with `wilder` they are exponential with weight 1/n, from the first change.
     """
 
-    def add(df: DataFrame, w: str) -> DataFrame:
+    def add(df: DataFrame, w: Frame) -> DataFrame:
         moves = _plus(df, _d=f"`{price}` - lag(`{price}`) OVER ({w})")
         moves = _plus(moves, _up="if(_d > 0, _d, _d * 0)", _down="if(_d < 0, -_d, _d * 0)")
+        frame = f"OVER ({w} {_last(n)})"
         if wilder:
-            means = _smooth(moves, w, {"_g": ("_up", 1 / n), "_l": ("_down", 1 / n)})
-            means = _plus(means, _m=f"count(_d) OVER ({w} {_last(n)})")
+            counted = _plus(moves, _m=f"count(_d) {frame}")
+            means = smooth(counted, w, {"_g": ("_up", 1 / n), "_l": ("_down", 1 / n)})
         else:
-            frame = f"OVER ({w} {_last(n)})"
             means = _plus(moves, _g=f"avg(_up) {frame}", _l=f"avg(_down) {frame}", _m=f"count(_d) {frame}")
         strength = f"""CASE WHEN _m < {n} THEN NULL WHEN _l > 0 THEN 100 - 100 / (1 + _g / _l)
             WHEN _g > 0 THEN 100D END"""
         return _plus(means, **{out: strength}).drop("_d", "_up", "_down", "_g", "_l", "_m")
 
-    if wilder:
-        return Study(n + memory_rows(1 / n), add, many_steps=True)
-    return Study(n, add)
-
-
-# Rows per step of the exponential sums.
-_FAN = 8
-
+    return Study(n, add, horizon(1 / n) if wilder else 0)
 
-def memory_rows(alpha: float) -> int:
-    """Rows after which (1 - alpha)^rows is below 2^-53, as a power of `_FAN`.
 
-    What lies further back weighs less than half a unit in the last place of a double.
-    """
-    if alpha >= 1:
-        return 1
-    return _FAN ** math.ceil(math.log(-53 * math.log(2) / math.log1p(-alpha), _FAN))
-
-
-def _smooth(df: DataFrame, w: str, columns: Mapping[str, tuple[str, float]]) -> DataFrame:
-    """Exponential means y = a*x + (1-a)*y_prev, the first non-null value as the start.
+def ema(price: str = "close", n: int = 12, out: str = "ema") -> Study:
+    """Exponential moving average with alpha = 2 / (n + 1), started at the first price.
 
-    The recurrence is summed in a few steps of lags: S(1) = a*x, and with q = 1 - a the sum
-    S(fk)[i] = S(k)[i] + q^k S(k)[i-k] + q^2k S(k)[i-2k] + ... over f terms covers f*k rows. So a
-    history of m rows takes log(m) window steps, all over the same sorted rows.
-    Nulls may only come before the first value.
+    A null price leaves it as it was.
     """
-    plain = [f"`{c}`" for c in df.columns]
-    df = _plus(
-        df,
-        **{
-            out: f"""CASE WHEN `{x}` IS NULL THEN 0D WHEN lag(`{x}`) OVER ({w}) IS NULL THEN `{x}`
-                ELSE `{x}` * {alpha!r}D END"""
-            for out, (x, alpha) in columns.items()
-        },
-    )
-    reach = 1
-    while reach < max(memory_rows(a) for _, a in columns.values()):
-        sums = []
-        for out, (_, alpha) in columns.items():
-            terms = [f"`{out}`"]
-            if memory_rows(alpha) > reach:
-                lags = [reach * j for j in range(1, _FAN)]
-                terms += [f"{(1 - alpha) ** k!r}D * lag(`{out}`, {k}, 0D) OVER ({w})" for k in lags]
-            sums.append(f"{' + '.join(reversed(terms))} AS `{out}`")
-        df = df.selectExpr(*plain, *sums)
-        reach *= _FAN
-    return df
-
-
-def ema(price: str = "close", n: int = 12, out: str = "ema") -> Study:
-    """Exponential moving average with alpha = 2 / (n + 1), started at the first price."""
     alpha = 2 / (n + 1)
-    return Study(memory_rows(alpha), lambda df, w: _smooth(df, w, {out: (price, alpha)}), many_steps=True)
+    return Study(0, lambda df, w: smooth(df, w, {out: (price, alpha)}), max(1, horizon(alpha)))
 
 
 def macd(price: str = "close", fast: int = 12, slow: int = 26, signal: int = 9) -> Study:
     """Columns macd (fast EMA - slow EMA), macd_signal (EMA of macd) and macd_hist."""
     a_fast, a_slow, a_signal = (2 / (n + 1) for n in (fast, slow, signal))
 
-    def add(df: DataFrame, w: str) -> DataFrame:
-        both = _smooth(df, w, {"_fast": (price, a_fast), "_slow": (price, a_slow)})
+    def add(df: DataFrame, w: Frame) -> DataFrame:
+        both = smooth(df, w, {"_fast": (price, a_fast), "_slow": (price, a_slow)})
         line = _plus(both, macd="_fast - _slow").drop("_fast", "_slow")
-        line = _smooth(line, w, {"macd_signal": ("macd", a_signal)})
+        line = smooth(line, w, {"macd_signal": ("macd", a_signal)})
         return _plus(line, macd_hist="macd - macd_signal")
 
-    return Study(
-        max(memory_rows(a_fast), memory_rows(a_slow)) + memory_rows(a_signal), add, many_steps=True
-    )
+    return Study(0, add, max(horizon(a_fast), horizon(a_slow)) + horizon(a_signal))
 
 
 def sma_trend(df: DataFrame, price: str = "close", n: int = 3, **options) -> DataFrame:
@@ -254,8 +209,11 @@ def cumulative_sum(
     order: Sequence[str] = ("ts", "seq"),
     split: Split = DEFAULT_SPLIT,
 ) -> DataFrame:
-    """Running sum per symbol. Use a DECIMAL value where the sum must not depend on grouping."""
-    carried = split_series(df, keys, order, totals={"_carry": value}, split=split)
-    running = f"sum(_value) OVER ({chunk_window(keys, order)} ROWS UNBOUNDED PRECEDING)"
-    summed = _plus(carried.withColumn("_value", value), **{out: f"_carry + {running}"})
-    return drop_halo(summed.drop("_carry", "_value"))
+    """Running sum per symbol; null until the first value. Use a DECIMAL value where the sum must not
+    depend on grouping. The type is that of the value's sum, whether symbols are cut or not."""
+    carried, frame = cut_series(df, keys, order, totals={"_carry": value}, split=split)
+    running = f"sum(_value) OVER ({frame} ROWS UNBOUNDED PRECEDING)"
+    summed = _plus(carried.withColumn("_value", value), _running=running)
+    kind = summed.schema["_running"].dataType.simpleString()
+    total = f"CAST(coalesce(_carry + _running, _carry, _running) AS {kind})"
+    return drop_halo(_plus(summed, **{out: total}).drop("_carry", "_value", "_running"))

@@ -11,34 +11,8 @@ from pyspark.sql import types as T
 from tickloom.functions.columns import as_list
 from tickloom.schema import FIELD_NAMES
 
-SMALL_ROWS = 100_000
-SALTS = 64
 
-
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Counts at most max_rows + 1 rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def join_small(
-    large: DataFrame, small: DataFrame, on: Sequence[str], spread: Column, fits: bool, how: str = "left"
-) -> DataFrame:
-    """Join where one value of `on` may hold most rows of `large`.
-
-    `small` is broadcast only when it was counted to be small (`fits`). Otherwise both sides get
-    a salt, `small` once per salt, so that a busy value is spread over many tasks.
-    """
-    if fits:
-        return large.join(F.broadcast(small), list(on), how)
-    salted = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return (
-        large.withColumn("_salt", F.pmod(F.hash(spread), F.lit(SALTS)))
-        .join(salted, [*on, "_salt"], how)
-        .drop("_salt")
-    )
-
-
-def subscription_state(log: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def subscription_state(log: DataFrame) -> DataFrame:
     """Replay (seq, service, command, keys, fields) into (service, key, fields).
 
     ADD inserts keys or unions their fields; SUBS clears the service and sets its keys; UNSUBS
@@ -72,14 +46,12 @@ def subscription_state(log: DataFrame, small_rows: int = SMALL_ROWS) -> DataFram
         F.max_by("fields", F.when(is_view, F.col("seq"))).alias("_view_fields"),
     )
 
-    fits = is_small(per_service.select("service"), small_rows)
-
     by_key = real.where(~is_view).select(
         "service", "seq", "command", "fields", F.explode("keys").alias("key")
     )
     adds = F.col("command") != "UNSUBS"
     per_field = (
-        join_small(by_key, per_service.select("service", "_view"), ["service"], F.col("seq"), fits)
+        by_key.join(per_service.select("service", "_view"), "service", "left")
         .withColumn("field", F.explode_outer(F.when(adds, F.col("fields"))))
         .groupBy("service", "key", "field")
         .agg(
@@ -95,7 +67,7 @@ def subscription_state(log: DataFrame, small_rows: int = SMALL_ROWS) -> DataFram
         F.max("_removed").alias("_removed"),
         F.collect_list(F.when(F.col("field").isNotNull(), F.struct("field", F.col("_added").alias("seq")))).alias("_seen"),
     )
-    state = join_small(per_key, per_service, ["service"], F.col("key"), fits)
+    state = per_key.join(per_service, "service", "left")
     # A reset row is itself live, an UNSUBS row is not: keep seq >= reset and seq > removed.
     since = F.greatest(F.coalesce("_reset", F.lit(-(2**63))), F.coalesce(F.col("_removed") + 1, F.lit(-(2**63))), cleared)
     state = state.withColumn("_since", since).where(F.col("_added") >= F.col("_since"))
@@ -114,16 +86,14 @@ def subscription_state(log: DataFrame, small_rows: int = SMALL_ROWS) -> DataFram
     return state.select("service", "key", F.sort_array(F.array_distinct(fields)).alias("fields"))
 
 
-def subscribed(content: DataFrame, state: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def subscribed(content: DataFrame, state: DataFrame) -> DataFrame:
     """Feed items that a subscription state asks for, each with the fields its key asks for.
 
-    `content` comes from `ingest.explode_content`, `state` from `subscription_state`, best as a
-    stored table, as it is counted before the join. Fields that were not asked for are null.
+    `content` comes from `ingest.explode_content`, `state` from `subscription_state`. Adaptive execution
+    broadcasts a small state and splits the items of a busy key. Fields that were not asked for are null.
     """
     items = content.withColumn("key", F.col("content.key"))
-    kept = join_small(
-        items, state, ["service", "key"], F.xxhash64("timestamp", "content"), is_small(state, small_rows), "inner"
-    )
+    kept = items.join(state, ["service", "key"])
     fields = [
         F.when(F.array_contains("fields", i), F.col(f"content.`{i}`")).alias(name) for i, name in FIELD_NAMES.items()
     ]

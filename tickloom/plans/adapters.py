@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.bars import ohlcv_bars
 from tickloom.operators.profile import to_long
+from tickloom.session import scratch_dir
 from tickloom.schema import MONTH_CODES, SERVICES, SORT_FIELDS
 from tickloom.sinks.points import BAR_FIELDS
 from tickloom.sources.files import stream_parquet
@@ -38,10 +39,41 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_ticks(events(spark, sf_dir))
 
 
+def sparse_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks as a feed sends them: fields that did not change are left out, also at the edges of hours."""
+    k = F.col("volume").cast("bigint")
+    return ticks(spark, sf_dir).withColumns(
+        {"price": F.when(k % 3 != 0, F.col("price")), "close": F.when(k % 5 != 0, F.col("close")), "volume": F.when(k % 4 != 0, F.col("volume"))}
+    )
+
+
+def flat_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks whose price stands still in the second third of each symbol's rows."""
+    order = Window.partitionBy("symbol").orderBy("ts", "seq")
+    part = F.ntile(3).over(order)
+    return ticks(spark, sf_dir).select("symbol", "ts", "seq", F.when(part == 2, 50.0).otherwise(F.col("close")).alias("close"))
+
+
+def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prices of which some are infinite or no number."""
+    k = F.col("volume").cast("bigint")
+    price = F.when(k == 0, float("inf")).when(k == 1, float("-inf")).when(k == 2, float("nan")).otherwise(F.col("price"))
+    return ticks(spark, sf_dir).select(price.alias("price"), "volume")
+
+
+STREAM_FILES = 4
+
+
 def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same table as a file stream; the pattern matches a single file and a folder of files."""
-    schema = events(spark, sf_dir).schema
-    return as_ticks(stream_parquet(spark, f"{sf_dir}/events.parquet*", schema))
+    """Ticks as a file stream of STREAM_FILES micro-batches, the oldest ticks first."""
+    path = scratch_dir(spark, "tick_files")
+    rows = ticks(spark, sf_dir)
+    lo, hi = rows.agg(F.min("seq"), F.max("seq")).first()
+    step = ((hi or 0) - (lo or 0)) // STREAM_FILES + 1
+    for i in range(STREAM_FILES):  # one after the other, as a stream takes files by age
+        part = rows.where(F.col("seq").between((lo or 0) + i * step, (lo or 0) + (i + 1) * step - 1))
+        part.coalesce(1).write.parquet(f"{path}/{i}")
+    return stream_parquet(spark, f"{path}/*", rows.schema)
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +108,24 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_k(events(spark, sf_dir)).select(F.to_json(envelope).alias("value"))
 
 
+def faulty_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes of two content items, some of which, or the whole message, cannot be used."""
+    k = F.col("k")
+    odd = (
+        F.when(k % 8 == 0, '{"key":"A","3":"abc","8":7}')
+        .when(k % 8 == 1, '{"3":1.5}')
+        .when(k % 8 == 2, '{"key":"A","8":7.5}')
+        .when(k % 8 == 3, '{"key":"A","22":1}')
+        .otherwise('{"key":"A","3":2.5}')
+    )
+    good = F.concat(F.lit('{"key":"B","3":'), F.col("event_id").cast("string"), F.lit("}"))
+    time = F.when(k % 10 == 9, "null").otherwise("1704067200000")
+    text = F.concat(
+        F.lit('{"data":[{"service":"S","timestamp":'), time, F.lit(',"content":['), good, F.lit(","), odd, F.lit("]}]}")
+    )
+    return with_k(events(spark, sf_dir)).select(F.when(k == 50, "nonsense").when(k == 51, "").otherwise(text).alias("value"))
+
+
 def bar_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One bar message per event; k = 0 to 5 are the odd ones a consumer has to survive."""
     k = F.col("k")

@@ -231,7 +231,7 @@ _LATEST = f"""WITH {_TICKS}
 SELECT * FROM ticks QUALIFY row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, seq DESC) = 1"""
 
 
-def _screener(field: str) -> str:
+def _screener(field: str, bars: str = _BARS) -> str:
     score = {
         "VOLUME": "volume",
         "TRADES": "CAST(trades AS DOUBLE)",
@@ -241,7 +241,7 @@ def _screener(field: str) -> str:
            / (count(*) OVER (PARTITION BY symbol) - 1))""",
     }[field]
     direction = "ASC" if field == "PERCENT_CHANGE_DOWN" else "DESC"
-    return f"""WITH {_BARS}, metrics AS (
+    return f"""WITH {bars}, metrics AS (
   SELECT symbol, date AS window_start, volume, trades,
          (close - open) / CASE WHEN open <> 0 THEN open END * 100 AS change FROM bars),
 scored AS (SELECT symbol, window_start, {score} AS score FROM metrics),
@@ -333,6 +333,106 @@ parsed AS (
 SELECT class, underlying, expiry, count(*) AS instruments, min(strike) AS min_strike, max(strike) AS max_strike
 FROM parsed GROUP BY ALL"""
 
+_SPARSE = f"""{_EVENTS}, ticks AS (
+  SELECT event_type AS symbol, ts, event_id AS seq, CASE WHEN k % 3 <> 0 THEN value END AS price,
+         CASE WHEN k % 5 <> 0 THEN value END AS close, CASE WHEN k % 4 <> 0 THEN CAST(k AS DOUBLE) END AS volume
+  FROM events_k)"""
+
+_SPARSE_BARS = f"""{_SPARSE}, bars AS (
+  SELECT symbol, date_trunc('hour', ts) AS date, arg_min(price, seq) FILTER (price IS NOT NULL) AS open,
+         max(price) AS high, min(price) AS low, arg_max(price, seq) FILTER (price IS NOT NULL) AS close,
+         sum(volume) AS volume, count(*) AS trades
+  FROM ticks GROUP BY ALL)"""
+
+_RSI_FLAT = f"""WITH RECURSIVE {_EVENTS}, parts AS (
+  SELECT event_type AS symbol, ts, event_id AS seq, value,
+         ntile(3) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS part FROM events_k),
+ticks AS (SELECT symbol, ts, seq, CASE WHEN part = 2 THEN 50.0 ELSE value END AS close FROM parts),
+moved AS (
+  SELECT symbol, ts, seq, close, row_number() OVER w AS rn, close - lag(close) OVER w AS d
+  FROM ticks WINDOW w AS (PARTITION BY symbol ORDER BY ts, seq)),
+smoothed AS (
+  SELECT symbol, rn, greatest(d, 0.0) AS g, greatest(-d, 0.0) AS l FROM moved WHERE rn = 2
+  UNION ALL
+  SELECT m.symbol, m.rn, greatest(m.d, 0.0) / 14 + s.g * 13 / 14, greatest(-m.d, 0.0) / 14 + s.l * 13 / 14
+  FROM smoothed s JOIN moved m ON m.symbol = s.symbol AND m.rn = s.rn + 1)
+SELECT m.symbol, m.ts, m.seq, m.close, round(CASE WHEN m.rn < 15 THEN NULL WHEN l > 0 THEN 100 - 100 / (1 + g / l)
+       WHEN g > 0 THEN 100.0 END, 6) AS rsi
+FROM moved m LEFT JOIN smoothed s ON s.symbol = m.symbol AND s.rn = m.rn"""
+
+_EMA_NULLS = f"""WITH RECURSIVE {_SPARSE}, numbered AS (
+  SELECT symbol, ts, seq, close, row_number() OVER (PARTITION BY symbol ORDER BY ts, seq) AS rn FROM ticks),
+smoothed AS (
+  SELECT symbol, rn, close AS ema FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.symbol, n.rn, CASE WHEN n.close IS NULL THEN s.ema WHEN s.ema IS NULL THEN n.close
+         ELSE CAST(2 AS DOUBLE) / 27 * n.close + CAST(25 AS DOUBLE) / 27 * s.ema END
+  FROM smoothed s JOIN numbered n ON n.symbol = s.symbol AND n.rn = s.rn + 1)
+SELECT symbol, ts, seq, close, round(ema, 6) AS ema FROM numbered JOIN smoothed USING (symbol, rn)"""
+
+_CUMULATIVE_NULLS = f"""WITH {_SPARSE}
+SELECT symbol, ts, seq, price, CAST(sum(CAST(price AS DECIMAL(18, 2))) OVER (
+  PARTITION BY symbol ORDER BY ts, seq ROWS UNBOUNDED PRECEDING) AS DECIMAL(28, 2)) AS total FROM ticks"""
+
+_TICK_JSON_FULL = f"""WITH {_SPARSE}
+SELECT symbol, ts AS date, close AS open, close AS high, close AS low, close, volume, price AS "lastPrice",
+       price AS "bidPrice", CAST(volume AS INTEGER) AS "bidSize", price + 1 AS "askPrice", CAST(volume AS INTEGER) AS "askSize"
+FROM ticks WHERE close IS NOT NULL OR volume IS NOT NULL OR price IS NOT NULL"""
+
+_PRICES = f"WITH {_SPARSE} SELECT symbol, price, volume, seq FROM ticks WHERE price IS NOT NULL"
+
+_FAULTS = f"""{_EVENTS}, sent AS (
+  SELECT *, k % 8 AS fault, k % 10 = 9 AS timeless, k = 50 AS nonsense, k = 51 AS nothing FROM events_k),
+good AS (SELECT * FROM sent WHERE NOT nonsense AND NOT nothing),
+items AS (
+  SELECT 'B' AS symbol, CAST(event_id AS DOUBLE) AS price, CASE WHEN timeless THEN 'no_time' END AS reason FROM good
+  UNION ALL
+  SELECT CASE WHEN fault <> 1 THEN 'A' END, CASE fault WHEN 1 THEN 1.5 ELSE 2.5 END,
+         CASE WHEN fault IN (0, 2) THEN 'bad_field' WHEN fault = 1 THEN 'no_symbol' WHEN timeless THEN 'no_time'
+              WHEN fault = 3 THEN 'no_value' END FROM good)"""
+
+_FEED_REJECTED = f"""WITH {_FAULTS}
+SELECT reject_reason, count(*) AS n FROM (
+  SELECT reason AS reject_reason FROM items WHERE reason IS NOT NULL
+  UNION ALL SELECT CASE WHEN nonsense THEN 'malformed' ELSE 'empty' END FROM sent WHERE nonsense OR nothing)
+GROUP BY 1"""
+
+_FEED_ACCEPTED = f"""WITH {_FAULTS}
+SELECT symbol, count(*) AS n, sum(price) AS total FROM items WHERE reason IS NULL GROUP BY 1"""
+
+_BAR_CSV = f"WITH {_BARS} SELECT symbol, date, open, high, low, close, volume FROM bars"
+
+_LINES_REJECTED = f"""WITH {_BARS}
+SELECT CASE WHEN hour(date) = 7 THEN 'no_time' ELSE 'no_value' END AS reject_reason, count(*) AS n
+FROM bars WHERE hour(date) IN (5, 7) GROUP BY 1"""
+
+_POINTS_TAGGED = f"""WITH {_BARS}
+SELECT 'bars,stock=' || symbol || ',venue=v\\ ' || symbol || ' close=' || close || ' ' || epoch_ms(date) AS line FROM bars
+UNION ALL SELECT symbol || '|v ' || symbol FROM bars"""
+
+_LINES_STREAM = f"""WITH {_TICKS}
+SELECT 'ticks,stock=' || symbol || ' price=' || price || ',volume=' || volume || ' ' || epoch_ms(date_trunc('millisecond', ts)) AS line FROM ticks"""
+
+_DAYS_FROM = """WITH days AS (
+  SELECT CAST(unnest(generate_series(DATE '2024-01-06', DATE '2024-02-28', INTERVAL 1 DAY)) AS DATE) AS day),
+first AS (SELECT day FROM days WHERE isodow(day) <= 5 ORDER BY day LIMIT 20),
+per_day AS (SELECT CAST(ts AS DATE) AS day, count(*) AS ticks FROM events GROUP BY 1)
+SELECT day, coalesce(ticks, 0) AS ticks FROM first LEFT JOIN per_day USING (day)"""
+
+_HISTOGRAM_NONFINITE = f"""WITH {_EVENTS}, bounds AS (
+  SELECT min(value) AS lo, max(value) AS hi, (max(value) - min(value)) / 15 AS step FROM events_k WHERE k > 2),
+counted AS (
+  SELECT least(CAST(floor((value - lo) / step) AS INTEGER) + 1, 15) AS bin, count(*) AS n
+  FROM events_k CROSS JOIN bounds WHERE k > 2 GROUP BY 1)
+SELECT CAST(b.bin AS INTEGER) AS bin, coalesce(n, 0) AS n FROM range(1, 16) AS b(bin) LEFT JOIN counted USING (bin)
+UNION ALL SELECT 0, count(*) FROM events_k WHERE k <= 2"""
+
+_LATEST_PER_FIELD = f"""WITH {_SPARSE}
+SELECT symbol, max(ts) AS ts, max(seq) AS seq, arg_max(price, seq) FILTER (price IS NOT NULL) AS price,
+       arg_max(close, seq) FILTER (close IS NOT NULL) AS close, arg_max(volume, seq) FILTER (volume IS NOT NULL) AS volume
+FROM ticks GROUP BY 1"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "sma_trend_counts": _sma_trend("SELECT symbol, trend, count(*) AS n FROM labelled GROUP BY ALL"),
     "sma_trend": _sma_trend("SELECT * FROM labelled"),
@@ -340,15 +440,22 @@ ORACLE_SQL: dict[str, str] = {
     "sma_trend_stream": _sma_trend("SELECT * FROM labelled"),
     "sma_full_window": _SMA_FULL,
     "sma_stream": _SMA_FULL,
+    "sma_keyed_stream": _SMA_FULL,
     "rsi_14": _RSI,
     "rsi_14_split": _RSI,
     "rsi_14_wilder": _RSI_WILDER,
+    "rsi_14_wilder_flat": _RSI_FLAT,
+    "rsi_14_wilder_flat_split": _RSI_FLAT,
+    "ema_nulls": _EMA_NULLS,
+    "ema_nulls_split": _EMA_NULLS,
     "macd": _MACD,
     "macd_split": _MACD_TICKS,
     "bollinger_15_2": _BOLLINGER,
     "price_diff": _PRICE_DIFF,
     "cumulative_value": _CUMULATIVE,
     "cumulative_value_split": _CUMULATIVE,
+    "cumulative_nulls": _CUMULATIVE_NULLS,
+    "cumulative_nulls_split": _CUMULATIVE_NULLS,
     "volume_direction": _VOLUME_DIRECTION,
     "studies_tail_60": _STUDIES_TAIL,
     "envelope_route_counts": _ROUTE_COUNTS,
@@ -356,6 +463,14 @@ ORACLE_SQL: dict[str, str] = {
     "parse_bars": _PARSE_BARS,
     "rejected_counts": _REJECTED,
     "tick_json": _TICK_JSON,
+    "tick_json_full": _TICK_JSON_FULL,
+    "price_messages": _PRICES,
+    "feed_rejected_counts": _FEED_REJECTED,
+    "feed_accepted_counts": _FEED_ACCEPTED,
+    "bar_csv": _BAR_CSV,
+    "lines_rejected_counts": _LINES_REJECTED,
+    "points_tagged": _POINTS_TAGGED,
+    "line_protocol_stream": _LINES_STREAM,
     "line_protocol": _LINES,
     "points": _POINTS,
     "subscribe_filter": _SUBSCRIBE,
@@ -368,12 +483,18 @@ ORACLE_SQL: dict[str, str] = {
     "last_60_per_symbol": _LAST_PER_SYMBOL,
     "head_5": _HEAD,
     "business_days": _BUSINESS_DAYS,
+    "business_days_from": _DAYS_FROM,
+    "histogram_nonfinite": _HISTOGRAM_NONFINITE,
     "histogram_15": _HISTOGRAM,
     "table_profile_events": _profile("events", dict.fromkeys(_EVENT_COLUMNS)),
     "table_profile_lineitem": _profile("lineitem", _LINEITEM_TYPES),
     "ohlcv_bars": _OHLCV,
+    "ohlcv_bars_sparse": f"WITH {_SPARSE_BARS} SELECT * FROM bars",
+    "ohlcv_bars_stream_all": _OHLCV,
     "ohlcv_bars_closed_stream": _OHLCV_CLOSED,
     "latest_quote": _LATEST,
+    "latest_quote_per_field": _LATEST_PER_FIELD,
+    "screener_percent_change_up_sparse": _screener("PERCENT_CHANGE_UP", _SPARSE_BARS),
     **{f"screener_{f.lower()}": _screener(f) for f in SORT_FIELDS},
     "subscription_fold": _SUBSCRIPTIONS,
     "subscribed_feed": _SUBSCRIBED_FEED,

@@ -13,16 +13,17 @@ from tickloom.operators import ingest as I
 from tickloom.operators import select as S
 from tickloom.operators import studies as T
 from tickloom.operators.instruments import chain_summary, instrument_dimension
-from tickloom.operators.profile import histogram, pivot_fields, table_profile
+from tickloom.operators.profile import histogram, not_finite, pivot_fields, table_profile, to_long
 from tickloom.operators.series import Split
 from tickloom.operators.subscriptions import subscribed, subscription_state
 from tickloom.plans import adapters as A
 from tickloom.schema import BAR_SCHEMA, SERVICES, SORT_FIELDS
 from tickloom.session import configure, scratch_dir
-from tickloom.sinks.points import BAR_FIELDS, to_lines, to_points
+from tickloom.sinks.points import BAR_FIELDS, lines_rejects, to_lines, to_points, write_lines
+from tickloom.sources.files import read_bar_csv
 from tickloom.streaming.carried import studies_over_available
 from tickloom.streaming.keyed import keyed_sma
-from tickloom.streaming.run import collect_stream
+from tickloom.streaming.run import collect_stream, latest_of_updates, require_batches, start_batches
 from tickloom.streaming.windows import ohlcv_bars_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,13 +76,23 @@ def sma_full_window(spark, sf_dir):
 
 @_query
 def sma_stream(spark, sf_dir):
-    return _ntz(collect_stream(spark, keyed_sma(A.tick_stream(spark, sf_dir)), "sma_stream"), "ts")
+    """Only rows that close a full window of prices, as in `sma_full_window`."""
+    ticks = A.tick_stream(spark, sf_dir).select("symbol", "ts", "seq", "price").where(F.col("price").isNotNull())
+    study = T.sma("price", 3, full=True)
+    out = studies_over_available(spark, ticks, [study], "sma_stream", least_batches=A.STREAM_FILES)
+    return out.where(F.col("sma").isNotNull())
+
+
+@_query
+def sma_keyed_stream(spark, sf_dir):
+    out = collect_stream(spark, keyed_sma(A.tick_stream(spark, sf_dir)), "sma_keyed", least_batches=A.STREAM_FILES)
+    return _ntz(out, "ts")
 
 
 @_query
 def sma_trend_stream(spark, sf_dir):
     ticks = A.tick_stream(spark, sf_dir).select("symbol", "ts", "seq", "close")
-    return studies_over_available(spark, ticks, [T.sma(), T.trend()], "sma_trend_stream")
+    return studies_over_available(spark, ticks, [T.sma(), T.trend()], "sma_trend_stream", least_batches=A.STREAM_FILES)
 
 
 @_query
@@ -102,6 +113,28 @@ def rsi_14_wilder(spark, sf_dir):
     return _rounded(T.indicators(df, [T.rsi(wilder=True)], order=("date",)), "rsi")
 
 
+@_query
+def rsi_14_wilder_flat(spark, sf_dir):
+    return _rounded(T.indicators(A.flat_ticks(spark, sf_dir), [T.rsi(wilder=True)]), "rsi")
+
+
+@_query
+def rsi_14_wilder_flat_split(spark, sf_dir):
+    return _rounded(T.indicators(A.flat_ticks(spark, sf_dir), [T.rsi(wilder=True)], split=SMALL_SPLIT), "rsi")
+
+
+@_query
+def ema_nulls(spark, sf_dir):
+    df = A.sparse_ticks(spark, sf_dir).select("symbol", "ts", "seq", "close")
+    return _rounded(T.with_studies(df, [T.ema(n=26)]), "ema")
+
+
+@_query
+def ema_nulls_split(spark, sf_dir):
+    df = A.sparse_ticks(spark, sf_dir).select("symbol", "ts", "seq", "close")
+    return _rounded(T.with_studies(df, [T.ema(n=26)], split=SMALL_SPLIT), "ema")
+
+
 @_query
 def macd(spark, sf_dir):
     df = A.bars(spark, sf_dir).select("symbol", "date", "close")
@@ -128,7 +161,7 @@ def price_diff(spark, sf_dir):
 def _cumulative_value(spark, sf_dir, **options):
     df = S.rescale(A.ticks(spark, sf_dir).select("symbol", "ts", "seq", "price"), ["price"])
     return T.cumulative_sum(df, F.col("price").cast("decimal(18,2)"), "total", **options).select(
-        "symbol", "ts", "seq", F.round("price", 6).alias("price"), F.col("total").cast("decimal(28,2)").alias("total")
+        "symbol", "ts", "seq", F.round("price", 6).alias("price"), "total"
     )
 
 
@@ -142,6 +175,21 @@ def cumulative_value_split(spark, sf_dir):
     return _cumulative_value(spark, sf_dir, split=SMALL_SPLIT)
 
 
+def _cumulative_nulls(spark, sf_dir, **options):
+    df = A.sparse_ticks(spark, sf_dir).select("symbol", "ts", "seq", "price")
+    return T.cumulative_sum(df, F.col("price").cast("decimal(18,2)"), "total", **options)
+
+
+@_query
+def cumulative_nulls(spark, sf_dir):
+    return _cumulative_nulls(spark, sf_dir)
+
+
+@_query
+def cumulative_nulls_split(spark, sf_dir):
+    return _cumulative_nulls(spark, sf_dir, split=SMALL_SPLIT)
+
+
 @_query
 def volume_direction(spark, sf_dir):
     df = A.bars(spark, sf_dir).select("symbol", "date", "close", "volume")
@@ -189,6 +237,85 @@ def tick_json(spark, sf_dir):
     return _ntz(read.select("symbol", "date", "close", "volume"), "date")
 
 
+@_query
+def tick_json_full(spark, sf_dir):
+    """All twelve columns of published ticks, read again."""
+    df = A.sparse_ticks(spark, sf_dir)
+    sent = df.select(
+        "symbol",
+        F.col("ts").alias("date"),
+        *[F.col("close").alias(c) for c in ("open", "high", "low", "close")],
+        "volume",
+        F.col("price").alias("lastPrice"),
+        F.col("price").alias("bidPrice"),
+        F.col("volume").cast("int").alias("bidSize"),
+        (F.col("price") + 1).alias("askPrice"),
+        F.col("volume").cast("int").alias("askSize"),
+    )
+    return _ntz(I.accepted(I.parse_ticks(I.to_messages(sent).select("value"))).drop("value"), "date")
+
+
+@_query
+def price_messages(spark, sf_dir):
+    sent = I.to_messages(A.sparse_ticks(spark, sf_dir).select("symbol", "price", "volume", "seq"))
+    keyed = sent.select("value", F.get_json_object("value", "$.seq").cast("bigint").alias("seq"))
+    return I.accepted(I.parse_prices(keyed)).drop("value")
+
+
+@_query
+def feed_rejected_counts(spark, sf_dir):
+    bad = I.feed_rejects(A.faulty_envelopes(spark, sf_dir))
+    return bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query
+def feed_accepted_counts(spark, sf_dir):
+    ticks = I.flatten_ticks(A.faulty_envelopes(spark, sf_dir))
+    return ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("lastPrice").alias("total"))
+
+
+@_query
+def bar_csv(spark, sf_dir):
+    """Bars written as CSV and read back."""
+    path = scratch_dir(spark, "bar_csv")
+    bars = A.bars(spark, sf_dir).select(*BAR_SCHEMA.names)
+    bars.withColumn("date", F.date_format("date", "yyyy-MM-dd'T'HH:mm:ss")).write.option("header", True).csv(path)
+    return _ntz(read_bar_csv(spark, path), "date")
+
+
+def _untimely(bars):
+    """Bars of which some have no time, and some no field with a value."""
+    odd = F.hour("date")
+    bars = bars.withColumns({f: F.when(odd != 5, F.col(f)) for f in BAR_FIELDS})
+    return bars.withColumn("date", F.when(odd != 7, F.col("date")))
+
+
+@_query
+def lines_rejected_counts(spark, sf_dir):
+    bad = lines_rejects(_untimely(A.bars(spark, sf_dir)))
+    return bad.groupBy("reject_reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query
+def points_tagged(spark, sf_dir):
+    bars = A.bars(spark, sf_dir).withColumn("venue", F.concat(F.lit("v "), F.col("symbol")))
+    lines = to_lines(bars, "bars", ["close"], {"stock": "symbol", "venue": "venue"})
+    made = to_points(bars, "bars", ["close"], {"stock": "symbol", "venue": "venue"})
+    return lines.unionByName(made.select(F.concat_ws("|", F.col("tags")["stock"], F.col("tags")["venue"]).alias("line")))
+
+
+@_query
+def line_protocol_stream(spark, sf_dir):
+    """Lines of a stream's ticks, written per micro-batch and read back."""
+    path = scratch_dir(spark, "lines")
+    ticks = A.tick_stream(spark, sf_dir)
+    receiver = write_lines(path + "/out", "ticks", fields=["price", "volume"], time="ts")
+    query = start_batches(ticks, receiver, path + "/checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    require_batches(query, A.STREAM_FILES)
+    return spark.read.text(path + "/out/*").select(F.col("value").alias("line"))
+
+
 @_query
 def line_protocol(spark, sf_dir):
     return to_lines(A.bars(spark, sf_dir), "bars")
@@ -236,8 +363,10 @@ def range_scan(spark, sf_dir):
 
 @_query
 def range_pivot(spark, sf_dir):
-    recent = S.time_range(A.long_series(spark, sf_dir), "7 days", "2024-01-15 00:00:00", ts="_time")
-    return pivot_fields(recent, BAR_FIELDS)
+    """The range bounds are those of bars, so that ticks outside it are never read."""
+    recent = S.time_range(A.ticks(spark, sf_dir), "7 days", "2024-01-15 00:00:00")
+    long = to_long(B.ohlcv_bars(recent, "1 hour"), BAR_FIELDS)
+    return pivot_fields(S.time_range(long, "7 days", "2024-01-15 00:00:00", ts="_time"), BAR_FIELDS)
 
 
 @_query
@@ -263,9 +392,25 @@ def business_days(spark, sf_dir):
     return S.business_days(ticks).join(per_day, "day", "left").select("day", F.coalesce("ticks", F.lit(0)).alias("ticks"))
 
 
+@_query
+def business_days_from(spark, sf_dir):
+    """Ticks on each of the first 20 business days from a start."""
+    ticks = A.ticks(spark, sf_dir)
+    per_day = ticks.groupBy(F.to_date("ts").alias("day")).agg(F.count(F.lit(1)).alias("ticks"))
+    days = S.business_days_from(spark, "2024-01-06", 20)
+    return days.join(per_day, "day", "left").select("day", F.coalesce("ticks", F.lit(0)).alias("ticks"))
+
+
 # Aggregates
 
 
+@_query
+def histogram_nonfinite(spark, sf_dir):
+    df = A.bursts(spark, sf_dir)
+    bins = histogram(df, ["price"]).select("bin", "n")
+    return bins.unionByName(not_finite(df, ["price"]).select(F.lit(0).alias("bin"), "n"))
+
+
 @_query
 def histogram_15(spark, sf_dir):
     return _rounded(histogram(A.ticks(spark, sf_dir).select("price", "volume")), "bin_start", "bin_end")
@@ -286,10 +431,22 @@ def ohlcv_bars(spark, sf_dir):
     return B.ohlcv_bars(A.ticks(spark, sf_dir), "1 hour")
 
 
+@_query
+def ohlcv_bars_sparse(spark, sf_dir):
+    return B.ohlcv_bars(A.sparse_ticks(spark, sf_dir), "1 hour")
+
+
+@_query
+def ohlcv_bars_stream_all(spark, sf_dir):
+    """Every bar, also those that no watermark has closed."""
+    bars = ohlcv_bars_stream(A.tick_stream(spark, sf_dir))
+    return _ntz(latest_of_updates(spark, bars, ["symbol", "date"], "ohlcv_bars_all", A.STREAM_FILES), "date")
+
+
 @_query
 def ohlcv_bars_closed_stream(spark, sf_dir):
-    out = collect_stream(spark, ohlcv_bars_stream(A.tick_stream(spark, sf_dir)), "ohlcv_bars_stream")
-    return _ntz(out, "date")
+    bars = ohlcv_bars_stream(A.tick_stream(spark, sf_dir))
+    return _ntz(collect_stream(spark, bars, "ohlcv_bars_stream", A.STREAM_FILES), "date")
 
 
 @_query
@@ -297,6 +454,16 @@ def latest_quote(spark, sf_dir):
     return B.latest_quote(A.ticks(spark, sf_dir))
 
 
+@_query
+def latest_quote_per_field(spark, sf_dir):
+    return B.latest_quote(A.sparse_ticks(spark, sf_dir), per_field=True)
+
+
+@_query
+def screener_percent_change_up_sparse(spark, sf_dir):
+    return _rounded(B.screener(A.sparse_ticks(spark, sf_dir), "EQUITY_ALL_PERCENT_CHANGE_UP_60", k=3), "score")
+
+
 def _screener(field: str) -> Query:
     def run(spark, sf_dir):
         top = B.screener(A.ticks(spark, sf_dir), f"EQUITY_ALL_{field}_60", k=3)
@@ -320,11 +487,7 @@ def subscription_fold(spark, sf_dir):
 def subscribed_feed(spark, sf_dir):
     """The feed as the current subscriptions let it through."""
     content = I.explode_content(I.route(I.parse_envelopes(A.envelopes(spark, sf_dir))))
-    state = subscription_state(A.feed_command_log(spark, sf_dir))
-    # The state is counted and joined: fold the log once.
-    path = scratch_dir(spark, "subscription_state")
-    state.write.parquet(path)
-    feed = subscribed(content, spark.read.schema(state.schema).parquet(path))
+    feed = subscribed(content, subscription_state(A.feed_command_log(spark, sf_dir)))
     return _ntz(feed.select("service", "symbol", "date", "lastPrice", "volume", "close"), "date")
 
 

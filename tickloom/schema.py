@@ -62,7 +62,8 @@ ENVELOPE_SCHEMA = T.StructType(
                         T.StructField("service", T.StringType()),
                         T.StructField("timestamp", T.LongType()),
                         T.StructField("command", T.StringType()),
-                        T.StructField("content", T.ArrayType(CONTENT_SCHEMA)),
+                        # As text, so that a wrong-typed field spoils its own item only.
+                        T.StructField("content", T.ArrayType(T.StringType())),
                     ]
                 )
             ),
@@ -82,8 +83,25 @@ BAR_SCHEMA = T.StructType(
     ]
 )
 
-# Column order of a published tick.
+# Column order of a published tick.
 TICK_COLUMNS = (
     "symbol", "date", "open", "high", "low", "close", "volume",
     "lastPrice", "bidPrice", "bidSize", "askPrice", "askSize",
 )
+
+_TICK_TYPES = {"symbol": T.StringType(), "date": T.TimestampType(), "bidSize": T.IntegerType(), "askSize": T.IntegerType()}
+
+TICK_SCHEMA = T.StructType([T.StructField(c, _TICK_TYPES.get(c, T.DoubleType())) for c in TICK_COLUMNS])
+
+# The price message.
+PRICE_SCHEMA = T.StructType(
+    [
+        T.StructField("symbol", T.StringType()),
+        T.StructField("price", T.DoubleType()),
+        T.StructField("volume", T.DoubleType()),
+    ]
+)
+
+# What an account subscription asks for when nothing is named.
+ACCOUNT_KEYS = "Account Activity"
+ACCOUNT_FIELDS = "0,1,2,3"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -55,4 +56,22 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = _local_root()
-    return os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+    path = os.path.join(root, f"{label}-{uuid.uuid4().hex}")
+    _made.append((spark, path))
+    return path
+
+
+_made: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def _remove_scratch() -> None:
+    """Delete the scratch folders of sessions that still run when the program ends."""
+    for spark, path in _made:
+        try:
+            context = spark.sparkContext
+            if context._jsc is not None and not context._jsc.sc().isStopped():
+                folder = context._jvm.org.apache.hadoop.fs.Path(path)
+                folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+        except Exception:  # the driver's Java process may be gone already
+            return

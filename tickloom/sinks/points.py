@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -10,29 +10,45 @@ from pyspark.sql import functions as F
 from tickloom.functions.columns import line_protocol
 
 BAR_FIELDS = ("open", "high", "low", "close", "volume")
+BAR_TAGS = {"stock": "symbol"}
 
 
 def to_points(
-    bars: DataFrame, measurement: str, fields: Sequence[str] = BAR_FIELDS, symbol: str = "symbol", time: str = "date"
+    bars: DataFrame,
+    measurement: str,
+    fields: Sequence[str] = BAR_FIELDS,
+    tags: Mapping[str, str] = BAR_TAGS,
+    time: str = "date",
 ) -> DataFrame:
-    """(measurement, tags, fields, time). The bar's time is the point's time, not a tag."""
+    """(measurement, tags, fields, time). `tags` maps tag names to columns; the time is no tag."""
     pairs = [part for f in fields for part in (F.lit(f), F.col(f).cast("double"))]
     return bars.select(
         F.lit(measurement).alias("measurement"),
-        F.create_map(F.lit("stock"), F.col(symbol)).alias("tags"),
+        F.create_map(*[part for k, c in tags.items() for part in (F.lit(k), F.col(c).cast("string"))]).alias("tags"),
         F.create_map(*pairs).alias("fields"),
         F.col(time).alias("time"),
     )
 
 
 def to_lines(
-    bars: DataFrame, measurement: str, fields: Sequence[str] = BAR_FIELDS, symbol: str = "symbol", time: str = "date"
+    bars: DataFrame,
+    measurement: str,
+    fields: Sequence[str] = BAR_FIELDS,
+    tags: Mapping[str, str] = BAR_TAGS,
+    time: str = "date",
 ) -> DataFrame:
-    """One line-protocol text per bar in column `line`; bars without any field give no line."""
-    line = line_protocol(measurement, {"stock": F.col(symbol)}, {f: F.col(f) for f in fields}, F.col(time))
+    """One line-protocol text per bar in column `line`; `lines_rejects` has the bars that give none."""
+    line = line_protocol(measurement, {k: F.col(c) for k, c in tags.items()}, {f: F.col(f) for f in fields}, F.col(time))
     return bars.select(line.alias("line")).where(F.col("line").isNotNull())
 
 
+def lines_rejects(bars: DataFrame, fields: Sequence[str] = BAR_FIELDS, time: str = "date") -> DataFrame:
+    """The bars that give no line, with `reject_reason`: they have no time, or no field with a value."""
+    value = F.coalesce(*[F.nanvl(F.col(f).cast("double"), F.lit(None)) for f in fields])
+    reason = F.when(F.col(time).isNull(), "no_time").when(value.isNull(), "no_value")
+    return bars.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+
+
 def write_lines(path: str, measurement: str, **columns) -> Callable[[DataFrame, int], None]:
     """For `foreachBatch`: text files per micro-batch. A repeated batch replaces its own folder."""
 

@@ -24,14 +24,21 @@ def append_missing(
 ) -> Callable[[DataFrame, int], None]:
     """For `foreachBatch`: append the rows of a batch that the target does not hold yet.
 
+    `keys` must be unique in a batch (nulls are values), or rows could be lost or repeated: a batch
+    in which they are not raises ValueError before anything is written.
+
     A database append commits task by task, so a failed batch may leave some rows behind.
     `read_batch` gives the target's rows of this batch; the repeated batch adds only the rest.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        present = read_batch(batch, batch_id).select(*keys)
-        append(rows.join(present, list(keys), "left_anti").select(*rows.columns))
+        repeated = rows.groupBy(*keys).count().where("count > 1")
+        if not repeated.isEmpty():
+            raise ValueError(f"keys {list(keys)} are not unique: {repeated.first().asDict()}")
+        present = read_batch(batch, batch_id).select(*[F.col(k).alias(f"_p_{k}") for k in keys])
+        same = " AND ".join(f"`{k}` <=> `_p_{k}`" for k in keys)
+        append(rows.join(present, F.expr(same), "left_anti"))
 
     return write
 

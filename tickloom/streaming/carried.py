@@ -12,7 +12,7 @@ from tickloom.operators.series import DEFAULT_SPLIT, Split
 from tickloom.operators.studies import Study, with_studies
 from tickloom.session import scratch_dir
 from tickloom.sinks.tables import write_parquet
-from tickloom.streaming.run import start_batches
+from tickloom.streaming.run import require_batches, start_batches
 
 
 def carry_studies(
@@ -25,13 +25,13 @@ def carry_studies(
 ) -> Callable[[DataFrame, int], None]:
     """For `foreachBatch` (with `skip_empty=False`): studies over a batch and the rows before it.
 
-    The tail, the last `look_back` rows of every symbol, is a small table in the shared folder
+    The tail, the last rows of every symbol that the studies reach, is a small table in the shared folder
     `tail_path`. Two folders take turns, so a repeated batch starts from the same tail as the
     first time. Symbols are cut as in the batch form, so a busy symbol is not one task's work.
     Rows that come late are studied among the tail's rows by their time; results that were
     written before are not revised.
     """
-    look_back = sum(s.look_back for s in studies)
+    look_back = sum(s.look_back + s.horizon for s in studies)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("_new", F.lit(True))
@@ -51,7 +51,7 @@ def carry_studies(
 
 
 def studies_over_available(
-    spark: SparkSession, ticks: DataFrame, studies: Sequence[Study], label: str, **options
+    spark: SparkSession, ticks: DataFrame, studies: Sequence[Study], label: str, least_batches: int = 1, **options
 ) -> DataFrame:
     """Run studies over what a stream holds now and return the results as a table."""
     path = scratch_dir(spark, label)
@@ -60,4 +60,5 @@ def studies_over_available(
         ticks, receiver, path + "/checkpoint", trigger={"availableNow": True}, skip_empty=False
     )
     query.awaitTermination()
+    require_batches(query, least_batches)
     return spark.read.parquet(path + "/out").drop("batch_id")
