@@ -6,7 +6,7 @@ import json
 from pyspark.sql import functions as F
 
 from tickloom.operators import ingest as I
-from tickloom.operators.select import subscribe, subscribe_many
+from tickloom.operators.select import account_activity, subscribe, subscribe_many
 
 
 def messages(spark, *texts):
@@ -23,10 +23,11 @@ BARS = {
     '{"symbol":"A","open":"2.5"}': "bad_field",
     "{}": "no_symbol",
     '{"open":1.0}': "no_symbol",
-    '{"symbol":"A","close":1}': None,
-    '{"code":"B","open":1.0,"close":2}': None,
-    '{"symbol":"A","date":"2024-01-01T00:00:01Z"}': None,
-    '{"symbol":"A","date":"2024-01-01 00:00:02"}': None,
+    '{"symbol":"A","close":1}': "no_time",
+    '{"code":"B","open":1.0,"close":2}': "no_time",
+    '{"symbol":"A","date":"2024-01-01T00:00:01Z"}': "no_value",
+    '{"symbol":"A","date":"2024-01-01T00:00:01Z","volume":2}': None,
+    '{"code":"A","date":"2024-01-01 00:00:02","close":1}': None,
 }
 
 
@@ -42,11 +43,11 @@ def test_bar_fields(spark):
     assert rows['{"code":"B","open":1.0,"close":2}'].symbol == "B"
     assert rows['{"symbol":"A","open":"x","close":1.5}'].close == 1.5
     assert rows['{"symbol":"A","date":"2024-01-01T00:00:01Z"}'].date == dt.datetime(2024, 1, 1, 0, 0, 1)
-    assert rows['{"symbol":"A","date":"2024-01-01 00:00:02"}'].date == dt.datetime(2024, 1, 1, 0, 0, 2)
+    assert rows['{"code":"A","date":"2024-01-01 00:00:02","close":1}'].date == dt.datetime(2024, 1, 1, 0, 0, 2)
 
 
 def test_bytes_are_accepted(spark):
-    df = messages(spark, '{"symbol":"A","close":1}').select(F.col("value").cast("binary").alias("value"))
+    df = messages(spark, '{"symbol":"A","date":"2024-01-01T00:00:01Z","close":1}').select(F.col("value").cast("binary").alias("value"))
     assert I.accepted(I.parse_bars(df)).first().close == 1.0
 
 
@@ -93,8 +94,38 @@ def test_flatten_gives_one_tick_per_content_item(spark):
 def test_one_bad_tick_does_not_drop_the_others(spark):
     text = '{"data":[{"service":"S","timestamp":1000,"content":[{"key":"A","3":"oops"},{"key":"B","3":2.0},{"3":1.0}]}]}'
     ticks = I.ticks_from_content(I.explode_content(I.route(I.parse_envelopes(messages(spark, text)))))
-    assert {t.symbol: t.lastPrice for t in I.accepted(ticks).collect()} == {"A": None, "B": 2.0}
-    assert [t.reject_reason for t in I.rejected(ticks).collect()] == ["no_symbol"]
+    assert {t.symbol: t.lastPrice for t in I.accepted(ticks).collect()} == {"B": 2.0}
+    assert sorted(t.reject_reason for t in I.rejected(ticks).collect()) == ["bad_field", "no_symbol"]
+
+
+def test_every_item_is_a_tick_or_a_reject(spark):
+    text = (
+        '{"data":[{"service":"S","timestamp":1000,"content":[{"key":"A","3":"abc"},{"key":"B","8":7.5},'
+        '{"key":"C","22":1},{"key":"D","3":1.0},{"3":2.0}]},{"service":"S","content":[{"key":"E","3":1.0}]}]}'
+    )
+    df = messages(spark, text, "nonsense", "")
+    rejects = I.feed_rejects(df).collect()
+    reasons = sorted(r.reject_reason for r in rejects)
+    assert reasons == ["bad_field", "bad_field", "empty", "malformed", "no_symbol", "no_time", "no_value"]
+    assert '{"key":"A","3":"abc"}' in {r.text for r in rejects}
+    assert [t.symbol for t in I.flatten_ticks(df).collect()] == ["D"]
+
+
+def test_published_ticks_and_price_messages_are_read_back(spark):
+    tick = '{"symbol":"A","date":"2024-01-01T00:00:01Z","lastPrice":1.5,"bidSize":3,"askPrice":2}'
+    row = I.accepted(I.parse_ticks(messages(spark, tick))).first()
+    assert (row.lastPrice, row.bidSize, row.askPrice, row.open) == (1.5, 3, 2.0, None)
+    texts = ['{"symbol": "AAPL", "price": 150, "volume": 1000}', '{"price": 1}', '{"symbol":"A"}', '{"symbol":"A","price":"x"}']
+    read = I.parse_prices(messages(spark, *texts)).collect()
+    assert [r.reject_reason for r in read] == [None, "no_symbol", "no_value", "bad_field"]
+    assert (read[0].symbol, read[0].price, read[0].volume) == ("AAPL", 150.0, 1000.0)
+
+
+def test_account_activity_defaults(spark):
+    text = '{"data":[{"service":"ACCT_ACTIVITY","timestamp":1000,"content":[{"key":"Account Activity","3":2.0,"8":1}]}]}'
+    content = I.explode_content(I.route(I.parse_envelopes(messages(spark, text))))
+    row = account_activity(content).first()
+    assert row.lastPrice == 2.0 and "volume" not in row.asDict()
 
 
 def test_published_message_has_every_field(spark):

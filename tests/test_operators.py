@@ -247,3 +247,33 @@ def test_kafka_options():
         "maxOffsetsPerTrigger": "10",
     }
     assert "startingOffsets" not in kafka_options("h:9092", "ticks")
+
+
+def test_bars_open_and_close_at_the_first_and_last_price(spark):
+    rows = [("A", T0, 0, None), ("A", T0, 1, 10.0), ("A", T0, 2, 11.0), ("A", T0, 3, None), ("B", T0, 4, None)]
+    df = spark.createDataFrame([(*r, 1.0) for r in rows], "symbol string, ts timestamp, seq bigint, price double, volume double")
+    bars = {r.symbol: (r.open, r.close, r.trades) for r in B.ohlcv_bars(df).collect()}
+    assert bars == {"A": (10.0, 11.0, 4), "B": (None, None, 1)}
+    assert B.latest_quote(df, per_field=True).where("symbol = 'A'").first().price == 11.0
+    assert B.latest_quote(df).where("symbol = 'A'").first().price is None
+
+
+def test_lines_escape_names_and_reject_what_has_no_time(spark):
+    from tickloom.sinks.points import lines_rejects, to_lines
+
+    df = spark.createDataFrame([("a\nb", T0, 1.0), ("c", None, 1.0), ("d", T0, None)], "symbol string, date timestamp, p double")
+    lines = [r.line for r in to_lines(df, "m m", ["p"], {"my tag": "symbol"}).collect()]
+    assert lines == [f"m\\ m,my\\ tag=a\\ b p=1.0 {int(T0.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)}"]
+    assert sorted(r.reject_reason for r in lines_rejects(df, ["p"]).collect()) == ["no_time", "no_value"]
+
+
+def test_histogram_leaves_out_what_is_not_finite(spark):
+    df = spark.createDataFrame([(v,) for v in (0.0, 1.0, 2.0, float("inf"), float("-inf"), float("nan"), None)], "v double")
+    bins = {r.bin: r.n for r in P.histogram(df, bins=2).collect()}
+    assert bins == {1: 1, 2: 2}
+    assert P.not_finite(df).first().n == 3
+
+
+def test_business_days_from_a_start(spark):
+    days = [r.day for r in S.business_days_from(spark, "2024-01-06", 6).orderBy("day").collect()]
+    assert days[0] == dt.date(2024, 1, 8) and len(days) == 6 and days[-1] == dt.date(2024, 1, 15)

@@ -87,3 +87,67 @@ def test_one_shuffle_of_the_data(spark, sf_dir, name, exchanges):
     if name.endswith("_split"):
         of_data = [line for line in of_data if CHUNK in line]
     assert len(of_data) == exchanges
+
+
+def recurrence(values, alpha):
+    mean, out = None, []
+    for v in values:
+        if v is not None:
+            mean = v if mean is None else alpha * v + (1 - alpha) * mean
+        out.append(mean)
+    return out
+
+
+@pytest.mark.parametrize("rows", [1_000_000, 400, 23])
+def test_exponential_means_over_flat_stretches_and_nulls(spark, rows):
+    """Long after the last change a mean of changes is tiny, and its ratio must still be right."""
+    rng = random.Random(rows)
+    prices = [rng.uniform(50, 150) if i < 60 or i > 1500 else 80.0 for i in range(2000)]
+    df = spark.createDataFrame([("A", DAY + dt.timedelta(seconds=i), i, p) for i, p in enumerate(prices)], SCHEMA)
+    got = [r.rsi for r in T.indicators(df, [T.rsi(wilder=True)], split=Split(rows=rows)).orderBy("seq").collect()]
+    moves = [None] + [b - a for a, b in zip(prices, prices[1:])]
+    gain, loss = (recurrence([None if m is None else max(s * m, 0.0) for m in moves], 1 / 14) for s in (1, -1))
+    for i in range(14, 2000):
+        assert abs(got[i] - (100 - 100 / (1 + gain[i] / loss[i]))) < 1e-9
+
+    gaps = [None if i < 5 or i % 7 == 0 or 300 < i < 380 else p for i, p in enumerate(prices)]
+    df = spark.createDataFrame([("A", DAY + dt.timedelta(seconds=i), i, p) for i, p in enumerate(gaps)], SCHEMA)
+    out = T.with_studies(df, [T.ema(n=12), T.sma("ema", 3, "smooth")], split=Split(rows=rows)).orderBy("seq").collect()
+    want = recurrence(gaps, 2 / 13)
+    for r, w in zip(out, want):
+        assert (r.ema is None) == (w is None) and (w is None or abs(r.ema - w) < 1e-9)
+    assert abs(out[-1].smooth - sum(want[-3:]) / 3) < 1e-9
+
+
+def test_cumulative_sum_is_the_same_cut_and_uncut(spark):
+    rows = [("A", DAY + dt.timedelta(seconds=i), i, None if i % 5 == 0 or i < 3 else 1.0) for i in range(60)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    value = F.col("close").cast("decimal(18,2)")
+    whole, cut = (T.cumulative_sum(df, value, "total", split=s) for s in (Split(), Split(rows=5)))
+    assert whole.schema == cut.schema
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))
+    assert whole.orderBy("seq").first().total is None
+
+
+def test_equal_times_are_cut_along_a_text_tie_breaker(spark):
+    df = spark.range(4000).selectExpr(
+        "'HOT' AS symbol", "TIMESTAMP '2024-01-02' AS ts", "lpad(CAST(id AS STRING), 6, '0') AS seq", "CAST(id AS DOUBLE) AS close"
+    )
+    cut = split_series(df, look_back=1, split=Split(rows=400))
+    assert max(hot_chunk_sizes(cut)) <= 1200
+    whole = Window.partitionBy("symbol").orderBy("ts", "seq")
+    want = df.select("seq", (F.col("close") - F.lag("close").over(whole)).alias("change"))
+    got = T.with_studies(df, [T.diff("close", "change")], split=Split(rows=400)).select("seq", "change")
+    assert got.exceptAll(want).count() == 0 and got.count() == 4000
+
+
+@pytest.mark.parametrize("n", [1000, 1024])
+def test_last_rows_are_ranked_before_a_key_is_gathered(spark, n):
+    from tickloom.operators import select as S
+
+    df = spark.createDataFrame(rows_like("even", 5000), SCHEMA)
+    out = S.last_rows(df, n, "symbol")
+    want = [r.seq for r in df.where("symbol = 'HOT'").orderBy(F.desc("ts"), F.desc("seq")).limit(n).collect()]
+    assert sorted(r.seq for r in out.where("symbol = 'HOT'").collect()) == sorted(want)
+    plan = S.last_rows(df, n, "symbol")._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan if n <= 1000 else "_part" in plan

@@ -246,3 +246,41 @@ def test_carried_studies_equal_batch(spark, ticks, tmp_path, parts):
     names = ["sma", "rsi", "macd", "macd_signal", "bb_upper"]
     rounded = ["symbol", "seq", "trend", *[F.round(n, 6).alias(n) for n in names]]
     assert answers(spark.read.parquet(out), *rounded) == answers(T.with_studies(rows, STUDIES), *rounded)
+
+
+def test_append_needs_unique_keys_and_matches_nulls(spark, tmp_path):
+    table = str(tmp_path / "table")
+    rows = spark.createDataFrame([("A", None, 1.0), ("A", 1, 2.0), (None, None, 3.0)], "symbol string, seq long, price double")
+    empty = rows.limit(0).withColumn("batch_id", F.lit(0).cast("bigint"))
+    empty.write.parquet(table)
+
+    def read_batch(batch, batch_id):
+        return batch.sparkSession.read.parquet(table).where(F.col("batch_id") == batch_id)
+
+    write = append_missing(read_batch, lambda df: df.write.mode("append").parquet(table), ["symbol", "seq"])
+    write(rows.limit(2), 0)
+    for _ in range(2):
+        write(rows, 0)
+    assert answers(spark.read.parquet(table), "price") == [(1.0,), (2.0,), (3.0,)]
+    with pytest.raises(ValueError):
+        write(rows.unionByName(rows.limit(1)), 1)
+
+
+def test_all_batches_are_counted(spark, ticks, tmp_path):
+    import time
+
+    from tickloom.streaming.run import DeliveryCount
+
+    src = str(tmp_path / "in")
+    feed(ticks, src, 3)
+    count = DeliveryCount()
+    spark.streams.addListener(count)
+    try:
+        write_available(source(spark, ticks, src), str(tmp_path / "out"), str(tmp_path / "cp"))
+        for _ in range(50):
+            if count.rows == ticks.count():
+                break
+            time.sleep(0.2)
+        assert count.rows == ticks.count() and count.batches >= 3
+    finally:
+        spark.streams.removeListener(count)
