@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import stored
-from tickloom.llm.vectors import BLOCK_ROWS, MAX_SAMPLE, distances, each_batch, kmeans, matrix, packed, sample, usable
+from tickloom.llm.vectors import MAX_SAMPLE, distances, each_batch, kmeans, matrix, packed, sample, usable
 
 NEAREST = 20
 # Share of true neighbours, found by brute force in a sample, whose lists the pruning must let through.
@@ -22,6 +22,9 @@ LIST_ROWS, MAX_LISTS = 256, 1024
 BOUNDARY, MAX_COPIES = 1.1, 4
 BALANCE = 0.05
 NEIGHBOURS, SAMPLED_QUERIES = 24, 400
+# Vectors of a block (each query gets its best few of a block, so blocks are large), and queries
+# that are multiplied with them at a time.
+BLOCK_ROWS, SLICE = 8192, 256
 
 
 @dataclass(frozen=True)
@@ -228,8 +231,12 @@ def _best(table: pa.Table, nearest: int) -> pa.Table:
     member = np.array([lists[k][0] for k in held], int)
     out = [[], [], []]
     most = nearest * MAX_COPIES  # a vector may be in several of the block's lists
-    scores = x[queries] @ x[held].T if len(held) else np.zeros((len(queries), 0))
-    for q, row in zip(queries, scores):
+    rows = (
+        (q, row)
+        for start in range(0, len(queries), SLICE)
+        for q, row in zip(queries[start : start + SLICE], x[queries[start : start + SLICE]] @ x[held].T)
+    )
+    for q, row in rows if len(held) else ():
         row = np.where(np.isin(member, lists[q]) & (ids[held] != ids[q]), row, -np.inf)
         edge = -np.inf
         if len(row) > most:
