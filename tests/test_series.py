@@ -151,3 +151,21 @@ def test_last_rows_are_ranked_before_a_key_is_gathered(spark, n):
     assert sorted(r.seq for r in out.where("symbol = 'HOT'").collect()) == sorted(want)
     plan = S.last_rows(df, n, "symbol")._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan if n <= 1000 else "_part" in plan
+
+
+@pytest.mark.parametrize("kind, passes", [("even", 3), ("burst", 4)])
+def test_the_input_is_read_few_times(spark, tmp_path, kind, passes):
+    """Two counting passes, or three where a slice is too large, and the data itself."""
+    path = str(tmp_path / "rows")
+    spark.createDataFrame(rows_like(kind), SCHEMA).coalesce(1).write.parquet(path)
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    df = spark.read.parquet(path).mapInPandas(seen, SCHEMA)
+    out = T.with_studies(df, [T.sma(), T.trend()], split=Split(rows=100))
+    assert out.count() == 3000
+    assert read.value == passes * 3000

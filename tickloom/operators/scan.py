@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tickloom.operators.series import CHUNK, HALO, Frame
-from tickloom.session import scratch_dir
+from tickloom.session import store
 
 # Doubles end near e^-745 and e^709; powers within a block stay below e^600.
 UNDERFLOW, BLOCK_POWER = 745.0, 600.0
@@ -95,9 +95,7 @@ def _carried(df: DataFrame, frame: Frame, columns: Mapping[str, tuple[str, float
     The rows are written once, as both their chunks' ends and they themselves are needed. There is
     one row per chunk, whose number the settings of the cut bound; they are scanned per symbol.
     """
-    path = scratch_dir(df.sparkSession, "scan")
-    df.write.parquet(path)
-    df = df.sparkSession.read.schema(df.schema).parquet(path)
+    df = store(df, "scan")
     keys, outs = list(frame.keys), list(decay)
     ends = df.groupBy(*keys, CHUNK).agg(
         F.max("_scan_k").alias("n"),

@@ -5,9 +5,10 @@ rows than one task should hold is cut along time into chunks, and each chunk als
 copy of the `look_back` rows before it (its halo). A window over (symbol, chunk) then sees
 every row that a bounded frame can reach, so results are the same as over the whole symbol.
 
-Cost: one job counts the rows per symbol, with map-side combining and two columns read. When
-no symbol is large, the plain window follows. Else two more such passes find the cuts, and then
-the data is shuffled once, as for the plain window.
+Cost: one pass counts the rows per symbol, with map-side combining and two columns read. When no
+symbol is large, the plain window follows. Else one more such pass counts slices of the large
+symbols, a third only if some slice is itself too large, and then the data is shuffled once, as for
+the plain window. The small tables that the passes give are stored, so that none is made twice.
 """
 
 from __future__ import annotations
@@ -19,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.session import store
+
 CHUNK = "_chunk"
 HALO = "_halo"
 
@@ -85,11 +88,11 @@ def cut_series(
 
     kinds = {t: per_sum.dataType for t, per_sum in zip(totals, lean.agg(*[F.sum(t).alias(t) for t in totals]).schema)} if totals else {}
     per_key = lean.groupBy(*keys).agg(F.expr("count(1) AS _n"), F.expr("min(_at) AS _lo"), F.expr("max(_at) AS _hi"))
-    # Counting all rows reads no column of a Parquet table.
+    per_key = store(per_key, "series_keys")
     rows = max(split.rows, look_back + 1)
-    limit = lean.selectExpr(f"greatest({rows}, CAST(ceil(count(1) / {split.max_chunks}) AS BIGINT))").scalar()
+    limit = per_key.selectExpr(f"greatest({rows}, CAST(ceil(sum(_n) / {split.max_chunks}) AS BIGINT))").first()[0]
     large = (
-        per_key.withColumn("_limit", limit)
+        per_key.withColumn("_limit", F.lit(limit).cast("bigint"))
         .where("_n > _limit")
         .selectExpr(
             *[f"`{k}` AS `_l_{k}`" for k in keys], "_lo", "_limit", f"{_step('_lo', '_hi', split.slices)} AS _width"
@@ -101,8 +104,13 @@ def cut_series(
         return whole, Frame(tuple(keys), tuple(order), False)
 
     of_large = lean.join(F.broadcast(large), F.expr(_same(keys, "_l_"))).selectExpr("*", f"{_SLICE} AS _slice")
-    busy = _busy_slices(of_large, keys, split.slices)
-    chunks = _chunk_table(of_large, busy, keys, look_back, list(totals))
+    slices = store(_count_slices(of_large, keys, list(totals)), "series_slices")
+    busy = store(_busy_slices(slices, keys, split.slices), "series_busy")
+    if busy.isEmpty():
+        counted = slices.withColumn("_piece", F.lit(0).cast("bigint"))
+    else:
+        counted = _count_pieces(of_large, busy, keys, list(totals))
+    chunks = store(_chunk_table(counted, keys, look_back, list(totals)), "series_chunks")
 
     own_columns = [f"`{c}`" for c in df.columns]
     cut = (
@@ -154,18 +162,30 @@ def _same(keys: Sequence[str], prefix: str) -> str:
     return " AND ".join(f"`{k}` <=> `{prefix}{k}`" for k in keys)
 
 
-def _busy_slices(of_large: DataFrame, keys: list[str], slices: int) -> DataFrame:
+def _count_slices(of_large: DataFrame, keys: list[str], totals: list[str]) -> DataFrame:
+    return of_large.groupBy(*keys, "_slice", "_limit").agg(
+        F.expr("count(1) AS _n"),
+        F.expr("min(_at) AS _at_lo"),
+        F.expr("max(_at) AS _at_hi"),
+        F.expr("min(_tie) AS _tie_lo"),
+        F.expr("max(_tie) AS _tie_hi"),
+        *[F.expr(f"sum(`{t}`) AS `{t}`") for t in totals],
+    )
+
+
+def _count_pieces(of_large: DataFrame, busy: DataFrame, keys: list[str], totals: list[str]) -> DataFrame:
+    return (
+        of_large.join(F.broadcast(busy), F.expr(_same([*keys, "_slice"], "_b_")), "left")
+        .selectExpr("*", f"{_PIECE} AS _piece")
+        .groupBy(*keys, "_slice", "_piece", "_limit")
+        .agg(F.expr("count(1) AS _n"), *[F.expr(f"sum(`{t}`) AS `{t}`") for t in totals])
+    )
+
+
+def _busy_slices(counted: DataFrame, keys: list[str], slices: int) -> DataFrame:
     """The slices with more than L rows, and the steps in which they are counted again."""
     return (
-        of_large.groupBy(*keys, "_slice", "_limit")
-        .agg(
-            F.expr("count(1) AS _n"),
-            F.expr("min(_at) AS _at_lo"),
-            F.expr("max(_at) AS _at_hi"),
-            F.expr("min(_tie) AS _tie_lo"),
-            F.expr("max(_tie) AS _tie_hi"),
-        )
-        .where("_n > _limit")
+        counted.where("_n > _limit")
         .selectExpr("*", "_at_lo <=> _at_hi AS _by_tie")
         .selectExpr(
             *[f"`{k}` AS `_b_{k}`" for k in keys],
@@ -178,18 +198,12 @@ def _busy_slices(of_large: DataFrame, keys: list[str], slices: int) -> DataFrame
     )
 
 
-def _chunk_table(
-    of_large: DataFrame, busy: DataFrame, keys: list[str], look_back: int, totals: list[str]
-) -> DataFrame:
+def _chunk_table(counted: DataFrame, keys: list[str], look_back: int, totals: list[str]) -> DataFrame:
     """(key, slice, piece) of the large symbols -> the chunks its rows belong to, own chunk first."""
     by_key = ", ".join(f"`{k}`" for k in keys)
     earlier = f"OVER (PARTITION BY {by_key} ORDER BY _slice, _piece ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     placed = (
-        of_large.join(F.broadcast(busy), F.expr(_same([*keys, "_slice"], "_b_")), "left")
-        .selectExpr("*", f"{_PIECE} AS _piece")
-        .groupBy(*keys, "_slice", "_piece", "_limit")
-        .agg(F.expr("count(1) AS _n"), *[F.expr(f"sum(`{t}`) AS `{t}`") for t in totals])
-        .selectExpr(
+        counted.selectExpr(
             *[f"`{k}`" for k in keys],
             "_slice",
             "_piece",

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
@@ -61,6 +61,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def store(df: DataFrame, label: str) -> DataFrame:
+    """`df` written to a scratch folder and read back, so that it is computed once."""
+    path = scratch_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _made: list[tuple[SparkSession, str]] = []
 
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.operators.select import last_rows
-from tickloom.operators.series import DEFAULT_SPLIT, Split
+from tickloom.operators.series import DEFAULT_SPLIT, Split, as_keys
 from tickloom.operators.studies import Study, with_studies
 from tickloom.session import scratch_dir
 from tickloom.sinks.tables import write_parquet
@@ -22,28 +23,46 @@ def carry_studies(
     keys: str | Sequence[str] = "symbol",
     order: Sequence[str] = ("ts", "seq"),
     split: Split = DEFAULT_SPLIT,
+    full_every: int = 32,
 ) -> Callable[[DataFrame, int], None]:
     """For `foreachBatch` (with `skip_empty=False`): studies over a batch and the rows before it.
 
-    The tail, the last rows of every symbol that the studies reach, is a small table in the shared folder
-    `tail_path`. Two folders take turns, so a repeated batch starts from the same tail as the
-    first time. Symbols are cut as in the batch form, so a busy symbol is not one task's work.
-    Rows that come late are studied among the tail's rows by their time; results that were
-    written before are not revised.
+    The tail of a symbol, the last rows that the studies reach, lies in the shared folder `tail_path`.
+    A batch writes a folder of its own with the tails of the symbols it has; every `full_every`
+    batches all tails are written, so that a reader needs no older folder. A repeated batch reads the
+    same folders as the first time and replaces its own. Symbols are cut as in the batch form, so a
+    busy symbol is not one task's work. Rows that come late are studied among the tail's rows by their
+    time; results that were written before are not revised.
     """
     look_back = sum(s.look_back + s.horizon for s in studies)
+    names = as_keys(keys)
+
+    def of_symbols(rows: DataFrame, symbols: DataFrame, how: str) -> DataFrame:
+        other = symbols.select(*[F.col(k).alias(f"_k_{k}") for k in names]).distinct()
+        return rows.join(other, F.expr(" AND ".join(f"`{k}` <=> `_k_{k}`" for k in names)), how)
+
+    def tails(batch: DataFrame, batch_id: int) -> DataFrame:
+        """The newest tail of every symbol before this batch."""
+        first = (batch_id - 1) // full_every * full_every
+        folders = [f"{tail_path}/{i}" for i in range(first, batch_id)]
+        schema = T.StructType([*batch.schema.fields, T.StructField("_batch", T.LongType())])
+        known = batch.sparkSession.read.schema(schema).parquet(*folders)
+        newest = F.max("_batch").over(Window.partitionBy(*names))
+        return known.withColumn("_newest", newest).where("_batch = _newest").drop("_batch", "_newest")
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         rows = batch.withColumn("_new", F.lit(True))
         if batch_id > 0:
-            before = batch.sparkSession.read.schema(batch.schema).parquet(f"{tail_path}/{(batch_id - 1) % 2}")
+            before = of_symbols(tails(batch, batch_id), batch, "left_semi")
             rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
         # Counted, studied and cut to the tail: read the batch from its source once.
         rows.persist()
         try:
             write(with_studies(rows, studies, keys, order, split).where("_new").drop("_new"), batch_id)
             tail = last_rows(rows.drop("_new"), look_back, keys, order)
-            tail.write.mode("overwrite").parquet(f"{tail_path}/{batch_id % 2}")
+            if batch_id > 0 and batch_id % full_every == 0:
+                tail = tail.unionByName(of_symbols(tails(batch, batch_id), batch, "left_anti"))
+            tail.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{tail_path}/{batch_id}")
         finally:
             rows.unpersist()
 
