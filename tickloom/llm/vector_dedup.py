@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import quoted, stored
 from tickloom.llm.components import components
-from tickloom.llm.vectors import BLOCK_ROWS, MAX_SAMPLE, distances, each_batch, kmeans, matrix, packed, sample, unit, usable
+from tickloom.llm.vectors import BLOCK_ROWS, MAX_SAMPLE, distances, each_batch, kmeans, matrix, packed, sample, small_table, unit, usable
 
 COSINE = 0.95
 # Share of links just at the threshold whose cell a traversal must reach.
@@ -166,26 +166,21 @@ def _found(classes: DataFrame, index: MultiIndex, cosine: float) -> DataFrame:
     # At most MAX_CODES ** 2 cells; a large one is dealt out over blocks on both sides.
     held = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}
     asked = {r["c"]: r["count"] for r in placed.select(F.explode("visits").alias("c")).groupBy("c").count().collect()}
-    grid = {c: (-(-n // BLOCK_ROWS), -(-asked.get(c, 1) // BLOCK_ROWS)) for c, n in held.items()}
-    shape = F.create_map(*[x for c, (s, q) in grid.items() for x in (F.lit(c), F.struct(F.lit(s).alias("s"), F.lit(q).alias("q")))])
-    deal = F.pmod(F.xxhash64("id"), F.col("g.s")).cast("int")
-    stored_rows = placed.select("id", "n", "v", F.col("cell").alias("at"), shape[F.col("cell")].alias("g")).select(
-        "id", "n", "v", "at", F.lit(False).alias("asks"), deal.alias("s"), F.explode(F.sequence(F.lit(0), F.col("g.q") - 1)).alias("q")
-    )
-    asking = (
-        placed.select("id", "n", "v", F.explode("visits").alias("at"))
-        .withColumn("g", shape[F.col("at")])
-        .where(F.col("g").isNotNull())
-        .select(
-            "id",
-            "n",
-            "v",
-            "at",
-            F.lit(True).alias("asks"),
-            F.explode(F.sequence(F.lit(0), F.col("g.s") - 1)).alias("s"),
-            F.pmod(F.xxhash64("id"), F.col("g.q")).cast("int").alias("q"),
+    grid = [(c, -(-n // BLOCK_ROWS), -(-asked.get(c, 1) // BLOCK_ROWS)) for c, n in held.items()]
+    shape = small_table(placed.sparkSession, grid, "at long, parts_held int, parts_asking int")
+
+    def dealt(rows: DataFrame, asks: bool) -> DataFrame:
+        """A row goes to one part of its own side, and meets all parts of the other."""
+        own, other = ("parts_asking", "parts_held") if asks else ("parts_held", "parts_asking")
+        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
+        theirs = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        held_part, asking_part = (theirs, mine) if asks else (mine, theirs)
+        return rows.join(shape, "at").select(
+            "id", "n", "v", "at", F.lit(asks).alias("asks"), held_part.alias("s"), asking_part.alias("q")
         )
-    )
+
+    stored_rows = dealt(placed.select("id", "n", "v", F.col("cell").alias("at")), False)
+    asking = dealt(placed.select("id", "n", "v", F.explode("visits").alias("at")), True)
 
     def meet(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()

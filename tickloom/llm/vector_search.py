@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import stored
-from tickloom.llm.vectors import MAX_SAMPLE, distances, each_batch, kmeans, matrix, packed, sample, usable
+from tickloom.llm.vectors import MAX_SAMPLE, distances, each_batch, kmeans, matrix, packed, sample, small_table, usable
 
 NEAREST = 20
 # Share of true neighbours, found by brute force in a sample, whose lists the pruning must let through.
@@ -162,7 +162,9 @@ def nearest_vectors(
     for r in held.groupBy("list").count().collect():
         sizes[r["list"]] = r["count"]
     first, parts = _blocks(sizes)
-    spread = F.create_map(*[x for c in range(len(sizes)) for x in (F.lit(c), F.struct(F.lit(int(first[c])).alias("b"), F.lit(int(parts[c])).alias("p")))])
+    spread = small_table(
+        rows.sparkSession, [(c, int(first[c]), int(parts[c])) for c in range(len(sizes))], "list long, first_block long, parts long"
+    )
 
     def ask(ids: np.ndarray, x: np.ndarray, batch: pa.RecordBatch) -> pa.RecordBatch:
         found = [[], [], []]
@@ -180,23 +182,21 @@ def nearest_vectors(
             names=["id", "v", "block", "lists"],
         )
 
-    candidates = held.withColumn("g", spread[F.col("list")]).select(
-        "id", "v", (F.col("g.b") + F.pmod(F.xxhash64("id"), F.col("g.p"))).cast("long").alias("block"), F.array("list").alias("lists")
+    candidates = held.join(spread, "list").select(
+        "id", "v", (F.col("first_block") + F.pmod(F.xxhash64("id"), F.col("parts"))).alias("block"), F.array("list").alias("lists")
     )
     queries = stored(
         rows.where(F.col("id") % every == 0).mapInArrow(each_batch(ask), "id long, v array<double>, block long, lists array<long>"),
         "queries",
     )
-    many = {r["block"]: -(-r["count"] // BLOCK_ROWS) for r in queries.groupBy("block").count().collect()}
-    share = F.create_map(*[F.lit(int(x)) for b, n in many.items() for x in (b, n)]) if many else F.create_map(F.lit(-1), F.lit(1))
-    n = F.coalesce(share[F.col("block")], F.lit(0))
-    both = candidates.where(n > 0).select(
-        "id", "v", "block", "lists", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(1), n)).alias("part")
+    asked = [(r["block"], -(-r["count"] // BLOCK_ROWS)) for r in queries.groupBy("block").count().collect()]
+    shares = small_table(rows.sparkSession, asked, "block long, shares int")
+    both = candidates.join(shares, "block").select(
+        "id", "v", "block", "lists", F.lit(False).alias("asks"), F.explode(F.sequence(F.lit(1), F.col("shares"))).alias("part")
     )
+    share = (F.pmod(F.xxhash64("id"), F.col("shares")) + 1).cast("int")
     both = both.unionByName(
-        queries.select(
-            "id", "v", "block", "lists", F.lit(True).alias("asks"), (F.pmod(F.xxhash64("id"), n) + 1).cast("int").alias("part")
-        )
+        queries.join(shares, "block").select("id", "v", "block", "lists", F.lit(True).alias("asks"), share.alias("part"))
     )
     best = both.groupBy("block", "part").applyInArrow(lambda t: _best(t, nearest), "query_id long, id long, score double")
     once = best.groupBy("query_id", "id").agg(F.max("score").alias("score"))

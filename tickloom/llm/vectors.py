@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import quoted
@@ -72,8 +71,9 @@ def kmeans(x: np.ndarray, k: int, rounds: int = 12, balance: float = 0.0, seed:
     return centres
 
 
-def blocks_of(count: int) -> int:
-    return max(1, math.ceil(count / BLOCK_ROWS))
+def small_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A table to be broadcast, of rows whose number a parameter bounds (cells, lists or blocks)."""
+    return F.broadcast(spark.createDataFrame(rows, schema))
 
 
 def each_batch(work):
