@@ -46,4 +46,46 @@ FROM documents d JOIN (
   FROM kept GROUP BY doc_id) k ON d.doc_id = k.doc_id
 """
 
-ORACLE_SQL = {"op1_mix_sources": MIX, "op8_line_dedup": LINES}
+NEAR_DOCUMENTS = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+    lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+  FROM words),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM each a JOIN each b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents UNION SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.r = links.x),
+least AS (SELECT doc_id, min(r) AS component_id FROM reach GROUP BY doc_id)
+SELECT s.doc_id, len(s.s)::BIGINT AS n_shingles, l.component_id, s.doc_id = l.component_id AS kept
+FROM sets s JOIN least l ON s.doc_id = l.doc_id
+"""
+
+NEAR_VECTORS = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
+    ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+counts AS (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x),
+reach AS (
+  SELECT vec_id, vec_id AS r FROM embeddings UNION SELECT reach.vec_id, links.y FROM reach JOIN links ON reach.r = links.x),
+least AS (SELECT vec_id, min(r) AS component_id FROM reach GROUP BY vec_id)
+SELECT l.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, l.vec_id = l.component_id AS kept
+FROM least l LEFT JOIN counts c ON l.vec_id = c.vec_id
+"""
+
+ORACLE_SQL = {
+    "op1_mix_sources": MIX,
+    "op4_minhash_near_dedup": NEAR_DOCUMENTS,
+    "op5_embedding_near_dedup": NEAR_VECTORS,
+    "op8_line_dedup": LINES,
+}
