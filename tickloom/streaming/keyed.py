@@ -52,5 +52,6 @@ def keyed_sma(ticks: DataFrame, n: int = 3, symbol: str = "symbol", ts: str = "t
 
 def sma_text(df: DataFrame, price: str = "price") -> DataFrame:
     """The message form of a moving average; `sma` itself stays numeric."""
+    # Fixed value: the message form.
     text = F.format_string("Stock: %s, New Price: %s, SMA: %.2f", "symbol", F.col(price).cast("string"), "sma")
     return df.withColumn("message", text)
