@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ from tickloom.llm.common import _arrow_schema, quoted, stored, text_or_empty
 
 CAPACITY = 2048
 END_ID = 0
-# Bound on the words whose ids a task remembers (about 180 MB).
-CACHED_WORDS = 500_000
+# Bound on the words whose ids a worker remembers (about 100 MB), and how many stay when it is met.
+CACHED_WORDS, KEPT_WORDS = 350_000, 120_000
 # Parts of words that are tokenised at a time.
 LINE_PARTS = 2000
 # Fixed value: the pattern by which the vocabulary splits lower-case text into parts.
@@ -58,9 +59,12 @@ class _Words(dict):
     def learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self]
         if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            self.parts.clear()
-            new = list(words)
+            # The words that came first hold the frequent ones.
+            for known in (self, self.parts):
+                first = list(islice(known.items(), KEPT_WORDS))
+                known.clear()
+                known.update(first)
+            new = [w for w in words if w not in self]
         split = [WORD_PARTS.findall(w) for w in new]
         unseen = list({p for parts in split for p in parts if p not in self.parts})
         for start in range(0, len(unseen), LINE_PARTS):
