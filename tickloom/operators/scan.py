@@ -58,10 +58,11 @@ def smooth(df: DataFrame, frame: Frame, columns: Mapping[str, tuple[str, float]]
         f"greatest(_scan_k - 1, 0L) div {block} AS _scan_b",
         f"CASE WHEN _scan_k > 0 THEN (_scan_k - 1) % {block} + 1 ELSE 0L END AS _scan_m",
     ).selectExpr("*", f"`{x0}` IS NOT NULL AND _scan_m = 1 AND _scan_k > 1 AS _scan_starts")
-    sums = [
-        f"coalesce(exp({-lam!r}D * _scan_m) * sum(`{columns[out][0]}` * ({columns[out][1]!r}D * exp({lam!r}D * _scan_m))) OVER ({w}), 0D) AS `_s_{out}`"
-        for out, lam in decay.items()
-    ]
+    sums = []
+    for out, lam in decay.items():
+        x, alpha = columns[out]
+        weighted = f"sum(`{x}` * ({alpha!r}D * exp({lam!r}D * _scan_m))) OVER ({w})"
+        sums.append(f"coalesce(exp({-lam!r}D * _scan_m) * {weighted}, 0D) AS `_s_{out}`")
     df = df.selectExpr("*", *sums)
     # The end of the block before, of the one before that, and so on while they weigh anything.
     totals = {out: [f"`_s_{out}`"] for out in decay}

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from tickloom.operators.bars import ohlcv_bars
 from tickloom.operators.profile import to_long
-from tickloom.session import scratch_dir
 from tickloom.schema import MONTH_CODES, SERVICES, SORT_FIELDS
+from tickloom.session import scratch_dir
 from tickloom.sinks.points import BAR_FIELDS
 from tickloom.sources.files import stream_parquet
 
@@ -42,9 +42,8 @@ def ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def sparse_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ticks as a feed sends them: fields that did not change are left out, also at the edges of hours."""
     k = F.col("volume").cast("bigint")
-    return ticks(spark, sf_dir).withColumns(
-        {"price": F.when(k % 3 != 0, F.col("price")), "close": F.when(k % 5 != 0, F.col("close")), "volume": F.when(k % 4 != 0, F.col("volume"))}
-    )
+    left_out = {"price": k % 3 == 0, "close": k % 5 == 0, "volume": k % 4 == 0}
+    return ticks(spark, sf_dir).withColumns({c: F.when(~gone, F.col(c)) for c, gone in left_out.items()})
 
 
 def flat_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
