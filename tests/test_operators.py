@@ -277,3 +277,10 @@ def test_histogram_leaves_out_what_is_not_finite(spark):
 def test_business_days_from_a_start(spark):
     days = [r.day for r in S.business_days_from(spark, "2024-01-06", 6).orderBy("day").collect()]
     assert days[0] == dt.date(2024, 1, 8) and len(days) == 6 and days[-1] == dt.date(2024, 1, 15)
+
+
+def test_pivot_conflicts_are_listed(spark):
+    rows = [(T0, "A", "open", 1.0), (T0, "A", "open", 2.0), (T0, "A", "close", 3.0), (T0, "B", "open", None)]
+    long = spark.createDataFrame(rows, "_time timestamp, symbol string, _field string, _value double")
+    assert [(r.symbol, r._field, r.n) for r in P.pivot_conflicts(long).collect()] == [("A", "open", 2)]
+    assert P.pivot_fields(long, ["open", "close"]).where("symbol = 'A'").first().open == 2.0

@@ -87,3 +87,9 @@ def pivot_fields(long: DataFrame, fields: Sequence[str], tags: Sequence[str] = (
     that reruns agree. The field list is given, so no extra pass looks for it.
     """
     return long.groupBy("_time", *tags).pivot("_field", list(fields)).agg(F.max("_value"))
+
+
+def pivot_conflicts(long: DataFrame, tags: Sequence[str] = ("symbol",)) -> DataFrame:
+    """(_time, tags, _field, n): where a series holds several values, of which `pivot_fields` keeps the largest."""
+    counted = long.groupBy("_time", *tags, "_field").agg(F.count("_value").alias("n"))
+    return counted.where(F.col("n") > 1)
