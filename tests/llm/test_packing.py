@@ -48,6 +48,17 @@ def test_word_ids_are_those_of_the_tokenizer(texts):
     assert list(packing.word_ids(PATH)(texts)) == want
 
 
+def test_word_ids_when_few_words_are_remembered(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 40)
+    monkeypatch.setattr(packing, "KEPT_WORDS", 10)
+    packing._words.cache_clear()
+    tokenizer = Tokenizer.from_file(PATH)
+    texts = [" ".join(f"word{k * 7 % 91}, it's {k}" for k in range(j, j + 30)) for j in range(0, 400, 2)]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert list(packing.word_ids(PATH)(texts)) == want
+    packing._words.cache_clear()
+
+
 def check(rows, docs, capacity):
     tokenizer = Tokenizer.from_file(PATH)
     tokenizer.encode_special_tokens = True
