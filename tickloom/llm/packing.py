@@ -268,6 +268,10 @@ def pack_documents(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """Pieces of all documents (see `token_pieces`) with their places (see `pack`)."""
+    """Pieces of all documents (see `token_pieces`) with their places (see `pack`).
+
+    Every row is a document of its own: repeated ids and texts are packed as often as they come, and a
+    null id stays null.
+    """
     pieces = stored(token_pieces(docs, tokenizer_path, capacity, end_id, id_col, text_col), "pieces")
     return pack(pieces, capacity, id_col)

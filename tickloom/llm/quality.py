@@ -238,7 +238,8 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED, how: Boos
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, predicted) per row of `docs`: the chance of a good text, and 1 from one half on.
 
-    A batch's features are binned and its tables added up at once. Null texts count as empty.
+    A batch's features are binned and its tables added up at once. Null texts count as empty; every row
+    gives one row, repeated and null ids included, and rows with the same text get the same score.
     """
 
     def make():

@@ -100,7 +100,8 @@ def secrets(docs: DataFrame, test: TokenTest, id_col: str = "doc_id", text_col:
 
     Spans are code points, end exclusive. The token test looks at long runs of letters, digits and
     `+/_=-` that no fixed form touches: known digests, UUIDs, numbers and identifiers are excluded,
-    and what has few characters per token is random. A null text is empty.
+    and what has few characters per token is random. A null text is empty; repeated and null ids give a
+    row each.
     """
 
     def make():

@@ -322,7 +322,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
     Words become symbols of a lexicon transducer, clauses run through the composed grammar, and the
     score is the chance of the strongest pattern found, given how many matches there are. A text
-    without a match, an empty text and a null text have the score of pattern `none`.
+    without a match, an empty text and a null text have the score of pattern `none`. Every row gives
+    one row, repeated and null ids included.
     """
 
     def make():
@@ -345,7 +346,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of `docs` that `model` does not take for toxic, with all their columns."""
+    """The rows of `docs` that `model` does not take for toxic, with all their columns.
+
+    Rows are judged one by one by their text; null and empty texts stay.
+    """
     text_at = docs.columns.index(text_col)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
