@@ -102,6 +102,36 @@ def test_random_strings_and_names():
     assert scan(names) == [] and scan(plain) == []
 
 
+@pytest.mark.parametrize("size, words", [(20, 4), (20, 6), (32, 8), (40, 10)])
+@pytest.mark.parametrize("mark", ["/", "_", "-", "="])
+def test_random_strings_behind_words(size, words, mark):
+    scan = secrets.scanner(secrets.TokenTest(RANKS))
+    rng = random.Random(9)
+    names = "home account backup project storage release archive service public config".split()
+    found = 0
+    for _ in range(50):
+        key = "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(size))
+        path = mark + mark.join(rng.sample(names, words)) + mark
+        # A key that a fixed form touches elsewhere in its path is found too.
+        text = f"see {path}{key}{mark}archive and {path}{key}{mark}{'0123456789abcdef'}"
+        spans = [(s, e) for s, kind, e in scan(text) if kind == 3]
+        start = 4 + len(path)
+        second = text.rindex(key)
+        found += spans == [(start, start + size), (second, second + size)]
+    assert found >= 47
+
+
+def test_names_in_paths_are_no_secrets():
+    scan = secrets.scanner(secrets.TokenTest(RANKS))
+    for text in (
+        "/home/account/backup/project/storage/release/archive/service/public/x86/550E8400-E29B-41D4-A716-4466F5440000/report",
+        "/storage/backup2/project/release/service/public/config/home/account/" * 2 + "A1B2" * 8 + "/archive_file",
+        "/usr/lib/x86_64-linux-gnu/python3/dist-packages/my_long_variable_name2",
+        "/projects/release-2024-01-01-12-30-00/getUserAccountByIdentifier",
+    ):
+        assert scan(text) == [], text
+
+
 def test_secrets_of_odd_rows(spark):
     got = secrets.secrets(documents(spark, ODD), secrets.TokenTest(RANKS)).collect()
     assert len(got) == len(ODD) and {r["spans"] for r in got} == {""}

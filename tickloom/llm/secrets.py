@@ -27,6 +27,10 @@ DIGEST = re.compile(r"[0-9A-Fa-f]+")
 DIGEST_LENGTHS = frozenset({32, 40, 48, 56, 64, 96, 128})
 PARTS = re.compile(r"[^+/_=-]+")
 CAMEL = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,5}(?![a-z]))+[0-9]{0,4}")
+# Parts of at least so many characters are words that end a run of parts; a key rarely has such a part.
+LEAST_WORD, LEAST_PART = 4, 16
+SHORT = re.compile(r"[a-z]{2,3}|[0-9]{2,3}")
+WHOLE_UUID = re.compile(rf"(?<![0-9A-Za-z]){UUID.pattern}(?![0-9A-Za-z])")
 BLOCK = 4096
 
 
@@ -51,6 +55,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 _LONG_HEX = re.compile(f"{HEX.pattern[:-1]}{{{LEAST_HEX},}}")
 
 
+def is_plain(part: str) -> bool:
+    """Whether a part is words, letters of one case or digits."""
+    return bool(CAMEL.fullmatch(part) or part.isalpha() and (part.islower() or part.isupper()) or part.isdigit())
+
+
 def is_named(candidate: str) -> bool:
     """Whether it is a digest, a UUID, a number, or an identifier made of words and short numbers."""
     if UUID.fullmatch(candidate) or (len(candidate) in DIGEST_LENGTHS and DIGEST.fullmatch(candidate)):
@@ -61,10 +70,38 @@ def is_named(candidate: str) -> bool:
     parts = PARTS.findall(candidate)
     if not has[0] and all(p.istitle() or p.islower() or p.isupper() for p in parts):
         return True
-    plain = [bool(CAMEL.fullmatch(p) or p.isalpha() and (p.islower() or p.isupper()) or p.isdigit()) for p in parts]
+    plain = [is_plain(p) for p in parts]
     return sum(plain) >= max(1, len(parts) - 1) and all(ok or len(p) <= 6 for p, ok in zip(parts, plain))
 
 
+def inner_runs(value: str) -> list[tuple[int, int, list[tuple[int, int]]]]:
+    """What lies between the words, numbers, digests and UUIDs of a path or joined name.
+
+    (start, end, its parts of LEAST_PART or more characters) of each longest run of parts, less short
+    words and numbers at its ends. A key may have separators inside, so a run is one candidate and its
+    parts are others.
+    """
+    uuids = [m.span() for m in WHOLE_UUID.finditer(value)] if value.count("-") >= 4 else []
+    runs, run = [], []
+    for m in PARTS.finditer(value):
+        p = m.group()
+        named = len(p) >= LEAST_WORD and is_plain(p) or len(p) in DIGEST_LENGTHS and DIGEST.fullmatch(p)
+        if named or any(s <= m.start() < e for s, e in uuids):
+            runs.append(run)
+            run = []
+        else:
+            run.append((*m.span(), bool(SHORT.fullmatch(p))))
+    found = []
+    for run in [*runs, run]:
+        odd = [k for k, (*_, short) in enumerate(run) if not short]
+        if odd:
+            run = run[odd[0] : odd[-1] + 1]
+            found.append((run[0][0], run[-1][1], [(s, e) for s, e, _ in run if e - s >= LEAST_PART]))
+    if found and found[-1][1] == len(value.rstrip("=")):  # padding belongs to the key
+        found[-1] = (found[-1][0], len(value), found[-1][2])
+    return found
+
+
 def scanner(test: TokenTest):
     """A function from a text to all (start, kind, end), sorted."""
     encoding = []
@@ -80,12 +117,28 @@ def scanner(test: TokenTest):
     def run(text: str) -> list[tuple[int, int, int]]:
         found = base_spans(text)
         covered = list(found)
+
+        def is_random(start: int, end: int) -> bool:
+            value = text[start:end]
+            if len(value) < LEAST_PART or is_named(value) or any(s < end and start < e for s, _, e in covered):
+                return False
+            return len(value) / tokens(value) < test.most
+
         for m in CANDIDATE.finditer(text):
-            value = m.group()
-            if is_named(value) or any(s < m.end() and m.start() < e for s, _, e in covered):
+            at = m.start()
+            runs = inner_runs(m.group())
+            if is_random(at, m.end()):
+                # Less the words at its ends, where the rest is random too.
+                start, end = at, m.end()
+                if runs and runs[0][0] - 1 > LEAST_WORD:
+                    start = at + runs[0][0]
+                if runs and len(m.group()) - runs[-1][1] > LEAST_WORD:
+                    end = at + runs[-1][1]
+                found.append((start, 3, end) if is_random(start, end) else (at, 3, m.end()))
                 continue
-            if len(value) / tokens(value) < test.most:
-                found.append((m.start(), 3, m.end()))
+            for start, end, parts in runs:
+                spans = [(start, end)] if is_random(at + start, at + end) else [p for p in parts if is_random(at + p[0], at + p[1])]
+                found += [(at + s, 3, at + e) for s, e in spans]
         return sorted(found)
 
     return run
@@ -100,8 +153,10 @@ def secrets(docs: DataFrame, test: TokenTest, id_col: str = "doc_id", text_col:
 
     Spans are code points, end exclusive. The token test looks at long runs of letters, digits and
     `+/_=-` that no fixed form touches: known digests, UUIDs, numbers and identifiers are excluded,
-    and what has few characters per token is random. A null text is empty; repeated and null ids give a
-    row each.
+    and what has few characters per token is random. A run that is not random as a whole, or that a
+    fixed form touches, is looked at again without its words (see `inner_runs`), so that a key in a path
+    or joined name is found; the span is then that of the key. A null text is empty; repeated and null
+    ids give a row each.
     """
 
     def make():
