@@ -121,6 +121,17 @@ def test_random_strings_behind_words(size, words, mark):
     assert found >= 47
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"])
+def test_long_random_letters(letters):
+    scan = secrets.scanner(secrets.TokenTest(RANKS))
+    rng = random.Random(5)
+    keys = ["".join(rng.choice(letters) for _ in range(32)) for _ in range(50)]
+    assert sum(scan(f"the key is {k} here") == [(11, 3, 43)] for k in keys) >= 48
+    assert sum(scan(f"/home/account/storage/release/{k}/public") == [(30, 3, 62)] for k in keys) >= 48
+    words = "donaudampfschifffahrtsgesellschaft antidisestablishmentarianism " + "h" * 40 + " " + "acgttgca" * 6
+    assert scan(words + " dieeinkeitgekeit " + words.upper()) == []
+
+
 def test_names_in_paths_are_no_secrets():
     scan = secrets.scanner(secrets.TokenTest(RANKS))
     for text in (

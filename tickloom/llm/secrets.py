@@ -30,6 +30,9 @@ CAMEL = re.compile(r"(?:[A-Z]?[a-z]{2,}|[A-Z]{2,5}(?![a-z]))+[0-9]{0,4}")
 # Parts of at least so many characters are words that end a run of parts; a key rarely has such a part.
 LEAST_WORD, LEAST_PART = 4, 16
 SHORT = re.compile(r"[a-z]{2,3}|[0-9]{2,3}")
+# Letters of one case longer than natural words of the tables (24), and the distinct letters that such a key has.
+LONG_LETTERS = re.compile(r"[A-Za-z][a-z]{24,}|[A-Z]{25,}")
+LEAST_DISTINCT = 10
 WHOLE_UUID = re.compile(rf"(?<![0-9A-Za-z]){UUID.pattern}(?![0-9A-Za-z])")
 BLOCK = 4096
 
@@ -55,8 +58,15 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 _LONG_HEX = re.compile(f"{HEX.pattern[:-1]}{{{LEAST_HEX},}}")
 
 
+def is_long_letters(part: str) -> bool:
+    """Whether it is letters of one case, too long to be taken for a word without the token test."""
+    return bool(LONG_LETTERS.fullmatch(part)) and len(set(part)) >= LEAST_DISTINCT
+
+
 def is_plain(part: str) -> bool:
     """Whether a part is words, letters of one case or digits."""
+    if is_long_letters(part):
+        return False
     return bool(CAMEL.fullmatch(part) or part.isalpha() and (part.islower() or part.isupper()) or part.isdigit())
 
 
@@ -64,6 +74,8 @@ def is_named(candidate: str) -> bool:
     """Whether it is a digest, a UUID, a number, or an identifier made of words and short numbers."""
     if UUID.fullmatch(candidate) or (len(candidate) in DIGEST_LENGTHS and DIGEST.fullmatch(candidate)):
         return True
+    if is_long_letters(candidate):
+        return False
     has = [any(test(c) for c in candidate) for test in (str.isdigit, str.islower, str.isupper)]
     if sum(has) < 2:
         return True
@@ -155,7 +167,9 @@ def secrets(docs: DataFrame, test: TokenTest, id_col: str = "doc_id", text_col:
     `+/_=-` that no fixed form touches: known digests, UUIDs, numbers and identifiers are excluded,
     and what has few characters per token is random. A run that is not random as a whole, or that a
     fixed form touches, is looked at again without its words (see `inner_runs`), so that a key in a path
-    or joined name is found; the span is then that of the key. A null text is empty; repeated and null
+    or joined name is found; the span is then that of the key. Digits alone are never reported, nor are
+    letters of one case up to 24 characters or with fewer than LEAST_DISTINCT letters: words and numbers
+    as long also have few characters per token. A null text is empty; repeated and null
     ids give a row each.
     """
 
