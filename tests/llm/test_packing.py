@@ -97,3 +97,15 @@ def test_odd_rows(spark, capacity):
 
 def test_empty_table(spark):
     assert packing.pack_documents(spark.createDataFrame([], "doc_id long, text string"), PATH).collect() == []
+
+
+ADDED = ["see <|endoftext|> here", "<|startoftext|>it<|endoftext|>'s", "no <|EndOfText|> and <|endoftext|", "a b c"]
+
+
+def test_added_tokens_have_the_ids_of_the_unchanged_tokenizer(spark):
+    tokenizer = Tokenizer.from_file(PATH)
+    ids = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4") for t in ADDED]
+    assert list(packing.word_ids(PATH)(ADDED)) == [x.tobytes() for x in ids]
+    docs = spark.createDataFrame(list(enumerate(ADDED)), "doc_id long, text string")
+    got = {r["doc_id"]: (r["length"], r["ids_crc32"]) for r in packing.pack_documents(docs, PATH).collect()}
+    assert got == {k: (len(x) + 1, zlib.crc32(np.append(x, 0).astype("<u4").tobytes())) for k, x in enumerate(ids)}

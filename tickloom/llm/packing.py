@@ -44,9 +44,11 @@ class _Words(dict):
     def __init__(self, tokenizer_path: str):
         super().__init__()
         self.whole = Tokenizer.from_file(tokenizer_path)
-        self.whole.encode_special_tokens = True
+        # Added tokens have ids of their own in a text, also across words and whatever their case.
+        added = [t.content for t in self.whole.get_added_tokens_decoder().values() if t.content]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE) if added else None
         self.line = Tokenizer.from_file(tokenizer_path)
-        self.line.encode_special_tokens = True
+        self.line.encode_special_tokens = True  # words without an added token come here
         self.line.normalizer = None  # words come in lower case
         bytes_only = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.line.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), bytes_only])
@@ -75,6 +77,9 @@ class _Words(dict):
             self.parts.update(zip(some, (raw[i:j] for i, j in zip([0, *cuts.tolist()], cuts.tolist())), strict=True))
         self.update((w, b"".join(map(self.parts.__getitem__, parts))) for w, parts in zip(new, split))
 
+    def is_whole(self, text: str) -> bool:
+        return bool(UNUSUAL.search(text) or self.added and self.added.search(text))
+
     @staticmethod
     def ids(tokenizer: Tokenizer, text: str) -> np.ndarray:
         return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
@@ -92,14 +97,15 @@ def word_ids(tokenizer_path: str) -> Callable[[list[str]], Iterator[bytes]]:
 
     For a vocabulary that lower-cases and never joins across white space, a text's ids are the ids of
     its words one after the other, so each distinct word is tokenised once. Texts with characters for
-    which that may not hold (combining marks, rare spaces, non-Latin letters) are tokenised whole.
+    which that may not hold (combining marks, rare spaces, non-Latin letters) or with the content of an
+    added token are tokenised whole.
     """
     known = _words(tokenizer_path)
 
     def run(texts: list[str]) -> Iterator[bytes]:
         for start in range(0, len(texts), 50):
             some = texts[start : start + 50]
-            split = [None if UNUSUAL.search(t) else t.lower().split() for t in some]
+            split = [None if known.is_whole(t) else t.lower().split() for t in some]
             known.learn(set().union(*filter(None, split)))
             for text, words in zip(some, split):
                 if words is None:
