@@ -15,7 +15,7 @@ from tickloom.sinks.points import send_lines, write_lines
 from tickloom.sinks.tables import append_missing, show_stream, write_parquet
 from tickloom.sources.files import stream_parquet, stream_text
 from tickloom.streaming.keyed import keyed_sma, sma_text
-from tickloom.streaming.run import delivery_report, start_batches, write_available
+from tickloom.streaming.run import collect_stream, delivery_report, start_batches, write_available
 from tickloom.streaming.windows import latest_quote_stream, ohlcv_bars_stream, rank_closed, screener_metrics_stream
 
 
@@ -304,3 +304,14 @@ def test_tails_of_symbols_that_a_batch_lacks_are_kept(spark, tmp_path):
     )
     written = [spark.read.parquet(str(tmp_path / "tail" / str(i))).count() for i in range(len(turns))]
     assert written == [2, 1, 2, 3, 2]
+
+
+def test_tick_stream_of_more_files_with_null_ids(spark, monkeypatch, tmp_path):
+    rows = [(k if k % 50 else None, f"a{k % 3}", float(k), '{"k": 1}') for k in range(1, 301)]
+    events = spark.createDataFrame(rows, "event_id bigint, event_type string, value double, props string")
+    events.selectExpr(
+        "event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "1L AS user_id", "event_type", "value", "props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    monkeypatch.setattr(A, "FILE_ROWS", 50)
+    out = collect_stream(spark, A.tick_stream(spark, str(tmp_path)).select("seq", "price"), "many_files", least_batches=6)
+    assert sorted(r["price"] for r in out.collect()) == [float(k) for k in range(1, 301)]

@@ -60,17 +60,24 @@ def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks(spark, sf_dir).select(price.alias("price"), "volume")
 
 
-STREAM_FILES = 4
+# Files of a stream, at least, and the rows of each, about: more rows give more files.
+STREAM_FILES, FILE_ROWS = 4, 1_000_000
 
 
 def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks as a file stream of STREAM_FILES micro-batches, the oldest ticks first."""
+    """Ticks as a file stream of STREAM_FILES or more micro-batches, the oldest ticks first.
+
+    Each file is one task's and one micro-batch's work, so their number grows with the rows. Ticks
+    without an id are in the first file.
+    """
     path = scratch_dir(spark, "tick_files")
     rows = ticks(spark, sf_dir)
-    lo, hi = rows.agg(F.min("seq"), F.max("seq")).first()
-    step = ((hi or 0) - (lo or 0)) // STREAM_FILES + 1
-    for i in range(STREAM_FILES):  # one after the other, as a stream takes files by age
-        part = rows.where(F.col("seq").between((lo or 0) + i * step, (lo or 0) + (i + 1) * step - 1))
+    lo, hi, count = rows.agg(F.min("seq"), F.max("seq"), F.count(F.lit(1))).first()
+    files = max(STREAM_FILES, -(-count // FILE_ROWS))
+    step = ((hi or 0) - (lo or 0)) // files + 1
+    for i in range(files):  # one after the other, as a stream takes files by age
+        own = F.col("seq").between((lo or 0) + i * step, (lo or 0) + (i + 1) * step - 1)
+        part = rows.where(own if i else own | F.col("seq").isNull())
         part.coalesce(1).write.parquet(f"{path}/{i}")
     return stream_parquet(spark, f"{path}/*", rows.schema)
 
