@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import studies as T
 from tickloom.operators.series import CHUNK, HALO, Split, drop_halo, split_series
+from tickloom.plans import adapters as A
 
 SCHEMA = "symbol string, ts timestamp, seq bigint, close double"
 DAY = dt.datetime(2024, 1, 2)
@@ -169,3 +170,19 @@ def test_the_input_is_read_few_times(spark, tmp_path, kind, passes):
     out = T.with_studies(df, [T.sma(), T.trend()], split=Split(rows=100))
     assert out.count() == 3000
     assert read.value == passes * 3000
+
+
+@pytest.mark.parametrize("count", [1, 2, 3, 4, 5, 100])
+def test_flat_ticks_are_the_second_third_and_no_window_holds_a_symbol(spark, tmp_path, count):
+    rows = [(k, k * 37 % 41 if k % 9 else None, "ab"[k % 2] if k % 7 else None, float(k)) for k in range(count)]
+    events = spark.createDataFrame(rows, "event_id bigint, s int, event_type string, value double").selectExpr(
+        "event_id", "timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, s * 20) AS ts", "1L AS user_id",
+        "event_type", "value", "'{\"k\": 1}' AS props",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    third = F.ntile(3).over(Window.partitionBy("symbol").orderBy("ts", "seq"))
+    want = A.ticks(spark, str(tmp_path)).select("symbol", "ts", "seq", F.when(third == 2, 50.0).otherwise(F.col("close")))
+    got = A.flat_ticks(spark, str(tmp_path))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.toDF(*got.columns).collect()))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "ntile" not in plan and "row_number()" in plan

@@ -47,10 +47,25 @@ def sparse_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flat_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks whose price stands still in the second third of each symbol's rows."""
-    order = Window.partitionBy("symbol").orderBy("ts", "seq")
-    part = F.ntile(3).over(order)
-    return ticks(spark, sf_dir).select("symbol", "ts", "seq", F.when(part == 2, 50.0).otherwise(F.col("close")).alias("close"))
+    """Ticks whose price stands still in the second third of each symbol's rows.
+
+    Thirds as by ntile(3). Rows are ranked within minutes, behind the counts of the minutes before, so
+    that no task sorts a whole symbol.
+    """
+    rows = ticks(spark, sf_dir).select("symbol", "ts", "seq", "close").withColumn("minute", F.date_trunc("minute", "ts"))
+    earlier = Window.partitionBy("symbol").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("symbol", "minute").agg(F.count(F.lit(1)).alias("n"))
+    totals = counts.groupBy(F.col("symbol").alias("of")).agg(F.sum("n").alias("total"))
+    before = (
+        counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+        .join(totals, F.col("symbol").eqNullSafe(F.col("of")))
+        .select(F.col("symbol").alias("s"), F.col("minute").alias("m"), "before", "total")
+    )
+    rank = F.col("before") + F.row_number().over(Window.partitionBy("symbol", "minute").orderBy("ts", "seq"))
+    first, second = F.floor((F.col("total") + 2) / 3), F.floor((F.col("total") + 1) / 3)
+    met = rows.join(before, F.col("symbol").eqNullSafe(F.col("s")) & F.col("minute").eqNullSafe(F.col("m")))
+    flat = (F.col("rank") > first) & (F.col("rank") <= first + second)
+    return met.withColumn("rank", rank).select("symbol", "ts", "seq", F.when(flat, 50.0).otherwise(F.col("close")).alias("close"))
 
 
 def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
