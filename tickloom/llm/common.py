@@ -74,14 +74,15 @@ def per_text(
     fields: str,
     id_col: str = "doc_id",
     text_col: str = "text",
+    cast: bool = True,
 ) -> DataFrame:
     """One row per document: its id and what the function that `make` gives returns for its text.
 
     `make` runs once per task, on the executor; the function takes a batch of whole texts (null as
-    empty) and gives one list per field of `fields`.
+    empty) and gives one list per field of `fields`. Without `cast` it gets the column as it is.
     """
     added = T.StructType.fromDDL(fields)
-    source = docs.select(quoted(id_col), text_or_empty(text_col).alias("text"))
+    source = docs.select(quoted(id_col), (text_or_empty(text_col) if cast else quoted(text_col)).alias("text"))
     schema = T.StructType([source.schema.fields[0], *added.fields])
     out = _arrow_schema(schema)
 

@@ -9,7 +9,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import line_dedup, mixing, near_dup, packing, quality, secrets, token_counts, toxicity, vector_dedup, vector_search
+from tickloom.llm import (
+    bpe,
+    line_dedup,
+    mixing,
+    near_dup,
+    packing,
+    quality,
+    secrets,
+    source_audit,
+    token_counts,
+    toxicity,
+    vector_codes,
+    vector_dedup,
+    vector_search,
+)
 from tickloom.llm.common import remainder, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +94,18 @@ def op10_toxicity(spark, sf_dir):
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     held_out = remainder(F.col("doc_id"), toxicity.HELD_OUT) == toxicity.HELD_OUT_REST
     return toxicity.score(docs, model).withColumn("held_out", held_out)
+
+
+@_query
+def op11_bpe_codec(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+@_query
+def op13_source_divergence(spark, sf_dir):
+    return source_audit.source_divergence(table(spark, sf_dir, "documents"))

@@ -83,9 +83,87 @@ SELECT l.vec_id, coalesce(c.n, 0)::BIGINT AS n_links, l.component_id, l.vec_id =
 FROM least l LEFT JOIN counts c ON l.vec_id = c.vec_id
 """
 
+CODES = """
+WITH RECURSIVE kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label,
+    list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (
+  SELECT r, p, v[p * (len(v) // 16) + 1 : (p + 1) * (len(v) // 16)] AS x FROM kept, range(16) AS t(p)),
+seeds AS (SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept ORDER BY vec_id LIMIT 64),
+book0 AS (SELECT p, e, x FROM parts JOIN seeds USING (r)),
+{assign0},
+{move0},
+{assign1},
+{move1},
+{assign2},
+coded AS (
+  SELECT r, string_agg(printf('%02x', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM own2 GROUP BY r),
+digest AS (
+  SELECT sha256(string_agg(list_aggregate(x, 'string_agg', ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book2)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r) CROSS JOIN digest
+"""
+
+
+def _codes() -> str:
+    steps = {}
+    for k in range(3):
+        steps[f"assign{k}"] = f"""near{k} AS (
+  SELECT a.r, a.p, b.e, list_sum(list_transform(list_zip(a.x, b.x), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+  FROM parts a JOIN book{k} b ON a.p = b.p),
+own{k} AS (SELECT r, p, min(d) AS d, arg_min(e, d * 64 + e) AS e FROM near{k} GROUP BY r, p)"""
+        steps[f"move{k}"] = f"""sums{k} AS (
+  SELECT p, e, pos, CAST(floor(sum(c) / count(*)) AS BIGINT) AS c FROM (
+    SELECT o.p, o.e, unnest(a.x) AS c, unnest(range(len(a.x))) AS pos
+    FROM own{k} o JOIN parts a ON o.r = a.r AND o.p = a.p) GROUP BY p, e, pos),
+book{k + 1} AS (
+  SELECT b.p, b.e, coalesce(s.x, b.x) AS x FROM book{k} b
+  LEFT JOIN (SELECT p, e, list(c ORDER BY pos) AS x FROM sums{k} GROUP BY p, e) s ON s.p = b.p AND s.e = b.e)"""
+    return CODES.format(**steps)
+
+
+DIVERGENCE = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents),
+words AS (SELECT r, lang, source, unnest(terms) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY ALL HAVING count(DISTINCT r) >= 3),
+counts AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM words w JOIN kept USING (lang, term) GROUP BY ALL),
+langs AS (
+  SELECT l.lang, coalesce(sum(k.n), 0) AS total, count(k.term) AS v
+  FROM (SELECT DISTINCT lang FROM docs) l LEFT JOIN kept k USING (lang) GROUP BY l.lang),
+groups AS (
+  SELECT g.lang, g.source, coalesce(sum(c.n), 0) AS total
+  FROM (SELECT DISTINCT lang, source FROM docs) g LEFT JOIN counts c USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.total + l.v)) AS p,
+    (1 + (1000000000::HUGEINT * (k.n + 1)) // (l.total + l.v)) AS q
+  FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, coalesce(sum((x.p - y.p) * (x.p - y.p) // y.p), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN shares x ON x.lang = a.lang AND x.source = a.source
+  LEFT JOIN shares y ON y.lang = b.lang AND y.source = b.source AND y.term = x.term
+  GROUP BY ALL),
+found AS (
+  SELECT lang, source, 'pair' AS part, item, value FROM pairs
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE n > 0 AND p > q),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank FROM found)
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
 ORACLE_SQL = {
     "op1_mix_sources": MIX,
     "op4_minhash_near_dedup": NEAR_DOCUMENTS,
     "op5_embedding_near_dedup": NEAR_VECTORS,
     "op8_line_dedup": LINES,
+    "op12_vector_codes": _codes(),
+    "op13_source_divergence": DIVERGENCE,
 }
