@@ -52,14 +52,12 @@ class MergeAutomaton:
         self.right: dict[int, int] = {}
         self.lost: dict[tuple[int, int], int] = {}
         self.known: dict[tuple[int, int], bool] = {}
+        made = set(alphabet)
         for step, (a, b, merged) in enumerate(merges, 1):
-            if merged in self.born:
-                raise ValueError(f"two merges make token {merged}")
-            if a not in self.born or b not in self.born:
-                if a in self.left or b in self.left or min(a, b) < 0:
-                    raise ValueError(f"merge {step} uses a token that no merge before it makes")
-                continue
-            if not self._arc(a, b, step):
+            if merged in made or not {a, b} <= made:
+                raise ValueError(f"merge {step} makes a token again, or uses one that no merge before it makes")
+            made.add(merged)
+            if a not in self.born or b not in self.born or not self._arc(a, b, step):
                 continue  # no text leads here, so the merge never applies
             self.born[merged], self.left[merged], self.right[merged] = step, a, b
             self.lost[a, b] = step
@@ -82,7 +80,7 @@ class MergeAutomaton:
 
     def follows(self, state: int, token: int) -> bool:
         """Whether `token` is an arc of the state; the start has one for each token that can occur."""
-        if state == START:
+        if state == START or token not in self.born:
             return token in self.born
         found = self.known.get((state, token))
         if found is None:
