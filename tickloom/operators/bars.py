@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tickloom.functions.columns import order_key
 from tickloom.operators.series import as_keys
@@ -47,6 +48,99 @@ def ohlcv_bars(
     )
 
 
+def ohlcv_bars_sliding(
+    ticks: DataFrame,
+    width: str = "1 hour",
+    step: str = "10 minutes",
+    price: str = "price",
+    volume: str = "volume",
+    keys: str | Sequence[str] = "symbol",
+    ts: str = "ts",
+    seq: str = "seq",
+) -> DataFrame:
+    """Bars of all windows of `width` that begin at a multiple of `step` and hold a tick.
+
+    `width` is a multiple of `step`. Ticks are reduced once to panes of one step. Panes are taken in
+    blocks of as many as a window holds, counted from the epoch; a window is then the rest of one block
+    and the beginning of the next, so its bar is merged from two rows, however many panes it spans. The
+    windows over panes stay within a symbol's block, so that no task holds a symbol.
+    """
+    keys = as_keys(keys)
+    length, pane = _micros(width), _micros(step)
+    if length % pane:
+        raise ValueError(f"{width} is no multiple of {step}")
+    panes = length // pane
+    key = order_key(F.col(ts), F.col(seq))
+    at = F.when(F.col(price).isNotNull(), key)
+    reduced = (
+        ticks.where(F.col(ts).isNotNull())
+        .withColumns({"_at": at, "_i": F.expr(_floor_div(ts, pane))})
+        .groupBy(*keys, "_i")
+        .agg(
+            F.min_by(price, "_at").alias("open"),
+            F.min("_at").alias("_first"),
+            F.max(price).alias("high"),
+            F.min(price).alias("low"),
+            F.max_by(price, "_at").alias("close"),
+            F.max("_at").alias("_last"),
+            F.sum(volume).alias("volume"),
+            F.count(F.lit(1)).alias("trades"),
+        )
+        .withColumn("_block", F.expr(f"_i - pmod(_i, {panes}L)"))
+    )
+    block = Window.partitionBy(*keys, "_block")
+    onwards = block.orderBy(F.desc("_i")).rowsBetween(Window.unboundedPreceding, 0)
+    so_far = block.orderBy("_i").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.col("_block") + panes - 1
+    after = F.coalesce(F.lead("_i").over(block.orderBy("_i")) - 1, end)
+    before = F.coalesce(F.lag("_i").over(block.orderBy("_i")) + 1, F.col("_block"))
+    # From each pane on to its block's end, for the windows whose first pane in the block it is; and up to
+    # each pane, for those that began in the block before and of which it is the last pane here.
+    rest = reduced.select(*keys, before.alias("_lo"), F.col("_i").alias("_hi"), *_merged(lambda c: c.over(onwards)))
+    begun = reduced.select(*keys, F.col("_i").alias("_lo"), F.least(after, end - 1).alias("_hi"), *_merged(lambda c: c.over(so_far)))
+    begun = begun.withColumns({"_lo": F.col("_lo") - (panes - 1), "_hi": F.col("_hi") - (panes - 1)}).where("_lo <= _hi")
+    halves = rest.unionByName(begun).withColumn("_start", F.explode(F.sequence("_lo", "_hi")))
+    zone = isinstance(ticks.schema[ts].dataType, TimestampNTZType)
+    start = F.timestamp_micros(F.col("_start") * pane)
+    return (
+        halves.groupBy(*keys, "_start")
+        .agg(*_merged(lambda c: c))
+        .select(
+            *keys, (start.cast("timestamp_ntz") if zone else start).alias("date"), "open", "high", "low", "close", "volume", "trades"
+        )
+    )
+
+
+def _micros(interval: str) -> int:
+    """A fixed length such as '10 minutes' in microseconds."""
+    number, unit = interval.split()
+    sizes = {"microsecond": 1, "millisecond": 1000, "second": 10**6, "minute": 60 * 10**6, "hour": 3600 * 10**6, "day": 86400 * 10**6}
+    size = sizes.get(unit.rstrip("s"))
+    if size is None or int(number) <= 0:
+        raise ValueError(f"not a fixed length: {interval!r}")
+    return int(number) * size
+
+
+def _floor_div(ts: str, size: int) -> str:
+    at = f"unix_micros(CAST(`{ts}` AS TIMESTAMP))"
+    return f"({at} - pmod({at}, {size}L)) div {size}L"
+
+
+def _merged(over) -> list[Column]:
+    """Two or more parts of a bar made one; `over` places the aggregates."""
+    parts = {
+        "open": F.min_by("open", "_first"),
+        "_first": F.min("_first"),
+        "high": F.max("high"),
+        "low": F.min("low"),
+        "close": F.max_by("close", "_last"),
+        "_last": F.max("_last"),
+        "volume": F.sum("volume"),
+        "trades": F.sum("trades"),
+    }
+    return [over(part).alias(name) for name, part in parts.items()]
+
+
 def latest_quote(
     ticks: DataFrame,
     keys: str | Sequence[str] = "symbol",
@@ -97,17 +191,25 @@ def screener_metrics(
     )
 
 
-def rank_screener(metrics: DataFrame, sort_field: str, k: int = 10) -> DataFrame:
+def volume_totals(metrics: DataFrame) -> DataFrame:
+    """(symbol, windows, total): how many windows of a symbol have a volume, and its sum."""
+    return metrics.groupBy("symbol").agg(F.count("volume").alias("windows"), F.sum("volume").alias("total"))
+
+
+def rank_screener(metrics: DataFrame, sort_field: str, k: int = 10, totals: DataFrame | None = None) -> DataFrame:
     """Top k symbols of each window; ties by symbol, symbols without the metric left out.
 
-    AVERAGE_PERCENT_VOLUME is 100 * volume / mean volume of the symbol's other windows.
+    AVERAGE_PERCENT_VOLUME is 100 * volume / mean volume of the symbol's other windows, of which `totals`
+    (see `volume_totals`) has the sums; by default those of `metrics`.
     """
     if sort_field not in SORT_FIELDS:
         raise ValueError(f"unknown sort field: {sort_field!r}")
     if sort_field == "AVERAGE_PERCENT_VOLUME":
-        own = Window.partitionBy("symbol")
-        others = F.sum("volume").over(own) - F.col("volume")
-        windows = F.count("volume").over(own) - 1
+        own = (volume_totals(metrics) if totals is None else totals).select(
+            F.col("symbol").alias("_symbol"), F.col("windows").alias("_windows"), F.col("total").alias("_total")
+        )
+        metrics = metrics.join(own, F.col("symbol").eqNullSafe(F.col("_symbol")))
+        others, windows = F.col("_total") - F.col("volume"), F.col("_windows") - 1
         mean = F.when((windows > 0) & (others != 0), others / windows)
         score = 100 * F.col("volume") / mean
     else:

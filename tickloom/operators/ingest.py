@@ -110,6 +110,41 @@ def feed_rejects(df: DataFrame) -> DataFrame:
     return messages.unionByName(items)
 
 
+def feed_outcomes(df: DataFrame) -> DataFrame:
+    """All that `flatten_ticks` and `feed_rejects` give, from one parse: a row per content item, or for a
+    message that cannot be read, with `reject_reason` (null for usable ticks) and the `text` of what is
+    rejected. Messages without content give nothing."""
+    read = route(parse_envelopes(df))
+    unread = F.col("route") == "rejected"
+    # One row per message stands for those that have no items of their own.
+    whole = F.struct(
+        F.lit(None).cast("string").alias("service"),
+        F.lit(None).cast("bigint").alias("timestamp"),
+        F.lit(None).cast("string").alias("item"),
+        F.col("value").cast("string").alias("text"),
+        F.col(REASON).alias(REASON),
+    )
+    of_data = F.transform(
+        "envelope.data",
+        lambda d: F.transform(
+            d["content"],
+            lambda item: F.struct(
+                d["service"].alias("service"),
+                d["timestamp"].alias("timestamp"),
+                item.alias("item"),
+                item.alias("text"),
+                F.lit(None).cast("string").alias(REASON),
+            ),
+        ),
+    )
+    units = F.when(unread, F.array(whole)).when(F.col("route") == "data", F.flatten(F.filter(of_data, lambda x: x.isNotNull())))
+    items = read.select(F.explode(units).alias("u")).select("u.*")
+    content = items.withColumn("content", _parse(F.col("item"), CONTENT_SCHEMA))
+    content = content.withColumn(REASON, F.coalesce(REASON, _defect("content", CONTENT_SCHEMA)))
+    ticks = ticks_from_content(content.withColumn("item", F.col("text"))).withColumnRenamed("item", "text")
+    return ticks.withColumn("text", F.when(F.col(REASON).isNotNull(), F.col("text")))
+
+
 def parse_bars(df: DataFrame) -> DataFrame:
     """Raw bar messages to typed bars plus `value` and `reject_reason`.
 

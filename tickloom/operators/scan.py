@@ -19,40 +19,61 @@ from pyspark.sql import types as T
 from tickloom.operators.series import CHUNK, HALO, Frame
 from tickloom.session import store
 
+# In a stream, true for rows carried from before; `SEED` and a mean's name hold it after the row.
+OLD, SEED = "_old", "_seed_"
 # Doubles end near e^-745 and e^709; powers within a block stay below e^600.
 UNDERFLOW, BLOCK_POWER = 745.0, 600.0
 MAX_TERMS = 12
 
 
-def horizon(alpha: float) -> int:
-    """Values after which an earlier one has no weight that a double can hold."""
-    return math.ceil(UNDERFLOW / -math.log1p(-alpha)) if alpha < 1 else 0
+def finite(column: str) -> str:
+    """The column as a double; null where it is not finite."""
+    return f"CASE WHEN abs(CAST(`{column}` AS DOUBLE)) < double('infinity') THEN CAST(`{column}` AS DOUBLE) END"
 
 
-def smooth(df: DataFrame, frame: Frame, columns: Mapping[str, tuple[str, float]]) -> DataFrame:
+def smooth(df: DataFrame, frame: Frame, columns: Mapping[str, tuple[str, float]], count: str | None = None) -> DataFrame:
     """Exponential means {out: (column, weight)}, each started at the column's first value.
 
-    A null leaves the mean as it was; before the first value there is none. The columns of one call
-    are null in the same rows. In a cut series the copied rows are dropped.
+    A null, NaN or infinite value leaves the mean as it was; before the first value there is none. With
+    weight 1 the mean is the value itself. The columns of one call lack a value in the same rows.
+    `count` names a column for the number of values so far. In a cut series the copied rows are dropped.
+
+    Where `df` has the columns `OLD` and `SEED + out` (for `count` too), means go on from the seeds that the
+    old rows hold: such a row has its mean as its value, so the first one starts the series there. The seed
+    columns then hold the means after each row.
     """
     plain = {out: x for out, (x, alpha) in columns.items() if alpha >= 1}
     decay = {out: -math.log1p(-alpha) for out, (_, alpha) in columns.items() if alpha < 1}
     if frame.cut:
         df = df.where(~F.col(HALO))
-    df = df.withColumns({out: F.col(x).cast("double") for out, x in plain.items()})
+    df = df.withColumns({out: F.expr(finite(x)) for out, x in plain.items()})
     if not decay:
         return df
     block = max(1, math.floor(BLOCK_POWER / max(decay.values())))
     if math.ceil(UNDERFLOW / (block * min(decay.values()))) > MAX_TERMS and len(decay) > 1:
-        for out in decay:
-            df = smooth(df, frame, {out: columns[out]})
+        for i, out in enumerate(decay):
+            df = smooth(df, frame, {out: columns[out]}, None if i else count)
         return df
 
-    kept = [f"`{c}`" for c in df.columns]
-    x0 = columns[next(iter(decay))][0]
+    seeded = f"{SEED}{next(iter(decay))}" in df.columns
+    outs = [*decay, *([count] if count else [])]
+    kept = [f"`{c}`" for c in df.columns if not (seeded and c in {f"{SEED}{out}" for out in outs})]
+    if seeded:
+        x_of = {out: f"_x_{out}" for out in decay}
+        inputs = [f"CASE WHEN {OLD} THEN `{SEED}{out}` ELSE {finite(columns[out][0])} END AS `_x_{out}`" for out in decay]
+    else:
+        numbered = {x: f"_x_{i}" for i, x in enumerate(dict.fromkeys(columns[out][0] for out in decay))}
+        x_of = {out: numbered[columns[out][0]] for out in decay}
+        inputs = [f"{finite(x)} AS `{name}`" for x, name in numbered.items()]
+    df = df.selectExpr("*", *inputs)
+    x0 = x_of[next(iter(decay))]
     w = f"PARTITION BY {frame.partition}, _scan_b ORDER BY {frame.ordering} ROWS UNBOUNDED PRECEDING"
     over_blocks = f"PARTITION BY {frame.partition} ORDER BY _scan_b, {frame.ordering}"
-    df = df.selectExpr("*", f"count(`{x0}`) OVER ({frame} ROWS UNBOUNDED PRECEDING) AS _scan_k")
+    weight = f"if({OLD}, coalesce(`{SEED}{count}`, 0L), 1L)" if seeded else "1L"
+    number = f"coalesce(sum(CASE WHEN `{x0}` IS NOT NULL THEN {weight} END) OVER ({frame} ROWS UNBOUNDED PRECEDING), 0L)"
+    df = df.selectExpr(
+        "*", f"count(`{x0}`) OVER ({frame} ROWS UNBOUNDED PRECEDING) AS _scan_k", *([f"{number} AS _scan_n"] if count else [])
+    )
     df = df.selectExpr(
         "*",
         f"greatest(_scan_k - 1, 0L) div {block} AS _scan_b",
@@ -60,57 +81,60 @@ def smooth(df: DataFrame, frame: Frame, columns: Mapping[str, tuple[str, float]]
     ).selectExpr("*", f"`{x0}` IS NOT NULL AND _scan_m = 1 AND _scan_k > 1 AS _scan_starts")
     sums = []
     for out, lam in decay.items():
-        x, alpha = columns[out]
-        weighted = f"sum(`{x}` * ({alpha!r}D * exp({lam!r}D * _scan_m))) OVER ({w})"
+        weighted = f"sum(`{x_of[out]}` * ({columns[out][1]!r}D * exp({lam!r}D * _scan_m))) OVER ({w})"
         sums.append(f"coalesce(exp({-lam!r}D * _scan_m) * {weighted}, 0D) AS `_s_{out}`")
     df = df.selectExpr("*", *sums)
     # The end of the block before, of the one before that, and so on while they weigh anything.
     totals = {out: [f"`_s_{out}`"] for out in decay}
     before = {out: f"_s_{out}" for out in decay}
     for term in range(1, math.ceil(UNDERFLOW / (block * min(decay.values()))) + 1):
-        outs = [out for out, lam in decay.items() if (term - 1) * block * lam < UNDERFLOW]
+        reached = [out for out, lam in decay.items() if (term - 1) * block * lam < UNDERFLOW]
         df = df.selectExpr(
-            "*", *[f"CASE WHEN _scan_starts THEN lag(`{before[out]}`) OVER ({over_blocks}) END AS `_l{term}_{out}`" for out in outs]
+            "*", *[f"CASE WHEN _scan_starts THEN lag(`{before[out]}`) OVER ({over_blocks}) END AS `_l{term}_{out}`" for out in reached]
         )
-        df = df.selectExpr("*", *[f"first(`_l{term}_{out}`, true) OVER ({w}) AS `_p{term}_{out}`" for out in outs])
-        for out in outs:
+        df = df.selectExpr("*", *[f"first(`_l{term}_{out}`, true) OVER ({w}) AS `_p{term}_{out}`" for out in reached])
+        for out in reached:
             power = f"exp({-decay[out]!r}D * (_scan_m + {(term - 1) * block}))"
             totals[out].append(f"coalesce({power} * `_p{term}_{out}`, 0D)")
             before[out] = f"_p{term}_{out}"
     local = [f"{' + '.join(reversed(terms))} AS `_y_{out}`" for out, terms in totals.items()]
+    counted = ["_scan_k", *(["_scan_n"] if count else [])]
     if frame.cut:
-        df = _carried(df.selectExpr(*kept, "_scan_k", *local), frame, columns, decay)
+        df = _carried(df.selectExpr(*kept, *dict.fromkeys(f"`{x}`" for x in x_of.values()), *counted, *local), frame, x_of, decay)
     else:
-        carry = [
-            f"first(CAST(`{columns[out][0]}` AS DOUBLE), true) OVER ({over_blocks} ROWS UNBOUNDED PRECEDING) AS `_c_{out}`"
-            for out in decay
-        ]
-        df = df.selectExpr(*kept, "_scan_k", *local, *carry, "false AS _scan_seen")
-    means = [f"`_y_{out}` + exp({-lam!r}D * _scan_k) * `_c_{out}`" for out, lam in decay.items()]
-    return df.selectExpr(*kept, *[f"CASE WHEN _scan_k > 0 OR _scan_seen THEN {m} END AS `{out}`" for m, out in zip(means, decay)])
+        carry = [f"first(`{x_of[out]}`, true) OVER ({over_blocks} ROWS UNBOUNDED PRECEDING) AS `_c_{out}`" for out in decay]
+        df = df.selectExpr(*kept, *counted, *local, *carry, "false AS _scan_seen", "0L AS _scan_before")
+    means = {
+        out: f"CASE WHEN _scan_k > 0 OR _scan_seen THEN `_y_{out}` + exp({-lam!r}D * _scan_k) * `_c_{out}` END" for out, lam in decay.items()
+    }
+    if count:
+        means[count] = "_scan_before + _scan_n"
+    df = df.selectExpr(*kept, *[f"{mean} AS `{out}`" for out, mean in means.items()])
+    return df.selectExpr("*", *[f"`{out}` AS `{SEED}{out}`" for out in means]) if seeded else df
 
 
-def _carried(df: DataFrame, frame: Frame, columns: Mapping[str, tuple[str, float]], decay: Mapping[str, float]) -> DataFrame:
-    """Add `_c_<out>`: the mean before each chunk, or the first value where there is none before.
+def _carried(df: DataFrame, frame: Frame, x_of: Mapping[str, str], decay: Mapping[str, float]) -> DataFrame:
+    """Add `_c_<out>`, the mean before each chunk, or the first value where there is none before, and the
+    number of values before it.
 
     The rows are written once, as both their chunks' ends and they themselves are needed. There is
     one row per chunk, whose number the settings of the cut bound; they are scanned per symbol.
     """
     df = store(df, "scan")
     keys, outs = list(frame.keys), list(decay)
+    first = {out: F.min_by(F.col(x), F.when(F.col(x).isNotNull(), F.col("_scan_k"))) for out, x in x_of.items()}
     ends = df.groupBy(*keys, CHUNK).agg(
         F.max("_scan_k").alias("n"),
+        F.max("_scan_n" if "_scan_n" in df.columns else "_scan_k").alias("many"),
         *[F.max_by(f"_y_{out}", "_scan_k").alias(f"end{i}") for i, out in enumerate(outs)],
-        *[
-            F.min_by(F.col(columns[out][0]).cast("double"), F.when(F.col(columns[out][0]).isNotNull(), F.col("_scan_k"))).alias(f"start{i}")
-            for i, out in enumerate(outs)
-        ],
+        *[first[out].alias(f"start{i}") for i, out in enumerate(outs)],
     )
     rates = [decay[out] for out in outs]
 
     def scan(chunks: pd.DataFrame) -> pd.DataFrame:
         chunks = chunks.sort_values(CHUNK)
         chunks["seen"] = (chunks["n"].cumsum() - chunks["n"]) > 0
+        chunks["before"] = chunks["many"].cumsum() - chunks["many"]
         for i, rate in enumerate(rates):
             mean, carries = None, []
             for n, start, end in zip(chunks["n"], chunks[f"start{i}"], chunks[f"end{i}"]):
@@ -118,14 +142,18 @@ def _carried(df: DataFrame, frame: Frame, columns: Mapping[str, tuple[str, float
                 carries.append(carry)
                 if n > 0:
                     mean = end + math.exp(-rate * n) * carry
-            chunks[f"carry{i}"] = pd.array(carries, dtype="Float64")
-        return chunks[[*keys, CHUNK, "seen", *[f"carry{i}" for i in range(len(rates))]]]
+            chunks[f"carry{i}"] = pd.Series(carries, index=chunks.index, dtype=object)
+        return chunks[[*keys, CHUNK, "seen", "before", *[f"carry{i}" for i in range(len(rates))]]]
 
     fields = [df.schema[k] for k in (*keys, CHUNK)]
-    fields += [T.StructField("seen", T.BooleanType())] + [T.StructField(f"carry{i}", T.DoubleType()) for i in range(len(outs))]
+    fields += [T.StructField("seen", T.BooleanType()), T.StructField("before", T.LongType())]
+    fields += [T.StructField(f"carry{i}", T.DoubleType()) for i in range(len(outs))]
     found = ends.groupBy(*keys).applyInPandas(scan, T.StructType(fields))
     renamed = found.selectExpr(
-        *[f"`{k}` AS `_j_{k}`" for k in (*keys, CHUNK)], "seen AS _scan_seen", *[f"carry{i} AS `_c_{out}`" for i, out in enumerate(outs)]
+        *[f"`{k}` AS `_j_{k}`" for k in (*keys, CHUNK)],
+        "seen AS _scan_seen",
+        "before AS _scan_before",
+        *[f"carry{i} AS `_c_{out}`" for i, out in enumerate(outs)],
     )
     same = " AND ".join(f"`{k}` <=> `_j_{k}`" for k in (*keys, CHUNK))
     return df.join(F.broadcast(renamed), F.expr(same), "left").drop(*[f"_j_{k}" for k in (*keys, CHUNK)])

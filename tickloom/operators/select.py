@@ -13,9 +13,9 @@ from tickloom.operators.series import as_keys
 from tickloom.schema import ACCOUNT_FIELDS, ACCOUNT_KEYS, FIELD_NAMES
 
 
-# Spark's default bound on ranks that it filters before a shuffle; parts of a key beyond it.
-GROUP_LIMIT = 1000
-SHARES = 64
+# Spark's bound on ranks that it filters before a shuffle; slices of a key's time beyond it.
+GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
+SLICES = 1024
 
 
 def market_session(
@@ -108,21 +108,36 @@ def last_rows(
     """The last n rows in time order, over all rows or per key.
 
     Per key the rank filter also runs before the shuffle, so each task sends n rows per key; Spark
-    does that up to GROUP_LIMIT. For larger n a key is first ranked in SHARES parts, by a hash of
-    the order, of which each keeps n rows.
+    does that up to a setting. For larger n, rows are first counted in slices of each key's time: newer
+    slices are kept as they are, and only the slice in which the n-th last row lies is ranked.
     """
     newest_first = [F.col(c).desc() for c in order]
     if keys is None:
         return df.orderBy(*newest_first).limit(n).orderBy(*order)
     keys = as_keys(keys)
-    if n > GROUP_LIMIT:
-        part = Window.partitionBy(*keys, "_part").orderBy(*newest_first)
-        df = df.withColumn("_part", F.pmod(F.xxhash64(*order), F.lit(SHARES)))
-        df = df.withColumn("_rank", F.row_number().over(part)).where(F.col("_rank") <= n).drop("_part", "_rank")
+    if n > int(df.sparkSession.conf.get(GROUP_LIMIT)):
+        return _last_of_slices(df, n, keys, order)
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*newest_first))
     return df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
 
 
+def _last_of_slices(df: DataFrame, n: int, keys: list[str], order: Sequence[str]) -> DataFrame:
+    """The rows without a time, which sort first, are slice -1."""
+    at = F.unix_micros(F.col(order[0]).cast("timestamp"))
+    spans = df.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.min(at).alias("_lo"), F.max(at).alias("_hi"))
+    own = " AND ".join(f"`{k}` <=> `_k_{k}`" for k in keys)
+    slice_of = F.coalesce(F.floor((at - F.col("_lo")).cast("double") * SLICES / (F.col("_hi") - F.col("_lo") + 1)).cast("int"), F.lit(-1))
+    sliced = df.join(spans, F.expr(own), "left").withColumn("_slice", slice_of).drop("_lo", "_hi", *[f"_k_{k}" for k in keys])
+    counts = sliced.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_slice").alias("_s")).agg(F.count(F.lit(1)).alias("_n"))
+    newer = Window.partitionBy(*[f"_k_{k}" for k in keys]).orderBy(F.desc("_s")).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = counts.withColumn("_rest", n - F.coalesce(F.sum("_n").over(newer), F.lit(0))).where("_rest > 0")
+    kept = sliced.join(wanted, F.expr(f"{own} AND _slice = _s")).drop("_slice", "_s", *[f"_k_{k}" for k in keys])
+    whole = kept.where("_n <= _rest").drop("_n", "_rest")
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order]))
+    cut = kept.where("_n > _rest").withColumn("_rank", rank).where("_rank <= _rest").drop("_n", "_rest", "_rank")
+    return whole.unionByName(cut)
+
+
 def first_rows(df: DataFrame, n: int = 5, order: Sequence[str] = ("ts", "seq")) -> DataFrame:
     """The first n rows in time order."""
     return df.orderBy(*order).limit(n)

@@ -72,13 +72,14 @@ def cut_series(
     look_back: int = 0,
     totals: Mapping[str, Column] | None = None,
     split: Split = DEFAULT_SPLIT,
+    at_most: int | None = None,
 ) -> tuple[DataFrame, Frame]:
     """Add `_chunk` and `_halo` (true for copied rows) to every row; also gives the window's frame.
 
     `order[0]` is a timestamp; the rest of `order` breaks ties and must make it total.
     For each entry of `totals` the column of that name holds the sum of the expression
     over all rows of the symbol before the row's chunk (null where none has a value).
-    Runs the counting jobs at once, to see whether anything must be cut.
+    Runs the counting jobs at once, to see whether anything must be cut, unless `at_most` rows are few.
     """
     keys = as_keys(keys)
     totals = dict(totals or {})
@@ -88,8 +89,10 @@ def cut_series(
 
     kinds = {t: per_sum.dataType for t, per_sum in zip(totals, lean.agg(*[F.sum(t).alias(t) for t in totals]).schema)} if totals else {}
     per_key = lean.groupBy(*keys).agg(F.expr("count(1) AS _n"), F.expr("min(_at) AS _lo"), F.expr("max(_at) AS _hi"))
-    per_key = store(per_key, "series_keys")
     rows = max(split.rows, look_back + 1)
+    if at_most is not None and at_most <= rows:
+        return _uncut(df, keys, order, kinds)
+    per_key = store(per_key, "series_keys")
     limit = per_key.selectExpr(f"greatest({rows}, CAST(ceil(sum(_n) / {split.max_chunks}) AS BIGINT))").first()[0]
     large = (
         per_key.withColumn("_limit", F.lit(limit).cast("bigint"))
@@ -99,9 +102,7 @@ def cut_series(
         )
     )
     if large.isEmpty():
-        nothing = [F.lit(None).cast(kind).alias(t) for t, kind in kinds.items()]
-        whole = df.select("*", *nothing, F.lit(0).cast("bigint").alias(CHUNK), F.lit(False).alias(HALO))
-        return whole, Frame(tuple(keys), tuple(order), False)
+        return _uncut(df, keys, order, kinds)
 
     of_large = lean.join(F.broadcast(large), F.expr(_same(keys, "_l_"))).selectExpr("*", f"{_SLICE} AS _slice")
     slices = store(_count_slices(of_large, keys, list(totals)), "series_slices")
@@ -131,6 +132,12 @@ def cut_series(
     return cut, Frame(tuple(keys), tuple(order), True)
 
 
+def _uncut(df: DataFrame, keys: list[str], order: Sequence[str], kinds: Mapping[str, T.DataType]) -> tuple[DataFrame, Frame]:
+    nothing = [F.lit(None).cast(kind).alias(t) for t, kind in kinds.items()]
+    whole = df.select("*", *nothing, F.lit(0).cast("bigint").alias(CHUNK), F.lit(False).alias(HALO))
+    return whole, Frame(tuple(keys), tuple(order), False)
+
+
 def _tie_breaker(df: DataFrame, order: Sequence[str]) -> str:
     """The second order column as an integer that grows with it, so that it can be cut into steps.
 
@@ -244,7 +251,7 @@ class Frame:
 
     @property
     def partition(self) -> str:
-        return ", ".join(f"`{c}`" for c in (*self.keys, CHUNK))
+        return ", ".join(f"`{c}`" for c in (*self.keys, *([CHUNK] if self.cut else [])))
 
     @property
     def ordering(self) -> str:

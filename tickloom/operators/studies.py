@@ -7,15 +7,15 @@ the studies before it. Rows are ordered by (ts, seq).
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import direction
 from tickloom.operators.select import last_rows
-from tickloom.operators.scan import horizon, smooth
+from tickloom.operators.scan import finite, smooth
 from tickloom.operators.series import DEFAULT_SPLIT, Frame, Split, cut_series, drop_halo
 
 
@@ -23,13 +23,13 @@ from tickloom.operators.series import DEFAULT_SPLIT, Frame, Split, cut_series, d
 class Study:
     """`add(df, frame)` gets the window's frame, whose text is `PARTITION BY ... ORDER BY ...`.
 
-    `look_back` counts the earlier rows that windows reach. A study that scans all earlier rows says
-    in `horizon` how many of them weigh anything in a double.
+    `look_back` counts the earlier rows that windows reach. A study that scans all earlier rows names in
+    `seeds` the values, with their types, from which a stream goes on after a row (see `scan.smooth`).
     """
 
     look_back: int
     add: Callable[[DataFrame, Frame], DataFrame]
-    horizon: int = 0
+    seeds: Mapping[str, str] = field(default_factory=dict)
 
 
 def with_studies(
@@ -38,20 +38,22 @@ def with_studies(
     keys: str | Sequence[str] = "symbol",
     order: Sequence[str] = ("ts", "seq"),
     split: Split = DEFAULT_SPLIT,
+    at_most: int | None = None,
 ) -> DataFrame:
     """All studies in one pass over the ordered series of each symbol.
 
     A scan of a cut symbol drops the copied rows; if a later study needs some, the series is cut anew.
+    `at_most` rows are known to be there: so few that nothing is cut need no counting.
     """
     rest = [s.look_back for s in studies]
-    out, frame = cut_series(df, keys, order, sum(rest), split=split)
+    out, frame = cut_series(df, keys, order, sum(rest), split=split, at_most=at_most)
     scanned = False
     for i, study in enumerate(studies):
         if scanned and frame.cut and study.look_back:
             out, frame = cut_series(drop_halo(out), keys, order, sum(rest[i:]), split=split)
             scanned = False
         out = study.add(out, frame)
-        scanned = scanned or bool(study.horizon)
+        scanned = scanned or bool(study.seeds)
     return drop_halo(out)
 
 
@@ -128,32 +130,33 @@ def volume_direction(
 def rsi(price: str = "close", n: int = 14, out: str = "rsi", wilder: bool = False) -> Study:
     """Relative strength over n changes; null until n changes exist or when nothing moved.
 
-    Means are simple; with `wilder` they are exponential with weight 1/n, from the first change.
+    Means are simple; with `wilder` they are exponential with weight 1/n, from the first change. A price
+    that is null or not finite gives no change, to it or from it.
     """
+    gain, loss, count = (f"_{name}_{out}" for name in ("gain", "loss", "count"))
 
     def add(df: DataFrame, w: Frame) -> DataFrame:
-        moves = _plus(df, _d=f"`{price}` - lag(`{price}`) OVER ({w})")
+        moves = _plus(df, _p=finite(price))
+        moves = _plus(moves, _d=f"_p - lag(_p) OVER ({w})")
         moves = _plus(moves, _up="if(_d > 0, _d, _d * 0)", _down="if(_d < 0, -_d, _d * 0)")
-        frame = f"OVER ({w} {_last(n)})"
         if wilder:
-            counted = _plus(moves, _m=f"count(_d) {frame}")
-            means = smooth(counted, w, {"_g": ("_up", 1 / n), "_l": ("_down", 1 / n)})
+            means = smooth(moves, w, {gain: ("_up", 1 / n), loss: ("_down", 1 / n)}, count)
         else:
-            means = _plus(moves, _g=f"avg(_up) {frame}", _l=f"avg(_down) {frame}", _m=f"count(_d) {frame}")
-        strength = f"""CASE WHEN _m < {n} THEN NULL WHEN _l > 0 THEN 100 - 100 / (1 + _g / _l)
-            WHEN _g > 0 THEN 100D END"""
-        return _plus(means, **{out: strength}).drop("_d", "_up", "_down", "_g", "_l", "_m")
+            frame = f"OVER ({w} {_last(n)})"
+            means = _plus(moves, **{gain: f"avg(_up) {frame}", loss: f"avg(_down) {frame}", count: f"count(_d) {frame}"})
+        strength = f"""CASE WHEN `{count}` < {n} THEN NULL WHEN `{loss}` > 0 THEN 100 - 100 / (1 + `{gain}` / `{loss}`)
+            WHEN `{gain}` > 0 THEN 100D END"""
+        return _plus(means, **{out: strength}).drop("_p", "_d", "_up", "_down", gain, loss, count)
 
-    return Study(n, add, horizon(1 / n) if wilder else 0)
+    return Study(1, add, {gain: "double", loss: "double", count: "bigint"}) if wilder else Study(n, add)
 
 
 def ema(price: str = "close", n: int = 12, out: str = "ema") -> Study:
     """Exponential moving average with alpha = 2 / (n + 1), started at the first price.
 
-    A null price leaves it as it was.
+    A price that is null or not finite leaves it as it was.
     """
-    alpha = 2 / (n + 1)
-    return Study(0, lambda df, w: smooth(df, w, {out: (price, alpha)}), max(1, horizon(alpha)))
+    return Study(0, lambda df, w: smooth(df, w, {out: (price, 2 / (n + 1))}), {out: "double"})
 
 
 def macd(price: str = "close", fast: int = 12, slow: int = 26, signal: int = 9) -> Study:
@@ -166,7 +169,7 @@ def macd(price: str = "close", fast: int = 12, slow: int = 26, signal: int = 9)
         line = smooth(line, w, {"macd_signal": ("macd", a_signal)})
         return _plus(line, macd_hist="macd - macd_signal")
 
-    return Study(0, add, max(horizon(a_fast), horizon(a_slow)) + horizon(a_signal))
+    return Study(0, add, {"_fast": "double", "_slow": "double", "macd_signal": "double"})
 
 
 def sma_trend(df: DataFrame, price: str = "close", n: int = 3, **options) -> DataFrame:
@@ -191,11 +194,12 @@ def indicators(
 ) -> DataFrame:
     """Studies over the rows that have a price; by default RSI, MACD and volume direction.
 
-    With `tail` each symbol is first cut to its last rows, so early values of the tail are null.
+    NaN and infinity are no prices (`profile.not_finite` counts them). With `tail` each symbol is first cut
+    to its last rows, so early values of the tail are null.
     """
     if studies is None:
         studies = [rsi(price), macd(price), volume_direction(price)]
-    df = df.where(F.col(price).isNotNull())
+    df = df.where(F.col(price).isNotNull() & F.expr(finite(price)).isNotNull())
     if tail is not None:
         df = last_rows(df, tail, keys, order)
     return with_studies(df, studies, keys, order, split)
@@ -208,10 +212,11 @@ def cumulative_sum(
     keys: str | Sequence[str] = "symbol",
     order: Sequence[str] = ("ts", "seq"),
     split: Split = DEFAULT_SPLIT,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Running sum per symbol; null until the first value. Use a DECIMAL value where the sum must not
     depend on grouping. The type is that of the value's sum, whether symbols are cut or not."""
-    carried, frame = cut_series(df, keys, order, totals={"_carry": value}, split=split)
+    carried, frame = cut_series(df, keys, order, totals={"_carry": value}, split=split, at_most=at_most)
     running = f"sum(_value) OVER ({frame} ROWS UNBOUNDED PRECEDING)"
     summed = _plus(carried.withColumn("_value", value), _running=running)
     kind = summed.schema["_running"].dataType.simpleString()

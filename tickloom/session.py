@@ -5,7 +5,10 @@ from __future__ import annotations
 import atexit
 import os
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,10 +60,29 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = _local_root()
     path = os.path.join(root, f"{label}-{uuid.uuid4().hex}")
-    _made.append((spark, path))
+    (_scopes.open[-1] if getattr(_scopes, "open", None) else _made).append((spark, path))
     return path
 
 
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Deletes the scratch folders that this thread makes inside when it ends, also after a failure.
+
+    For work that is repeated without end, such as the micro-batches of a stream. What reads such a
+    folder has to be done by then. Scopes nest.
+    """
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    made: list[tuple[SparkSession, str]] = []
+    _scopes.open.append(made)
+    try:
+        yield
+    finally:
+        _scopes.open.pop()
+        for spark, path in made:
+            delete_folder(spark, path)
+
+
 def store(df: DataFrame, label: str) -> DataFrame:
     """`df` written to a scratch folder and read back, so that it is computed once."""
     path = scratch_dir(df.sparkSession, label)
@@ -68,7 +90,15 @@ def store(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder with what is in it, on whatever file system it lies; a missing one is no error."""
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 _made: list[tuple[SparkSession, str]] = []
+_scopes = threading.local()
 
 
 @atexit.register
@@ -76,9 +106,7 @@ def _remove_scratch() -> None:
     """Delete the scratch folders of sessions that still run when the program ends."""
     for spark, path in _made:
         try:
-            context = spark.sparkContext
-            if context._jsc is not None and not context._jsc.sc().isStopped():
-                folder = context._jvm.org.apache.hadoop.fs.Path(path)
-                folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+            if spark.sparkContext._jsc is not None and not spark.sparkContext._jsc.sc().isStopped():
+                delete_folder(spark, path)
         except Exception:  # the driver's Java process may be gone already
             return

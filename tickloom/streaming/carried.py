@@ -8,12 +8,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tickloom.operators.scan import OLD, SEED
 from tickloom.operators.select import last_rows
 from tickloom.operators.series import DEFAULT_SPLIT, Split, as_keys
 from tickloom.operators.studies import Study, with_studies
-from tickloom.session import scratch_dir
+from tickloom.session import scratch_dir, scratch_scope
 from tickloom.sinks.tables import write_parquet
 from tickloom.streaming.run import require_batches, start_batches
+from tickloom.streaming.state import NEW, TURN, StateLog, in_turn, of_keys
+
+SEED_TYPES = {"double": T.DoubleType(), "bigint": T.LongType()}
 
 
 def carry_studies(
@@ -27,44 +31,50 @@ def carry_studies(
 ) -> Callable[[DataFrame, int], None]:
     """For `foreachBatch` (with `skip_empty=False`): studies over a batch and the rows before it.
 
-    The tail of a symbol, the last rows that the studies reach, lies in the shared folder `tail_path`.
-    A batch writes a folder of its own with the tails of the symbols it has; every `full_every`
-    batches all tails are written, so that a reader needs no older folder. A repeated batch reads the
-    same folders as the first time and replaces its own. Symbols are cut as in the batch form, so a
-    busy symbol is not one task's work. Rows that come late are studied among the tail's rows by their
-    time; results that were written before are not revised.
-    """
-    look_back = sum(s.look_back + s.horizon for s in studies)
-    names = as_keys(keys)
-
-    def of_symbols(rows: DataFrame, symbols: DataFrame, how: str) -> DataFrame:
-        other = symbols.select(*[F.col(k).alias(f"_k_{k}") for k in names]).distinct()
-        return rows.join(other, F.expr(" AND ".join(f"`{k}` <=> `_k_{k}`" for k in names)), how)
+    What a symbol carries lies in the shared folder `tail_path` (see `StateLog`): the last rows that the
+    windows of the studies reach, and of exponential studies one row with the means after it, however many
+    rows they have seen. Symbols are cut as in the batch form, so a busy symbol is not one task's work; a
+    batch with too few rows to cut is not counted again. Scratch data of a batch is deleted with it.
 
-    def tails(batch: DataFrame, batch_id: int) -> DataFrame:
-        """The newest tail of every symbol before this batch."""
-        first = (batch_id - 1) // full_every * full_every
-        folders = [f"{tail_path}/{i}" for i in range(first, batch_id)]
-        schema = T.StructType([*batch.schema.fields, T.StructField("_batch", T.LongType())])
-        known = batch.sparkSession.read.schema(schema).parquet(*folders)
-        newest = F.max("_batch").over(Window.partitionBy(*names))
-        return known.withColumn("_newest", newest).where("_batch = _newest").drop("_batch", "_newest")
+    Rows that come late are studied among the carried rows by their time, or after them if a study is
+    exponential; results that were written before are not revised (see `streaming.revised` for that).
+    """
+    names, order = as_keys(keys), list(order)
+    seeds = {f"{SEED}{name}": kind for study in studies for name, kind in study.seeds.items()}
+    carried = max(sum(study.look_back for study in studies), 1 if seeds else 0)
+    log = StateLog(tail_path, names, full_every)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("_new", F.lit(True))
-        if batch_id > 0:
-            before = of_symbols(tails(batch, batch_id), batch, "left_semi")
-            rows = rows.unionByName(before.withColumn("_new", F.lit(False)))
-        # Counted, studied and cut to the tail: read the batch from its source once.
+        plain = [f"`{c}`" for c in batch.columns]
+        kept = T.StructType([*batch.schema.fields, *[T.StructField(c, SEED_TYPES[kind]) for c, kind in seeds.items()]])
+        rows = batch.withColumns({OLD: F.lit(False), **{c: F.lit(None).cast(kind) for c, kind in seeds.items()}})
+        before = log.before(batch.sparkSession, kept, batch_id)
+        if before is not None:
+            rows = rows.unionByName(of_keys(before, batch, names, "left_semi").withColumn(OLD, F.lit(True)))
+        # Counted and studied, then written and cut to the tail: each is computed once.
         rows.persist()
+        studied = None
         try:
-            write(with_studies(rows, studies, keys, order, split).where("_new").drop("_new"), batch_id)
-            tail = last_rows(rows.drop("_new"), look_back, keys, order)
-            if batch_id > 0 and batch_id % full_every == 0:
-                tail = tail.unionByName(of_symbols(tails(batch, batch_id), batch, "left_anti"))
-            tail.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(f"{tail_path}/{batch_id}")
+            with scratch_scope():
+                most = rows.count()
+                turn = order
+                if seeds:
+                    rows_in_turn, turn = in_turn(rows, names, order[0], most <= split.rows), [TURN, NEW, *order]
+                else:
+                    rows_in_turn = rows
+                studied = with_studies(rows_in_turn, studies, keys, turn, split, most).persist()
+                write(studied.where(~F.col(OLD)).drop(OLD, NEW, TURN, *seeds), batch_id)
+                if not carried:
+                    return
+                tail = last_rows(studied, carried, keys, turn)
+                if seeds and carried > 1:
+                    place = F.row_number().over(Window.partitionBy(*names).orderBy(*[F.col(c).desc() for c in turn]))
+                    tail = tail.withColumn("_place", place).withColumns({c: F.when(F.col("_place") == 1, F.col(c)) for c in seeds})
+                log.write(tail.selectExpr(*plain, *[f"`{c}`" for c in seeds]), batch_id)
         finally:
-            rows.unpersist()
+            for held in (studied, rows):
+                if held is not None:
+                    held.unpersist()
 
     return handle
 
