@@ -164,7 +164,7 @@ def test_append_adds_only_what_is_missing(spark, tmp_path):
     """A batch that failed half way is completed; a batch that was whole adds nothing."""
     table = str(tmp_path / "table")
     bars = bars_of(spark)
-    partial = bars.where("symbol = 'click'").withColumn("batch_id", F.lit(0).cast("bigint"))
+    partial = bars.where("symbol = 'click'").withColumns({"row_no": F.lit(1), "batch_id": F.lit(0).cast("bigint")})
     partial.write.parquet(table)
     # Rows of other batches with the same keys do not count as present.
     partial.withColumn("batch_id", F.lit(7).cast("bigint")).write.mode("append").parquet(table)
@@ -248,22 +248,28 @@ def test_carried_studies_equal_batch(spark, ticks, tmp_path, parts):
     assert answers(spark.read.parquet(out), *rounded) == answers(T.with_studies(rows, STUDIES), *rounded)
 
 
-def test_append_needs_unique_keys_and_matches_nulls(spark, tmp_path):
+def test_append_keeps_rows_of_equal_keys_and_matches_nulls(spark, tmp_path):
+    """Two ticks of one symbol and time are two rows, also when a batch that failed half way is repeated."""
     table = str(tmp_path / "table")
-    rows = spark.createDataFrame([("A", None, 1.0), ("A", 1, 2.0), (None, None, 3.0)], "symbol string, seq long, price double")
-    empty = rows.limit(0).withColumn("batch_id", F.lit(0).cast("bigint"))
-    empty.write.parquet(table)
+    schema = "symbol string, seq long, price double"
+    rows = spark.createDataFrame([("A", None, 1.0), ("A", 1, 2.0), (None, None, 3.0), ("A", 1, 2.0), ("A", 1, 5.0), ("A", 1, None)], schema)
+    kept = []
 
     def read_batch(batch, batch_id):
-        return batch.sparkSession.read.parquet(table).where(F.col("batch_id") == batch_id)
+        return spark.read.parquet(table).where(F.col("batch_id") == batch_id)
+
+    def append(df):
+        kept.append(df.count())
+        df.write.mode("append").parquet(table)
 
-    write = append_missing(read_batch, lambda df: df.write.mode("append").parquet(table), ["symbol", "seq"])
-    write(rows.limit(2), 0)
+    rows.limit(0).withColumns({"row_no": F.lit(1), "batch_id": F.lit(0).cast("bigint")}).write.parquet(table)
+    write = append_missing(read_batch, lambda df: append(df.where("price = 2.0 or symbol is null")), ["symbol", "seq"])
+    write(rows, 0)  # some tasks were done before the batch failed
+    write = append_missing(read_batch, append, ["symbol", "seq"])
     for _ in range(2):
         write(rows, 0)
-    assert answers(spark.read.parquet(table), "price") == [(1.0,), (2.0,), (3.0,)]
-    with pytest.raises(ValueError):
-        write(rows.unionByName(rows.limit(1)), 1)
+    assert kept == [3, 3, 0]
+    assert sorted(r["price"] or 0.0 for r in spark.read.parquet(table).collect()) == [0.0, 1.0, 2.0, 2.0, 3.0, 5.0]
 
 
 def test_all_batches_are_counted(spark, ticks, tmp_path):
@@ -313,5 +319,12 @@ def test_tick_stream_of_more_files_with_null_ids(spark, monkeypatch, tmp_path):
         "event_id", "timestamp_ntz'2024-01-01 00:00:00' AS ts", "1L AS user_id", "event_type", "value", "props"
     ).write.parquet(f"{tmp_path}/events.parquet")
     monkeypatch.setattr(A, "FILE_ROWS", 50)
-    out = collect_stream(spark, A.tick_stream(spark, str(tmp_path)).select("seq", "price"), "many_files", least_batches=6)
-    assert sorted(r["price"] for r in out.collect()) == [float(k) for k in range(1, 301)]
+    seen = []
+
+    def receive(batch, batch_id):
+        seen.append(sorted((r["seq"] or 0, r["price"]) for r in batch.collect()))
+
+    stream = A.tick_stream(spark, str(tmp_path)).select("seq", "price")
+    start_batches(stream, receive, str(tmp_path / "cp"), trigger={"availableNow": True}).awaitTermination()
+    assert len(seen) >= 6 and sorted(p for part in seen for _, p in part) == [float(k) for k in range(1, 301)]
+    assert all(a[-1][0] <= b[0][0] for a, b in zip(seen, seen[1:]))

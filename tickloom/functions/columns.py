@@ -56,7 +56,7 @@ def _day_micros(hms: str) -> int:
 
 
 def number_text(value: Column) -> Column:
-    """A double as plain decimal text with at least one decimal; NaN and null give null.
+    """A double as plain decimal text with at least one decimal; NaN, infinity and null give null.
 
     A plain cast writes 1e7 as `1.0E7`; values out of the decimal range keep that form.
     """
@@ -65,7 +65,7 @@ def number_text(value: Column) -> Column:
     small = F.regexp_replace(value.try_cast("decimal(38,34)").cast("string"), r"(\.\d+?)0+$", "$1")
     magnitude = F.abs(value)
     return (
-        F.when(F.isnan(value), F.lit(None))
+        F.when(F.isnan(value) | (magnitude == float("inf")), F.lit(None))
         .when((magnitude >= 1e-3) & (magnitude < 1e7) | (magnitude == 0), value.cast("string"))
         .when(magnitude >= 1e7, F.coalesce(big, value.cast("string")))
         .when(magnitude >= 1e-16, small)
@@ -85,12 +85,13 @@ def _escaped(name: str, signs: str) -> str:
 def line_protocol(
     measurement: str, tags: Mapping[str, Column], fields: Mapping[str, Column], ts: Column
 ) -> Column:
-    """`m[,tag=v…] field=v[,…] epoch_ms`; null tags and fields are left out.
+    """`m[,tag=v…] field=v[,…] epoch_ms`; null and empty tags are left out, and fields that are null or not finite.
 
     Null when no field has a value or there is no time, as such a point cannot be written. Names
     and tag values are escaped so that option symbols stay one tag.
     """
-    tag_text = F.concat_ws(",", *[F.concat(F.lit(f"{_escaped(k, ' ,=')}="), _escape(v.cast("string"))) for k, v in tags.items()])
+    texts = {k: _escape(v.cast("string")) for k, v in tags.items()}
+    tag_text = F.concat_ws(",", *[F.when(v != "", F.concat(F.lit(f"{_escaped(k, ' ,=')}="), v)) for k, v in texts.items()])
     field_text = F.concat_ws(",", *[F.concat(F.lit(f"{_escaped(k, ' ,=')}="), number_text(v)) for k, v in fields.items()])
     head = F.concat(F.lit(_escaped(measurement, " ,")), F.when(tag_text != "", F.concat(F.lit(","), tag_text)).otherwise(""))
     return F.when(

@@ -75,26 +75,45 @@ def bursts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks(spark, sf_dir).select(price.alias("price"), "volume")
 
 
+def odd_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks whose price is at times infinite or no number."""
+    k = F.col("volume").cast("bigint")
+    close = F.when(k % 30 == 0, float("inf")).when(k % 30 == 1, float("-inf")).when(k % 15 == 2, float("nan")).otherwise(F.col("close"))
+    return ticks(spark, sf_dir).withColumn("close", close)
+
+
 # Files of a stream, at least, and the rows of each, about: more rows give more files.
 STREAM_FILES, FILE_ROWS = 4, 1_000_000
 
 
-def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks as a file stream of STREAM_FILES or more micro-batches, the oldest ticks first.
+def file_stream(spark: SparkSession, rows: DataFrame, *order: str, files: int | None = None) -> DataFrame:
+    """Rows as a file stream of STREAM_FILES or more micro-batches, in this order.
 
-    Each file is one task's and one micro-batch's work, so their number grows with the rows. Ticks
-    without an id are in the first file.
+    Each file is one task's and one micro-batch's work, so their number grows with the rows. The rows
+    are read once to be counted and once to be written, by ranges; a stream takes files by age, so they
+    get times in order.
     """
-    path = scratch_dir(spark, "tick_files")
-    rows = ticks(spark, sf_dir)
-    lo, hi, count = rows.agg(F.min("seq"), F.max("seq"), F.count(F.lit(1))).first()
-    files = max(STREAM_FILES, -(-count // FILE_ROWS))
-    step = ((hi or 0) - (lo or 0)) // files + 1
-    for i in range(files):  # one after the other, as a stream takes files by age
-        own = F.col("seq").between((lo or 0) + i * step, (lo or 0) + (i + 1) * step - 1)
-        part = rows.where(own if i else own | F.col("seq").isNull())
-        part.coalesce(1).write.parquet(f"{path}/{i}")
-    return stream_parquet(spark, f"{path}/*", rows.schema)
+    path = scratch_dir(spark, "stream_files")
+    files = files or max(STREAM_FILES, -(-rows.count() // FILE_ROWS))
+    rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.parquet(path)
+    context = spark.sparkContext
+    folder = context._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(context._jsc.hadoopConfiguration())
+    parts = sorted(str(f.getPath()) for f in system.listStatus(folder) if f.getPath().getName().startswith("part-"))
+    for i, part in enumerate(parts):
+        system.setTimes(context._jvm.org.apache.hadoop.fs.Path(part), 1_700_000_000_000 + 1000 * i, -1)
+    return stream_parquet(spark, path, rows.schema)
+
+
+def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks as a file stream, the oldest first; those without an id are in the first file."""
+    return file_stream(spark, ticks(spark, sf_dir), "seq")
+
+
+def late_tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks as a file stream in which many come late: files follow a hash of the id, and so in no order of time."""
+    shuffled = ticks(spark, sf_dir).withColumn("turn", F.xxhash64("seq"))
+    return file_stream(spark, shuffled, "turn").drop("turn")
 
 
 def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,6 +193,7 @@ def command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.col("event_type")
     return with_k(events(spark, sf_dir)).select(
         F.col("event_id").alias("seq"),
+        "ts",
         (F.col("user_id") % 50).cast("string").alias("service"),
         F.when(kind == "signup", "SUBS").when(kind == "error", "UNSUBS").when(kind == "purchase", "VIEW")
         .otherwise("ADD").alias("command"),
@@ -187,6 +207,7 @@ def feed_command_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("k")
     return with_k(events(spark, sf_dir)).select(
         F.col("event_id").alias("seq"),
+        "ts",
         _service(F.col("user_id")).alias("service"),
         F.when(k < 50, "ADD").when(k < 52, "SUBS").when(k < 90, "UNSUBS").otherwise("VIEW").alias("command"),
         F.col("event_type").alias("keys"),

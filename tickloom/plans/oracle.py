@@ -404,7 +404,7 @@ _BAR_CSV = f"WITH {_BARS} SELECT symbol, date, open, high, low, close, volume FR
 
 _LINES_REJECTED = f"""WITH {_BARS}
 SELECT CASE WHEN hour(date) = 7 THEN 'no_time' ELSE 'no_value' END AS reject_reason, count(*) AS n
-FROM bars WHERE hour(date) IN (5, 7) GROUP BY 1"""
+FROM bars WHERE hour(date) IN (5, 7, 9) GROUP BY 1"""
 
 _POINTS_TAGGED = f"""WITH {_BARS}
 SELECT 'bars,stock=' || symbol || ',venue=v\\ ' || symbol || ' close=' || close || ' ' || epoch_ms(date) AS line FROM bars
@@ -433,6 +433,99 @@ SELECT symbol, max(ts) AS ts, max(seq) AS seq, arg_max(price, seq) FILTER (price
 FROM ticks GROUP BY 1"""
 
 
+_ODD = f"""{_EVENTS}, ticks AS (
+  SELECT event_type AS symbol, ts, event_id AS seq,
+         CASE WHEN k % 30 > 1 AND k % 15 <> 2 THEN value END AS close FROM events_k)"""
+
+_EMA_NONFINITE = f"""WITH RECURSIVE {_ODD}, numbered AS (
+  SELECT symbol, ts, seq, close, row_number() OVER (PARTITION BY symbol ORDER BY ts, seq) AS rn FROM ticks),
+smoothed AS (
+  SELECT symbol, rn, close AS ema FROM numbered WHERE rn = 1
+  UNION ALL
+  SELECT n.symbol, n.rn, CASE WHEN n.close IS NULL THEN s.ema WHEN s.ema IS NULL THEN n.close
+         ELSE CAST(2 AS DOUBLE) / 13 * n.close + CAST(11 AS DOUBLE) / 13 * s.ema END
+  FROM smoothed s JOIN numbered n ON n.symbol = s.symbol AND n.rn = s.rn + 1)
+SELECT symbol, ts, seq, round(ema, 6) AS ema FROM numbered JOIN smoothed USING (symbol, rn)"""
+
+
+def _rsi_wilder_ticks(ticks: str) -> str:
+    return f"""WITH RECURSIVE {ticks}, moved AS (
+  SELECT symbol, ts, seq, close, row_number() OVER w AS rn, close - lag(close) OVER w AS d
+  FROM ticks WHERE close IS NOT NULL WINDOW w AS (PARTITION BY symbol ORDER BY ts, seq)),
+smoothed AS (
+  SELECT symbol, rn, greatest(d, 0.0) AS g, greatest(-d, 0.0) AS l FROM moved WHERE rn = 2
+  UNION ALL
+  SELECT m.symbol, m.rn, greatest(m.d, 0.0) / 14 + s.g * 13 / 14, greatest(-m.d, 0.0) / 14 + s.l * 13 / 14
+  FROM smoothed s JOIN moved m ON m.symbol = s.symbol AND m.rn = s.rn + 1)
+SELECT m.symbol, m.ts, m.seq, m.close, round(CASE WHEN m.rn < 15 THEN NULL WHEN l > 0 THEN 100 - 100 / (1 + g / l)
+       WHEN g > 0 THEN 100.0 END, 6) AS rsi
+FROM moved m LEFT JOIN smoothed s ON s.symbol = m.symbol AND s.rn = m.rn"""
+
+
+def _sliding(where: str = "") -> str:
+    return f"""WITH {_TICKS}, placed AS (
+  SELECT t.*, time_bucket(INTERVAL 10 MINUTE, ts) - to_minutes(10 * i) AS date FROM ticks t, range(6) AS r(i)),
+closes AS (SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE AS mark FROM ticks)
+SELECT symbol, date, arg_min(price, seq) AS open, max(price) AS high, min(price) AS low, arg_max(price, seq) AS close,
+       sum(volume) AS volume, count(*) AS trades
+FROM placed {where} GROUP BY symbol, date"""
+
+
+def _sessions(where: str = "") -> str:
+    return f"""WITH {_TICKS}, started AS (
+  SELECT *, coalesce(ts - lag(ts) OVER w >= INTERVAL 30 MINUTE, true) AS s FROM ticks
+  WINDOW w AS (PARTITION BY symbol ORDER BY ts, seq)),
+numbered AS (SELECT *, count(*) FILTER (s) OVER (PARTITION BY symbol ORDER BY ts, seq) AS n FROM started),
+found AS (
+  SELECT symbol, min(ts) AS session_start, max(ts) AS session_end, count(*) AS ticks, arg_min(price, seq) AS open,
+         arg_max(price, seq) AS close, sum(volume) AS volume FROM numbered GROUP BY symbol, n)
+SELECT * FROM found {where}"""
+
+
+_WATERMARK = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 10 MINUTE FROM ticks)"
+
+_CLOSED_BARS = f"""{_BARS.replace("bars AS", "every_bar AS")}, bars AS (
+  SELECT * FROM every_bar WHERE date + INTERVAL 1 HOUR <= {_WATERMARK})"""
+
+_FEED_SPLIT = f"""WITH {_FAULTS}, units AS (
+  SELECT reason, symbol FROM items
+  UNION ALL SELECT CASE WHEN nonsense THEN 'malformed' ELSE 'empty' END, NULL FROM sent WHERE nonsense OR nothing),
+counted AS (
+  SELECT coalesce(reason, 'accepted') AS outcome, CASE WHEN reason IS NULL THEN symbol END AS symbol, count(*) AS n
+  FROM units GROUP BY ALL)
+SELECT *, CAST(sum(n) FILTER (outcome = 'accepted') OVER () AS BIGINT) AS all_accepted,
+       CAST(sum(n) FILTER (outcome <> 'accepted') OVER () AS BIGINT) AS all_rejected FROM counted"""
+
+# Each item replays the commands of its service up to its own time.
+_AS_OF = f"""WITH {_EVENTS}, commands AS ({_FEED_COMMANDS}), log AS (
+  SELECT c.*, e.ts AS at FROM commands c JOIN events e ON e.event_id = c.seq),
+items AS (
+  SELECT event_id AS id, {_SERVICE} AS service, event_type AS key, date_trunc('millisecond', ts) AS date, value, k
+  FROM events_k WHERE k > 1),
+resets AS (
+  SELECT i.id, max(l.seq) AS s FROM items i JOIN log l ON l.service = i.service AND l.at <= i.date
+  WHERE l.command = 'SUBS' GROUP BY 1),
+removals AS (
+  SELECT i.id, max(l.seq) AS u FROM items i JOIN log l ON l.service = i.service AND l.key = i.key AND l.at <= i.date
+  WHERE l.command = 'UNSUBS' GROUP BY 1),
+live AS (
+  SELECT i.id, i.service, i.date, l.seq, l.field
+  FROM items i JOIN log l ON l.service = i.service AND l.key = i.key AND l.at <= i.date
+  LEFT JOIN resets r ON r.id = i.id LEFT JOIN removals x ON x.id = i.id
+  WHERE l.command IN ('ADD', 'SUBS') AND l.seq >= coalesce(r.s, -1) AND l.seq > coalesce(x.u, -1)),
+born AS (SELECT id, service, date, min(seq) AS f FROM live GROUP BY ALL),
+viewed AS (
+  SELECT b.id, max(l.seq) AS v FROM born b JOIN log l ON l.service = b.service AND l.at <= b.date
+  WHERE l.command = 'VIEW' AND l.seq > b.f GROUP BY 1),
+all_fields AS (
+  SELECT l.id, l.field FROM live l LEFT JOIN viewed w USING (id) WHERE l.seq > coalesce(w.v, -1)
+  UNION SELECT w.id, l.field FROM viewed w JOIN log l ON l.seq = w.v),
+state AS (SELECT b.id, list(a.field) FILTER (a.field IS NOT NULL) AS fields FROM born b LEFT JOIN all_fields a USING (id) GROUP BY 1)
+SELECT service, key AS symbol, date, CASE WHEN list_contains(fields, '3') THEN value END AS "lastPrice",
+       CASE WHEN list_contains(fields, '8') THEN k END AS volume, CASE WHEN list_contains(fields, '12') THEN value END AS close
+FROM items JOIN state USING (id)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "sma_trend_counts": _sma_trend("SELECT symbol, trend, count(*) AS n FROM labelled GROUP BY ALL"),
     "sma_trend": _sma_trend("SELECT * FROM labelled"),
@@ -499,4 +592,22 @@ ORACLE_SQL: dict[str, str] = {
     "subscription_fold": _SUBSCRIPTIONS,
     "subscribed_feed": _SUBSCRIBED_FEED,
     "instrument_chains": _INSTRUMENTS,
+    "sma_late_stream": _sma_trend("SELECT * FROM labelled"),
+    "ema_nonfinite": _EMA_NONFINITE,
+    "ema_nonfinite_split": _EMA_NONFINITE,
+    "rsi_wilder_nonfinite": _rsi_wilder_ticks(_ODD),
+    "rsi_wilder_nonfinite_split": _rsi_wilder_ticks(_ODD),
+    "rsi_wilder_stream": _rsi_wilder_ticks(_TICKS),
+    "macd_stream": _MACD_TICKS,
+    "cumulative_value_stream": _CUMULATIVE,
+    "feed_split_counts": _FEED_SPLIT,
+    "range_scan_compacted": _RANGE,
+    "ohlcv_bars_sliding": _sliding(),
+    "ohlcv_bars_sliding_stream": _sliding("JOIN closes ON date + INTERVAL 1 HOUR <= mark"),
+    "tick_sessions": _sessions(),
+    "tick_sessions_split": _sessions(),
+    "tick_sessions_stream": _sessions(f"WHERE session_end + INTERVAL 30 MINUTE <= {_WATERMARK}"),
+    "screener_average_percent_volume_stream": _screener("AVERAGE_PERCENT_VOLUME", _CLOSED_BARS),
+    "subscription_fold_stream": _SUBSCRIPTIONS,
+    "subscribed_feed_as_of": _AS_OF,
 }

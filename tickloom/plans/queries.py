@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +16,28 @@ from tickloom.operators import studies as T
 from tickloom.operators.instruments import chain_summary, instrument_dimension
 from tickloom.operators.profile import histogram, not_finite, pivot_fields, table_profile, to_long
 from tickloom.operators.series import Split
-from tickloom.operators.subscriptions import subscribed, subscription_state
+from tickloom.operators.sessions import tick_sessions as sessions_of
+from tickloom.operators.subscriptions import subscribed, subscribed_as_of, subscription_state
 from tickloom.plans import adapters as A
 from tickloom.schema import BAR_SCHEMA, SERVICES, SORT_FIELDS
 from tickloom.session import configure, scratch_dir
+from tickloom.sinks.compaction import CompactedStore
+from tickloom.sinks.outcomes import split_feed
 from tickloom.sinks.points import BAR_FIELDS, lines_rejects, to_lines, to_points, write_lines
+from tickloom.sinks.tables import write_parquet
 from tickloom.sources.files import read_bar_csv
 from tickloom.streaming.carried import studies_over_available
 from tickloom.streaming.keyed import keyed_sma
+from tickloom.streaming.revised import revised_over_available
 from tickloom.streaming.run import collect_stream, latest_of_updates, require_batches, start_batches
-from tickloom.streaming.windows import ohlcv_bars_stream
+from tickloom.streaming.subscriptions import SubscriptionFold
+from tickloom.streaming.totals import ClosedWindows, carry_totals
+from tickloom.streaming.windows import (
+    ohlcv_bars_sliding_stream as sliding_stream,
+    ohlcv_bars_stream,
+    screener_metrics_stream,
+    tick_sessions_stream as sessions_stream,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -95,6 +108,13 @@ def sma_trend_stream(spark, sf_dir):
     return studies_over_available(spark, ticks, [T.sma(), T.trend()], "sma_trend_stream", least_batches=A.STREAM_FILES)
 
 
+@_query
+def sma_late_stream(spark, sf_dir):
+    """As `sma_trend`, from files in which most ticks come late."""
+    ticks = A.late_tick_stream(spark, sf_dir).select("symbol", "ts", "seq", "close")
+    return revised_over_available(spark, ticks, [T.sma(), T.trend()], "sma_late_stream", least_batches=A.STREAM_FILES)
+
+
 @_query
 def rsi_14(spark, sf_dir):
     df = A.ticks(spark, sf_dir).select("symbol", "ts", "seq", "close")
@@ -135,6 +155,44 @@ def ema_nulls_split(spark, sf_dir):
     return _rounded(T.with_studies(df, [T.ema(n=26)], split=SMALL_SPLIT), "ema")
 
 
+def _nonfinite(spark, sf_dir):
+    return A.odd_ticks(spark, sf_dir).select("symbol", "ts", "seq", "close")
+
+
+@_query
+def ema_nonfinite(spark, sf_dir):
+    return _rounded(T.with_studies(_nonfinite(spark, sf_dir), [T.ema()]).drop("close"), "ema")
+
+
+@_query
+def ema_nonfinite_split(spark, sf_dir):
+    return _rounded(T.with_studies(_nonfinite(spark, sf_dir), [T.ema()], split=SMALL_SPLIT).drop("close"), "ema")
+
+
+@_query
+def rsi_wilder_nonfinite(spark, sf_dir):
+    return _rounded(T.indicators(_nonfinite(spark, sf_dir), [T.rsi(wilder=True)]), "rsi")
+
+
+@_query
+def rsi_wilder_nonfinite_split(spark, sf_dir):
+    return _rounded(T.indicators(_nonfinite(spark, sf_dir), [T.rsi(wilder=True)], split=SMALL_SPLIT), "rsi")
+
+
+@_query
+def rsi_wilder_stream(spark, sf_dir):
+    ticks = A.tick_stream(spark, sf_dir).select("symbol", "ts", "seq", "close")
+    out = studies_over_available(spark, ticks, [T.rsi(wilder=True)], "rsi_wilder_stream", least_batches=A.STREAM_FILES)
+    return _rounded(out, "rsi")
+
+
+@_query
+def macd_stream(spark, sf_dir):
+    ticks = A.tick_stream(spark, sf_dir).select("symbol", "ts", "seq", "close")
+    out = studies_over_available(spark, ticks, [T.macd()], "macd_stream", least_batches=A.STREAM_FILES)
+    return _rounded(out, "macd", "macd_signal", "macd_hist")
+
+
 @_query
 def macd(spark, sf_dir):
     df = A.bars(spark, sf_dir).select("symbol", "date", "close")
@@ -175,6 +233,18 @@ def cumulative_value_split(spark, sf_dir):
     return _cumulative_value(spark, sf_dir, split=SMALL_SPLIT)
 
 
+@_query
+def cumulative_value_stream(spark, sf_dir):
+    path = scratch_dir(spark, "cumulative")
+    ticks = S.rescale(A.tick_stream(spark, sf_dir).select("symbol", "ts", "seq", "price"), ["price"])
+    receiver = carry_totals(F.col("price").cast("decimal(18,2)"), "total", path + "/carry", write_parquet(path + "/out"))
+    query = start_batches(ticks, receiver, path + "/checkpoint", trigger={"availableNow": True}, skip_empty=False)
+    query.awaitTermination()
+    require_batches(query, A.STREAM_FILES)
+    out = spark.read.parquet(path + "/out")
+    return out.select("symbol", "ts", "seq", F.round("price", 6).alias("price"), "total")
+
+
 def _cumulative_nulls(spark, sf_dir, **options):
     df = A.sparse_ticks(spark, sf_dir).select("symbol", "ts", "seq", "price")
     return T.cumulative_sum(df, F.col("price").cast("decimal(18,2)"), "total", **options)
@@ -274,6 +344,18 @@ def feed_accepted_counts(spark, sf_dir):
     return ticks.groupBy("symbol").agg(F.count(F.lit(1)).alias("n"), F.sum("lastPrice").alias("total"))
 
 
+@_query
+def feed_split_counts(spark, sf_dir):
+    """Usable and rejected items of one parse and one write, with the count that was observed meanwhile."""
+    written = split_feed(A.faulty_envelopes(spark, sf_dir), scratch_dir(spark, "feed_split"))
+    usable = written.accepted(spark).groupBy(F.lit("accepted").alias("outcome"), "symbol").agg(F.count(F.lit(1)).alias("n"))
+    reasons = written.rejected(spark).groupBy(F.col("reject_reason").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    rows = usable.unionByName(reasons, allowMissingColumns=True)
+    return rows.withColumns({"all_accepted": F.lit(written.accepted_rows), "all_rejected": F.lit(written.rejected_rows)}).withColumns(
+        {c: F.col(c).cast("bigint") for c in ("all_accepted", "all_rejected")}
+    )
+
+
 @_query
 def bar_csv(spark, sf_dir):
     """Bars written as CSV and read back."""
@@ -284,9 +366,9 @@ def bar_csv(spark, sf_dir):
 
 
 def _untimely(bars):
-    """Bars of which some have no time, and some no field with a value."""
+    """Bars of which some have no time, and some no field with a value, or none with a finite one."""
     odd = F.hour("date")
-    bars = bars.withColumns({f: F.when(odd != 5, F.col(f)) for f in BAR_FIELDS})
+    bars = bars.withColumns({f: F.when(odd == 9, float("inf")).when(odd != 5, F.col(f)) for f in BAR_FIELDS})
     return bars.withColumn("date", F.when(odd != 7, F.col("date")))
 
 
@@ -361,6 +443,28 @@ def range_scan(spark, sf_dir):
     return recent.select("symbol", "ts", "seq", "price")
 
 
+@_query
+def range_scan_compacted(spark, sf_dir):
+    """As `range_scan`, from a store written in eight batches whose closed days were merged meanwhile."""
+    path = scratch_dir(spark, "compacted")
+    rows = A.ticks(spark, sf_dir).select("symbol", "ts", "seq", "price")
+    store = CompactedStore(path + "/store", rows.schema)
+
+    def receive(batch, batch_id):
+        store.receive(batch, batch_id)
+        if batch_id % 3 == 2:
+            today = batch.agg(F.min(F.to_date("ts"))).first()[0]
+            if today is not None:
+                store.compact(spark, store.closed_days(spark, today, batch_id - 1), batch_id - 1)
+                store.vacuum(spark)
+
+    query = start_batches(A.file_stream(spark, rows, "seq", files=8), receive, path + "/checkpoint", trigger={"availableNow": True})
+    query.awaitTermination()
+    require_batches(query, 8)
+    recent = store.read(spark, date(2024, 1, 14), date(2024, 1, 15))
+    return S.time_range(recent, "1 day", "2024-01-15 00:00:00").select("symbol", "ts", "seq", "price")
+
+
 @_query
 def range_pivot(spark, sf_dir):
     """The range bounds are those of bars, so that ticks outside it are never read."""
@@ -449,6 +553,33 @@ def ohlcv_bars_closed_stream(spark, sf_dir):
     return _ntz(collect_stream(spark, bars, "ohlcv_bars_stream", A.STREAM_FILES), "date")
 
 
+@_query
+def ohlcv_bars_sliding(spark, sf_dir):
+    return B.ohlcv_bars_sliding(A.ticks(spark, sf_dir), "1 hour", "10 minutes")
+
+
+@_query
+def ohlcv_bars_sliding_stream(spark, sf_dir):
+    bars = sliding_stream(A.tick_stream(spark, sf_dir), "1 hour", "10 minutes")
+    return _ntz(collect_stream(spark, bars, "ohlcv_sliding", A.STREAM_FILES), "date")
+
+
+@_query
+def tick_sessions(spark, sf_dir):
+    return sessions_of(A.ticks(spark, sf_dir))
+
+
+@_query
+def tick_sessions_split(spark, sf_dir):
+    return sessions_of(A.ticks(spark, sf_dir), split=SMALL_SPLIT)
+
+
+@_query
+def tick_sessions_stream(spark, sf_dir):
+    sessions = sessions_stream(A.tick_stream(spark, sf_dir))
+    return _ntz(collect_stream(spark, sessions, "tick_sessions", A.STREAM_FILES), "session_start", "session_end")
+
+
 @_query
 def latest_quote(spark, sf_dir):
     return B.latest_quote(A.ticks(spark, sf_dir))
@@ -477,6 +608,31 @@ for _field in SORT_FIELDS:
     _screener(_field)
 
 
+@_query
+def screener_average_percent_volume_stream(spark, sf_dir):
+    """Closed windows, ranked with the sums that the stream has kept of each symbol's windows."""
+    path = scratch_dir(spark, "closed_windows")
+    closed = ClosedWindows(path)
+    metrics = screener_metrics_stream(A.tick_stream(spark, sf_dir), 60)
+    query = start_batches(metrics, closed.receive(), path + "/checkpoint", trigger={"availableNow": True}, skip_empty=False)
+    query.awaitTermination()
+    require_batches(query, A.STREAM_FILES)
+    top = closed.ranked(spark, query.lastProgress["batchId"] + 1, k=3)
+    return _rounded(_ntz(top, "window_start"), "score")
+
+
+@_query
+def subscription_fold_stream(spark, sf_dir):
+    path = scratch_dir(spark, "subscriptions")
+    fold = SubscriptionFold(path + "/state")
+    commands = A.file_stream(spark, A.command_log(spark, sf_dir), "seq")
+    query = start_batches(commands, fold.receive(), path + "/checkpoint", trigger={"availableNow": True}, skip_empty=False)
+    query.awaitTermination()
+    require_batches(query, A.STREAM_FILES)
+    state = fold.state(spark, query.lastProgress["batchId"] + 1)
+    return state.select("service", "key", F.array_join("fields", ",").alias("fields"))
+
+
 @_query
 def subscription_fold(spark, sf_dir):
     state = subscription_state(A.command_log(spark, sf_dir))
@@ -491,6 +647,14 @@ def subscribed_feed(spark, sf_dir):
     return _ntz(feed.select("service", "symbol", "date", "lastPrice", "volume", "close"), "date")
 
 
+@_query
+def subscribed_feed_as_of(spark, sf_dir):
+    """The feed as the subscriptions of each item's own time let it through."""
+    content = I.explode_content(I.route(I.parse_envelopes(A.envelopes(spark, sf_dir))))
+    feed = subscribed_as_of(content, A.feed_command_log(spark, sf_dir))
+    return _ntz(feed.select("service", "symbol", "date", "lastPrice", "volume", "close"), "date")
+
+
 @_query
 def instrument_chains(spark, sf_dir):
     return chain_summary(instrument_dimension(A.instrument_ticks(spark, sf_dir)))

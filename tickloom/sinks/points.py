@@ -43,8 +43,8 @@ def to_lines(
 
 
 def lines_rejects(bars: DataFrame, fields: Sequence[str] = BAR_FIELDS, time: str = "date") -> DataFrame:
-    """The bars that give no line, with `reject_reason`: they have no time, or no field with a value."""
-    value = F.coalesce(*[F.nanvl(F.col(f).cast("double"), F.lit(None)) for f in fields])
+    """The bars that give no line, with `reject_reason`: they have no time, or no field with a finite value."""
+    value = F.coalesce(*[F.when(F.abs(F.col(f).cast("double")) < float("inf"), F.col(f).cast("double")) for f in fields])
     reason = F.when(F.col(time).isNull(), "no_time").when(value.isNull(), "no_value")
     return bars.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.operators.ingest import to_messages
@@ -19,25 +19,27 @@ def write_parquet(path: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+ROW_NO = "row_no"
+
+
 def append_missing(
     read_batch: Callable[[DataFrame, int], DataFrame], append: Callable[[DataFrame], None], keys: Sequence[str]
 ) -> Callable[[DataFrame, int], None]:
     """For `foreachBatch`: append the rows of a batch that the target does not hold yet.
 
-    `keys` must be unique in a batch (nulls are values), or rows could be lost or repeated: a batch
-    in which they are not raises ValueError before anything is written.
-
     A database append commits task by task, so a failed batch may leave some rows behind.
-    `read_batch` gives the target's rows of this batch; the repeated batch adds only the rest.
+    `read_batch` gives the target's rows of this batch; the repeated batch adds only the rest. Rows of
+    a batch that share their keys (nulls are values) are numbered by their other columns, so the number is
+    the same when a batch is repeated. The target has columns `batch_id` and `row_no` for this.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-        repeated = rows.groupBy(*keys).count().where("count > 1")
-        if not repeated.isEmpty():
-            raise ValueError(f"keys {list(keys)} are not unique: {repeated.first().asDict()}")
-        present = read_batch(batch, batch_id).select(*[F.col(k).alias(f"_p_{k}") for k in keys])
-        same = " AND ".join(f"`{k}` <=> `_p_{k}`" for k in keys)
+        others = [c for c in batch.columns if c not in keys] or list(keys)
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*others))
+        rows = batch.withColumns({ROW_NO: number, "batch_id": F.lit(batch_id).cast("bigint")})
+        names = [*keys, ROW_NO]
+        present = read_batch(batch, batch_id).select(*[F.col(k).alias(f"_p_{k}") for k in names])
+        same = " AND ".join(f"`{k}` <=> `_p_{k}`" for k in names)
         append(rows.join(present, F.expr(same), "left_anti"))
 
     return write
@@ -46,7 +48,7 @@ def append_missing(
 def write_jdbc(
     url: str, table: str, keys: Sequence[str] = ("symbol", "date"), properties: Mapping[str, str] | None = None
 ) -> Callable[[DataFrame, int], None]:
-    """For `foreachBatch`: typed rows into a database table that has a `batch_id` column.
+    """For `foreachBatch`: typed rows into a database table that also has the columns `batch_id` and `row_no`.
 
     Message text is never run as SQL. The batch filter is pushed down to the database.
     """
