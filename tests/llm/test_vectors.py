@@ -109,7 +109,8 @@ def test_search_over_split_lists(spark, monkeypatch):
     x = groups(7, 600, 6)
     df = made(spark, x)
     want = sorted(vector_search.nearest_vectors(df, every=10).collect())
-    monkeypatch.setattr(vector_search, "BLOCK_ROWS", 50)
+    for name in ("BLOCK_ROWS", "LEAST_BLOCK"):
+        monkeypatch.setattr(vector_search, name, 50)
     assert sorted(vector_search.nearest_vectors(df, every=10).collect()) == want
 
 
@@ -123,6 +124,75 @@ def test_recall_on_the_whole_table(spark, sf_dir):
     assert sum(len({i for i, _ in want[q]} & got[q]) for q in want) >= 0.9 * 20 * len(want)
 
 
-def test_usable_takes_the_commonest_length(spark):
+def test_usable_takes_every_length(spark):
     df = made(spark, np.ones((3, 8)), ODD)
-    assert {r["id"] for r in vectors.usable(df).collect()} == {0, 1, 2}
+    assert {r["id"] for r in vectors.usable(df).collect()} == {0, 1, 2, 1006}
+
+
+@pytest.mark.parametrize("small", [vectors.SMALL_ROWS, 100])
+def test_each_length_is_a_collection(spark, monkeypatch, small):
+    monkeypatch.setattr(vectors, "SMALL_ROWS", small)
+    long, short = groups(1), groups(2, 282, 5)
+    odd = [(5000 + i, v.tolist()) for i, v in enumerate(short)] + [(7000 + i, [3.0, 4.0, 5.0]) for i in range(5)]
+    df = made(spark, long, odd + ODD[:6])
+    got = {r["vec_id"]: r for r in vector_dedup.near_vectors(df, recall=1.0).collect()}
+    for start, x in ((0, long), (5000, short), (7000, np.array([[3.0, 4.0, 5.0]] * 5))):
+        u = x / np.linalg.norm(x, axis=1, keepdims=True)
+        linked = (u @ u.T >= vector_dedup.COSINE) & ~np.eye(len(x), dtype=bool)
+        label = vector_dedup._forest(*np.nonzero(linked), len(x))
+        for k in range(len(x)):
+            assert (got[start + k]["n_links"], got[start + k]["component_id"]) == (linked[k].sum(), start + label[k])
+    found = {}
+    for r in vector_search.nearest_vectors(df).collect():
+        found.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    hits = total = 0
+    for start, x in ((0, long), (5000, short), (7000, np.array([[3.0, 4.0, 5.0]] * 5))):
+        for q, want in brute(start + np.arange(len(x)), x, 20, 20).items():
+            assert len(found[q]) == len(want) and all(start <= i < start + len(x) for _, i, _ in found[q])
+            hits += len({i for i, _ in want} & {i for _, i, _ in found[q]})
+            total += len(want)
+    assert hits >= 0.9 * total and not {q for q in found if q >= 1000} - {q for q in range(5000, 7005)}
+
+
+def test_single_precision_gives_the_same(spark):
+    x = groups(3).astype(np.float32)
+    single = made(spark, x).selectExpr("vec_id", "CAST(embedding AS ARRAY<FLOAT>) AS embedding", "label")
+    for query in (vector_dedup.near_vectors, vector_search.nearest_vectors):
+        assert sorted(query(single).collect()) == sorted(query(made(spark, x)).collect())
+
+
+def test_products_beyond_a_double(spark):
+    x = np.random.default_rng(9).standard_normal((60, 6))
+    x = np.abs(x) * 1e200
+    rows = vector_search.nearest_vectors(made(spark, x), every=1).collect()
+    want = brute(np.arange(60), x * 1e-200, 1, 20)
+    assert {(r["query_id"], r["rank"]): r["vec_id"] for r in rows} == {(q, n): i for q, found in want.items() for n, (i, _) in enumerate(found, 1)}
+    assert all(r["score"] == float("inf") for r in rows)
+    tiny = vector_search.nearest_vectors(made(spark, x * 1e-200 * 1e-250), every=1).collect()
+    assert {(r["query_id"], r["rank"]): r["vec_id"] for r in tiny} == {(r["query_id"], r["rank"]): r["vec_id"] for r in rows}
+
+
+@pytest.mark.parametrize("n", [600, 2400, 6000])
+def test_links_at_the_threshold_are_found(n):
+    """The share of pairs at exactly the least cosine that the index reaches, whatever the number of cells."""
+    rng = np.random.default_rng(n)
+    centres = vectors.unit(rng.standard_normal((40, 24)))
+    x = vectors.unit(centres[rng.integers(0, 40, n)] + 0.15 * rng.standard_normal((n, 24)))
+    index = vector_dedup.fit(x, 40 * n)
+    side = rng.standard_normal(x.shape)
+    side = vectors.unit(side - (side * x).sum(1, keepdims=True) * x)
+    y = 0.95 * x + (1 - 0.95**2) ** 0.5 * side
+    ours, theirs, a, b = index.visited(x), index.visited(y), index.cells(x), index.cells(y)
+    assert ((ours == b[:, None]).any(1) | (theirs == a[:, None]).any(1)).mean() >= 0.99
+    assert index.visits < 0.5 * len(index.left) * len(index.right)
+
+
+def test_many_lists_in_two_levels(spark, monkeypatch):
+    monkeypatch.setattr(vector_search, "ONE_LEVEL", 4)
+    monkeypatch.setattr(vector_search, "LIST_ROWS", 20)
+    monkeypatch.setattr(vector_search, "CENTRE_ROWS", 16)
+    x = np.random.default_rng(12).standard_normal((1200, 10))
+    want, got = brute(np.arange(1200), x, 20, 20), {}
+    for r in vector_search.nearest_vectors(made(spark, x)).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    assert sum(len({i for i, _ in want[q]} & got[q]) for q in want) >= 0.9 * 20 * len(want)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import heapq
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -12,13 +13,13 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import quoted, stored
 from tickloom.llm.components import components
-from tickloom.llm.vectors import BLOCK_ROWS, MAX_SAMPLE, distances, each_batch, kmeans, matrix, packed, sample, small_table, unit, usable
+from tickloom.llm.vectors import BLOCK_ROWS, MAX_SAMPLE, by_length, distances, each_batch, kmeans, matrix, packed, sample, unit, usable
 
 COSINE = 0.95
-# Share of links just at the threshold whose cell a traversal must reach.
+# Share of links just at the threshold that the traversals of both ends together must reach.
 RECALL = 0.999
-# Vectors per cell of the product grid, about, and codewords per half, at most.
-CELL_ROWS, MAX_CODES = 400, 64
+# Vectors per cell of the product grid, about, codewords per half, at most, and sampled rows for each.
+CELL_ROWS, MAX_CODES, CODE_ROWS = 400, 1024, 20
 
 
 @dataclass(frozen=True)
@@ -62,13 +63,30 @@ def _traverse(a, b, order_a, order_b, most: int, width: int) -> list[int]:
     return out
 
 
+def _codes(total: int) -> int:
+    return int(np.clip(round((total / CELL_ROWS) ** 0.5), 1, MAX_CODES))
+
+
+def _ranks(index: MultiIndex, x: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """The place of one cell for each row in the order in which its traversal visits them."""
+    a, b = index.halves(x)
+    width = len(index.right)
+    out = np.empty(len(x), np.int64)
+    for row, cell in enumerate(cells.tolist()):
+        far = a[row, cell // width] + b[row, cell % width]
+        nearer = np.searchsorted(np.sort(b[row]), far * (1 + 1e-12) - a[row], side="right")
+        out[row] = max(1, int(nearer.sum()))
+    return out
+
+
 def fit(x: np.ndarray, total: int, cosine: float = COSINE, recall: float = RECALL) -> MultiIndex:
     """An index for `total` vectors from a sample of unit vectors.
 
     The number of cells to visit is the smallest that reaches the target recall on made-up partners
-    of sampled vectors, in random directions at exactly the least cosine.
+    of sampled vectors, in random directions at exactly the least cosine. A pair is found when either
+    visits the cell of the other, so of both ranks the smaller one counts.
     """
-    codes = int(np.clip(round((total / CELL_ROWS) ** 0.5), 1, MAX_CODES))
+    codes = _codes(total)
     cut = max(1, x.shape[1] // 2)
     index = MultiIndex(kmeans(x[:, :cut], codes), kmeans(x[:, cut:], codes))
     if x.shape[1] < 2:
@@ -77,10 +95,10 @@ def fit(x: np.ndarray, total: int, cosine: float = COSINE, recall: float = RECAL
     some = x[rng.permutation(len(x))[:2000]]
     side = rng.standard_normal(some.shape)
     side = unit(side - (side * some).sum(1, keepdims=True) * some)
-    partner = index.cells(cosine * some + (1 - cosine**2) ** 0.5 * side)
-    everywhere = index.visited(some, len(index.left) * len(index.right))
-    rank = (everywhere == partner[:, None]).argmax(1) + 1
-    return MultiIndex(index.left, index.right, int(np.quantile(rank, recall, method="higher")))
+    partners = cosine * some + (1 - cosine**2) ** 0.5 * side
+    ranks = np.minimum(_ranks(index, some, index.cells(partners)), _ranks(index, partners, index.cells(some)))
+    most = len(index.left) * len(index.right)
+    return MultiIndex(index.left, index.right, most if recall >= 1 else int(np.quantile(ranks, recall, method="higher")))
 
 
 def _forest(a: np.ndarray, b: np.ndarray, count: int) -> np.ndarray:
@@ -106,10 +124,11 @@ def near_vectors(
     of the grid and looks for partners in the cells it visits; a pair counts when either visits the
     other. Cosines are taken of whole vectors in double precision, so no link is below the threshold.
     A block of classes meets a block of stored ones at a time: it gives a count for each vector and
-    the links of a spanning forest, never all pairs. Vectors that are null, zero, of an odd length or
-    not finite link with nothing; a row without an id has no component and is kept.
+    the links of a spanning forest, never all pairs. Vectors of each length are a collection of their
+    own, with an index of its own unless it is small. Vectors that are null, zero or not finite link with
+    nothing; a row without an id has no component and is kept.
     """
-    hashed = {"d1": F.xxhash64("v"), "d2": F.xxhash64(F.lit(1), "v")}
+    hashed = {"d1": F.xxhash64(F.size("v"), "v"), "d2": F.xxhash64(F.lit(1), "v")}
     classes = stored(
         usable(vectors, id_col, vector_col)
         .withColumns(hashed)
@@ -117,11 +136,16 @@ def near_vectors(
         .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("n"), F.first("v").alias("v")),
         "vector-classes",
     )
-    total = classes.count()
+    collections, rest = by_length(classes)
     known = classes.select("d1", "d2", F.col("id").alias("a"), "n")
-    if total:
-        index = fit(unit(sample(classes, MAX_SAMPLE)), total, cosine, recall)
-        found = stored(_found(classes, index, cosine), "vector-links")
+    if collections:
+        links = []
+        for _, count, rows in collections:
+            some = sample(rows, max(MAX_SAMPLE, CODE_ROWS * _codes(count)))
+            links.append(_found(rows, fit(unit(some), count, cosine, recall), cosine))
+        if rest is not None:
+            links.append(_found_among(rest, cosine))
+        found = stored(reduce(DataFrame.unionByName, links), "vector-links")
         counts = found.where("b is null").groupBy("a").agg(F.sum("n").alias("linked"))
         labels = components(found.where("b is not null").select("a", "b")).withColumnRenamed("id", "a")
         known = known.join(counts, "a", "left").join(labels, "a", "left")
@@ -133,7 +157,7 @@ def near_vectors(
         (F.coalesce("linked", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         F.coalesce("component", "a").alias("component"),
     )
-    rows = vectors.select(quoted(id_col).alias("id"), quoted(vector_col).cast("array<double>").alias("v")).select(
+    rows = vectors.select(quoted(id_col).alias("id"), quoted(vector_col).cast(classes.schema["v"].dataType).alias("v")).select(
         "id", *[F.when(F.col("id").isNotNull(), h).alias(c) for c, h in hashed.items()]
     )
     return _result(rows.join(known, ["d1", "d2"], "left"), id_col)
@@ -149,25 +173,60 @@ def _result(rows: DataFrame, id_col: str) -> DataFrame:
     )
 
 
+def _links(ids: np.ndarray, many: np.ndarray, i: np.ndarray, j: np.ndarray, extra=None) -> pa.Table:
+    """(a, b, n): the links of a spanning forest over pairs of rows (i, j), and with null b, how many vectors
+    each i links with; `extra` adds to the counts of named rows."""
+    names, place = np.unique(ids, return_inverse=True)
+    count = np.bincount(place[i], many[j], len(names))
+    if extra is not None:
+        count += np.bincount(place[extra[0]], many[extra[1]], len(names))
+    label = _forest(place[i], place[j], len(names))
+    joined = np.flatnonzero(label != np.arange(len(names)))
+    some = np.flatnonzero(count)
+    return pa.table(
+        {
+            "a": pa.array(np.concatenate([names[some], names[joined]])),
+            "b": pa.array([None] * len(some) + names[label[joined]].tolist(), pa.int64()),
+            "n": pa.array(np.concatenate([count[some].astype(np.int64), np.zeros(len(joined), np.int64)])),
+        }
+    )
+
+
+LINKS = "a long, b long, n long"
+
+
+def _found_among(classes: DataFrame, cosine: float) -> DataFrame:
+    """The links of collections of at most SMALL_ROWS vectors of one length each, all compared."""
+
+    def meet(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids, many = table.column("id").to_numpy(), table.column("n").to_numpy()
+        x = unit(matrix(table.column("v").combine_chunks()))
+        i, j = np.nonzero(x @ x.T >= cosine)
+        other = ids[i] != ids[j]
+        return _links(ids, many, i[other], j[other])
+
+    return classes.withColumn("width", F.size("v")).groupBy("width").applyInArrow(meet, LINKS)
+
+
 def _found(classes: DataFrame, index: MultiIndex, cosine: float) -> DataFrame:
-    """(a, b, n): links (a, b) of spanning forests, and with null b, how many vectors a links with."""
+    """The links of vectors of one length, by the index."""
+    vector = classes.schema["v"].dataType.simpleString()
 
     def place(ids: np.ndarray, x: np.ndarray, batch: pa.RecordBatch) -> pa.RecordBatch:
         x = unit(x)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), packed(x), pa.array(index.cells(x)), packed(index.visited(x))],
+            [batch.column(0), batch.column(2), batch.column(1), pa.array(index.cells(x)), packed(index.visited(x))],
             names=["id", "n", "v", "cell", "visits"],
         )
 
-    placed = classes.select("id", "v", "n").mapInArrow(
-        each_batch(place), "id long, n long, v array<double>, cell long, visits array<long>"
-    )
+    placed = classes.select("id", "v", "n").mapInArrow(each_batch(place), f"id long, n long, v {vector}, cell long, visits array<long>")
     placed = stored(placed, "vector-cells")
-    # At most MAX_CODES ** 2 cells; a large one is dealt out over blocks on both sides.
-    held = {r["cell"]: r["count"] for r in placed.groupBy("cell").count().collect()}
-    asked = {r["c"]: r["count"] for r in placed.select(F.explode("visits").alias("c")).groupBy("c").count().collect()}
-    grid = [(c, -(-n // BLOCK_ROWS), -(-asked.get(c, 1) // BLOCK_ROWS)) for c, n in held.items()]
-    shape = small_table(placed.sparkSession, grid, "at long, parts_held int, parts_asking int")
+    # At most MAX_CODES ** 2 cells of a few numbers; a large one is dealt out over blocks on both sides.
+    held = placed.groupBy(F.col("cell").alias("at")).agg(F.count(F.lit(1)).alias("held"))
+    asked = placed.select(F.explode("visits").alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("asking"))
+    parts = [F.ceil(F.coalesce(n, F.lit(1)) / BLOCK_ROWS).cast("int").alias(f"parts_{n}") for n in ("held", "asking")]
+    shape = F.broadcast(stored(held.join(asked, F.col("at") == F.col("c"), "left").select("at", *parts), "vector-grid"))
 
     def dealt(rows: DataFrame, asks: bool) -> DataFrame:
         """A row goes to one part of its own side, and meets all parts of the other."""
@@ -186,28 +245,18 @@ def _found(classes: DataFrame, index: MultiIndex, cosine: float) -> DataFrame:
         table = table.combine_chunks()
         asks = table.column("asks").to_numpy()
         ids, many = table.column("id").to_numpy(), table.column("n").to_numpy()
-        x = matrix(table.column("v").combine_chunks())
+        x = unit(matrix(table.column("v").combine_chunks()))
         left, right = np.flatnonzero(asks), np.flatnonzero(~asks)
         i, j = np.nonzero(x[left] @ x[right].T >= cosine)
         i, j = left[i], right[j]
         i, j = i[ids[i] != ids[j]], j[ids[i] != ids[j]]
-        names, place = np.unique(ids, return_inverse=True)
-        count = np.bincount(place[i], many[j], len(names))
+        unseen = None
         if len(i):
             # A stored vector that does not visit the asking one's cell would not count it itself.
             cells, partners = index.cells(x), np.unique(j)
             visits = dict(zip(partners.tolist(), map(set, index.visited(x[partners]).tolist())))
-            unseen = np.array([cells[a] not in visits[b] for a, b in zip(i.tolist(), j.tolist())], bool)
-            count += np.bincount(place[j[unseen]], many[i[unseen]], len(names))
-        label = _forest(place[i], place[j], len(names))
-        joined = np.flatnonzero(label != np.arange(len(names)))
-        some = np.flatnonzero(count)
-        return pa.table(
-            {
-                "a": pa.array(np.concatenate([names[some], names[joined]])),
-                "b": pa.array([None] * len(some) + names[label[joined]].tolist(), pa.int64()),
-                "n": pa.array(np.concatenate([count[some].astype(np.int64), np.zeros(len(joined), np.int64)])),
-            }
-        )
+            missed = np.array([cells[a] not in visits[b] for a, b in zip(i.tolist(), j.tolist())], bool)
+            unseen = j[missed], i[missed]
+        return _links(ids, many, i, j, unseen)
 
-    return stored_rows.unionByName(asking).groupBy("at", "s", "q").applyInArrow(meet, "a long, b long, n long")
+    return stored_rows.unionByName(asking).groupBy("at", "s", "q").applyInArrow(meet, LINKS)

@@ -17,16 +17,37 @@ MAX_SAMPLE = 10_000
 BLOCK_ROWS = 2048
 
 
+# Collections of vectors of one length with so few rows are compared as they are, without an index.
+SMALL_ROWS = 2048
+
+
 def usable(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """(id, v): rows with an id and a vector of the commonest length that is finite and not zero."""
-    rows = vectors.select(quoted(id_col).alias("id"), quoted(vector_col).cast("array<double>").alias("v")).where(
+    """(id, v): rows with an id and a vector that is finite and not zero, of any length.
+
+    Vectors of single precision stay so: what is computed of them is double, but half the bytes travel.
+    """
+    single = vectors.schema[vector_col].dataType.simpleString() == "array<float>"
+    kind = "array<float>" if single else "array<double>"
+    rows = vectors.select(quoted(id_col).alias("id"), quoted(vector_col).cast(kind).alias("v"))
+    return rows.where(
         F.col("id").isNotNull()
         & F.col("v").isNotNull()
         & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("v", lambda x: x != 0)
     )
-    lengths = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
-    return rows.where(F.size("v") == (lengths["n"] if lengths else 0))
+
+
+def by_length(rows: DataFrame) -> tuple[list[tuple[int, int, DataFrame]], DataFrame | None]:
+    """([(length, count, rows)], rest): collections of vectors of one length.
+
+    Those above SMALL_ROWS, and the commonest, come one by one; there are few, as each is large. All
+    others are in `rest`. The counts, a row for each length, are on the driver.
+    """
+    counts = sorted(((r["count"], r["width"]) for r in rows.groupBy(F.size("v").alias("width")).count().collect()), reverse=True)
+    large = [(width, count) for i, (count, width) in enumerate(counts) if i == 0 or count > SMALL_ROWS]
+    parts = [(width, count, rows.where(F.size("v") == width) if len(counts) > 1 else rows) for width, count in large]
+    rest = rows.where(~F.size("v").isin([width for width, _ in large])) if len(large) < len(counts) else None
+    return parts, rest
 
 
 def sample(rows: DataFrame, limit: int = MAX_SAMPLE) -> np.ndarray:
@@ -36,7 +57,8 @@ def sample(rows: DataFrame, limit: int = MAX_SAMPLE) -> np.ndarray:
 
 
 def matrix(lists: pa.ListArray) -> np.ndarray:
-    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    """Vectors of one length as rows of doubles."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False)
     return flat.reshape(len(lists), -1) if len(lists) else np.zeros((0, 0))
 
 
