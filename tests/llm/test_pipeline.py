@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.shared import documents, near_groups, without_repeats
-from tickloom.llm import toxicity
+from tickloom.llm import line_dedup, toxicity
 from tickloom.llm.common import table
 
 
@@ -41,9 +41,9 @@ def test_stages_against_a_direct_version(spark, sf_dir):
     docs = [(r["doc_id"], r["text"], r["source"]) for r in table(spark, small, "documents").collect()]
     model = toxicity.fit(table(spark, small, "documents"), table(spark, small, "labels"))
     match = toxicity.matcher(model)
-    docs = [d for d in docs if model.verdict(match(d[1]))[1] < 0]
+    docs = [d for d in docs if match(d[1]).odds < 0]
     left = without_repeats([d[:2] for d in docs])
-    docs = [(i, left[i], s) for i, t, s in docs if left[i] == t or left[i].strip(" ")]
+    docs = [(i, left[i], s) for i, t, s in docs if left[i] == t or left[i].strip(" \t\n\x0b\f\r")]
     group = near_groups([d[:2] for d in docs], 5, 80)
     docs = [d for d in docs if group[d[0]] == d[0]]
     copies = mixed(docs)
@@ -73,6 +73,12 @@ def test_stages_return_the_columns_of_documents(spark, sf_dir):
         assert stage(spark, docs.limit(0), small).collect() == [], name
 
 
+def test_texts_left_with_white_space_only_go(spark):
+    passage = "first\nsecond\nthird"
+    docs = documents(spark, [(1, passage, "s"), (2, f"{passage}\n\t", "s"), (3, f"{passage}\nmore", "s"), (4, "\t", "s")])
+    assert {r["doc_id"]: r["text"] for r in line_dedup.without_repeats(docs).collect()} == {1: passage, 3: "more", 4: "\t"}
+
+
 def test_stages_and_query():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line_dedup", "minhash_near_dedup", "mix_sources", "best_fit_packing"]
     assert corpus_pipeline.ORACLE_SQL is None

@@ -1,9 +1,12 @@
 """Token counts, secrets, quality and toxicity."""
 
 import hashlib
+import math
 import random
 import re
+import time
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -11,6 +14,7 @@ import pytest
 import regex
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tests.llm.shared import ODD_TEXTS, documents
 from tickloom.llm import quality, secrets, token_counts, toxicity
@@ -143,6 +147,21 @@ def test_names_in_paths_are_no_secrets():
         assert scan(text) == [], text
 
 
+def test_scanning_takes_time_in_proportion():
+    scan = secrets.scanner(secrets.TokenTest(RANKS))
+    rng = random.Random(3)
+    unit = [f"{rng.getrandbits(80):020x} {''.join(rng.choices('abcdefghjkmnpqrstuvwxyzABCDEFGHJKMNPQRSTUVWXYZ23456789', k=24))} " for _ in range(1000)]
+
+    def seconds(copies):
+        text = "".join(unit * copies)
+        started = time.perf_counter()
+        assert len(scan(text)) >= 1900 * copies
+        return time.perf_counter() - started
+
+    seconds(1)
+    assert seconds(12) < 30 * seconds(1)
+
+
 def test_secrets_of_odd_rows(spark):
     got = secrets.secrets(documents(spark, ODD), secrets.TokenTest(RANKS)).collect()
     assert len(got) == len(ODD) and {r["spans"] for r in got} == {""}
@@ -191,31 +210,198 @@ def test_boosting_learns_a_pair():
     assert (0, 1) in {(f, g) for f, g, _ in model.pairs}
 
 
+def plain_boosting(x, y, how):
+    """Cyclic boosting by loops over rows and cuts; gives the log odds of each row of x."""
+    sigmoid = lambda o: 1 / (1 + math.exp(-o))
+    gain = lambda g, h: g * g / (h + how.smooth)
+    n, width = x.shape
+    share = sum(y) / n
+    odds = [math.log(share / (1 - share))] * n
+    cuts = [quality._edges(x[:, f], how.bins) for f in range(width)]
+    bins = [[sum(e <= x[i, f] for e in cuts[f]) for i in range(n)] for f in range(width)]
+
+    def tree(rows, f, lo, hi, depth):
+        g, h = (sum(v) for v in zip(*[(y[i] - sigmoid(odds[i]), sigmoid(odds[i]) * (1 - sigmoid(odds[i]))) for i in rows] or [(0, 0)]))
+        best = None
+        for cut in range(lo + 1, hi) if depth else ():
+            parts = [i for i in rows if bins[f][i] < cut], [i for i in rows if bins[f][i] >= cut]
+            if min(map(len, parts)) < how.least_rows:
+                continue
+            value = 0
+            for part in parts:
+                value += gain(sum(y[i] - sigmoid(odds[i]) for i in part), sum(sigmoid(odds[i]) * (1 - sigmoid(odds[i])) for i in part))
+            if best is None or value > best[0] + 1e-12:
+                best = value, cut, parts
+        if best and best[0] > gain(g, h):
+            return {**tree(best[2][0], f, lo, best[1], depth - 1), **tree(best[2][1], f, best[1], hi, depth - 1)}
+        return dict.fromkeys(range(lo, hi), g / (h + how.smooth))
+
+    for _ in range(how.rounds):
+        for f in range(width):
+            found = tree(range(n), f, 0, len(cuts[f]) + 1, 2)
+            odds = [o + how.step * found[bins[f][i]] for i, o in enumerate(odds)]
+    return odds
+
+
+def test_boosting_equals_loops():
+    rng = np.random.default_rng(4)
+    x = np.round(rng.random((150, 3)), 2)
+    y = (x[:, 0] + 0.3 * rng.standard_normal(150) > 0.5).astype(float)
+    how = quality.Boosting(bins=6, rounds=4, pairs=0, least_rows=5)
+    assert np.allclose(quality.train(x, y, how).odds(x), plain_boosting(x, y, how), atol=1e-9)
+
+
+def test_scores_are_sums_of_lookups():
+    rng = np.random.default_rng(5)
+    x, y = rng.random((400, 4)), rng.integers(0, 2, 400).astype(float)
+    model = quality.train(x, y, quality.Boosting(bins=7, pair_bins=4, pairs=3, rounds=6, pair_rounds=5))
+    assert len(model.pairs) == 3
+    place = lambda edges, v: sum(e <= v for e in edges)
+    for row, odds in zip(x, model.odds(x)):
+        total = model.base + sum(t[place(e, v)] for t, e, v in zip(model.tables, model.edges, row))
+        total += sum(t[place(model.pair_edges[f], row[f])][place(model.pair_edges[g], row[g])] for f, g, t in model.pairs)
+        assert abs(total - odds) < 1e-9
+
+
 def test_grammar():
-    match = toxicity.matcher(toxicity.Model())
+    lexicon, machine = toxicity.Lexicon(toxicity.Model()), toxicity.grammar()
     cases = {
-        "what a moron": {"insult": 1},
-        "you moron": {"targeted": 1},
-        "moron, you": {"insult": 1, "targeted": 1},
-        "You are not a moron": {"negated": 1},
-        "She said he is an idiot": {"reported": 1},
-        "I will kill you": {"threat": 1},
-        "I will not kill you": {},
-        "kill the process": {},
-        "they said. You are trash!": {"targeted": 1},
-        "": {},
+        "what a moron": ["insult"],
+        "you moron": ["targeted"],
+        "moron, you": ["targeted"],
+        "a moron is what they truly are": ["targeted"],
+        "a moron, as has been said of him": ["insult"],
+        "You are not a moron": ["negated"],
+        "She said he is an idiot": ["reported"],
+        "I will kill you": ["threat"],
+        "I will not kill you": [],
+        "you kill the process": [],
+        "they said they would kill you": [],
+        "they said. You are trash!": ["targeted"],
+        "": [],
     }
     for text, want in cases.items():
-        assert dict(match(text)) == want, text
-
-
-def test_composition_runs_one_after_the_other():
-    rng = random.Random(6)
-    first, second = toxicity.negation(), toxicity.reported_speech()
-    both = toxicity.compose(first, second, toxicity.SYMBOLS)
-    for _ in range(300):
-        line = [rng.choice(toxicity.SYMBOLS) for _ in range(rng.randrange(12))]
-        assert both.run(line) == second.run(first.run(line))
+        assert [p for p, _ in toxicity._matches(text, lexicon, machine)] == want, text
+    match = toxicity.matcher(toxicity.Model())
+    toxic = [t for t in cases if match(t).odds >= 0]
+    assert toxic == [t for t, p in cases.items() if p and p[0] in ("insult", "targeted", "threat")]
+    assert match("you moron, moron").patterns == {"targeted": 2}
+    alone = toxicity.matcher(toxicity.Model(), without=("negation", "reported_speech"))
+    assert all(alone(t).odds >= 0 > match(t).odds for t in ("You are not a moron", "She said he is an idiot", "I will not kill you"))
+
+
+def paths(machine, line):
+    """All accepted (outputs, weight) of a machine over a line of symbols, one after the other."""
+    held = [(machine.start, (), 0.0)]
+    for symbol in line:
+        held = [(n, (*out, o), w + v) for state, out, w in held for n, o, v in machine.step(state, symbol)]
+    return [(out, w) for state, out, w in held if state not in machine.open]
+
+
+def by_rules(classes, weights):
+    """What each word of a clause is named, by looking around it; None where it can be no such word."""
+    names = []
+    for k, c in enumerate(classes):
+        near = [i for i in range(len(classes)) if classes[i] == "Y" and abs(i - k) <= 3]
+        negated = any(classes[i] == "N" for i in range(max(0, k - 2), k))
+        reported = "R" in classes[:k]
+        if c == "I":
+            names.append("reported" if reported else "negated" if negated else "targeted" if near else "insult")
+        elif c == "T":
+            names.append("threat" if any(i > k for i in near) and not negated and not reported else None)
+        else:
+            names.append("")
+    return None if None in names else tuple(n for n in names if n)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_weights_are_sums_over_all_paths(seed):
+    rng = random.Random(seed)
+    weights = {p: rng.uniform(-2, 2) for p in toxicity.PATTERNS}
+    whole = toxicity.grammar(weights)
+    machines = [toxicity.negation(), toxicity.reported_speech(), toxicity.target(), toxicity.insult(weights), toxicity.threat(weights)]
+    for _ in range(120):
+        readings = []
+        for _ in range(rng.randrange(7)):
+            c = rng.choice("IITYYNR--")
+            readings.append([(c, 0.0)] if c in "YNR-" else [(c, rng.uniform(-1, 3)), ("-", 0.0)] + ([("T", 1.0)] if c == "I" and rng.random() < 0.2 else []))
+        lines, found, named = [([], 0.0)], [], []
+        for word in readings:
+            lines = [([*line, c], w + v) for line, w in lines for c, v in word]
+        for line, weight in lines:
+            held = [(line, weight)]
+            for machine in machines:
+                held = [(out, w + v) for symbols, w in held for out, v in paths(machine, symbols)]
+            found += [(tuple(o for o in out if o in weights), w) for out, w in held]
+            rules = by_rules(line, weights)
+            if rules is not None:
+                named.append((rules, weight + sum(weights[p] for p in rules)))
+        assert sorted((p, round(w, 9)) for p, w in found) == sorted((p, round(w, 9)) for p, w in named)
+        total, best, outputs = toxicity.weigh(whole, readings)
+        assert abs(total - math.log(sum(math.exp(w) for _, w in named))) < 1e-9
+        assert abs(best - max(w for _, w in named)) < 1e-9 and any(p == outputs and abs(w - best) < 1e-9 for p, w in named)
+
+
+def test_matches_of_a_clause_combine_into_its_paths():
+    """What training takes for a clause's weight is the sum over its paths."""
+    model = toxicity.Model()
+    lexicon, machine = toxicity.Lexicon(model), toxicity.grammar()
+    for text in ("you moron and idiot kill them, he said not a loser", "not stupid or dumb, I will beat and hurt you", "trash trash trash"):
+        total, _, _ = toxicity.weigh(machine, [lexicon[w] for w in toxicity.WORD.findall(text)])
+        parts = [math.log1p(math.exp(w + model.weights[p])) for p, w in toxicity._matches(text, lexicon, machine)]
+        assert abs(total - sum(parts)) < 1e-9
+
+
+def test_training_reaches_the_top():
+    rng = random.Random(2)
+    rows = []
+    for _ in range(400):
+        found = [rng.choice(["insult", "targeted", "negated"]) for _ in range(rng.randrange(3))]
+        toxic = any(p != "negated" for p in found) if rng.random() < 0.9 else rng.random() < 0.5
+        rows.append((int(toxic), found, [rng.uniform(1, 4) for _ in found]))
+    weights, bias = toxicity._train(rows)
+
+    def likelihood(weights, bias):
+        total = -0.5 * toxicity.FIRM_BIAS * (bias - toxicity.BIAS) ** 2
+        total -= sum(0.5 * toxicity.FIRM * (weights[p] - w) ** 2 for p, w in toxicity.PATTERNS.items())
+        for y, found, words in rows:
+            odds = bias + sum(math.log1p(math.exp(w + weights[p])) for p, w in zip(found, words))
+            total -= math.log1p(math.exp(-odds if y else odds))
+        return total
+
+    top = likelihood(weights, bias)
+    for p in weights:
+        for step in (-0.02, 0.02):
+            assert likelihood(weights | {p: weights[p] + step}, bias) < top
+    assert max(likelihood(weights, bias + s) for s in (-0.02, 0.02)) < top
+    assert weights["negated"] < weights["insult"] and weights["threat"] == toxicity.PATTERNS["threat"]
+    assert toxicity._train([(0, [], [])])[0] == toxicity.PATTERNS
+
+
+def test_lexicon_reads_characters():
+    model = toxicity.Model({"blorp": 3.0}, {"zork": 2.0}, frozenset({"scum"}))
+    lexicon = toxicity.Lexicon(model)
+    other = (toxicity.OTHER, 0.0)
+    assert lexicon["blorp"] == [("I", 3.0), other] and lexicon["blorps"] == lexicon["scum"] == lexicon["zor"] == lexicon[""] == [other]
+    assert lexicon["zork"] == lexicon["zorkano"] == [("I", 2.0), other]
+    assert lexicon["not"] == [("N", 0.0)] and lexicon["kill"] == [("T", toxicity.FIXED_THREAT), other]
+
+
+def test_learned_lexicon_finds_more_than_fixed_words(spark, sf_dir):
+    large = sf_dir.replace("sf0.01", "sf0.1")
+    docs, labels = (spark.read.parquet(f"{large}/{name}.parquet") for name in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    rows = docs.join(labels, "doc_id").where("toxic is not null").select("doc_id", "text", "lang", "toxic")
+    rows = rows.where((F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0)).collect()
+    caught = {}
+    for name, m in (("learned", model), ("fixed", toxicity.Model())):
+        match = toxicity.matcher(m)
+        found = [(r["lang"], r["toxic"], match(r["text"]).odds >= 0) for r in rows]
+        assert not any(hit for _, y, hit in found if y == 0)
+        caught[name] = Counter(lang for lang, y, hit in found if y == 1 and hit)
+    toxic = Counter(r["lang"] for r in rows if r["toxic"] == 1)
+    assert caught["learned"].total() >= 0.88 * toxic.total() and caught["fixed"].total() <= 0.65 * toxic.total()
+    assert all(caught["learned"][lang] >= 0.6 * n for lang, n in toxic.items()) and set(caught["fixed"]) == {"en"}
 
 
 def test_learns_words_by_their_beginning_and_not_from_copies(spark):
@@ -233,7 +419,7 @@ def test_learns_words_by_their_beginning_and_not_from_copies(spark):
         labels.append((k, 1, 1))
     model = toxicity.fit(documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
     assert any(b.startswith("zork") for b in model.beginnings)
-    assert not {"quiet", "copied", "gardens"} & model.words
+    assert not {"quiet", "copied", "gardens"} & set(model.words)
     assert not any(w.startswith(b) for b in model.beginnings for w in ("quiet", "copied", "about", "gardens"))
 
 

@@ -100,7 +100,7 @@ def dedup_lines(
 
 
 def without_repeats(docs: DataFrame, size: int = WINDOW_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """`dedup_lines`, less the documents that had text and lost all of it. All columns stay."""
+    """`dedup_lines`, less the documents that lost all their text but white space. All columns stay."""
     before, gone = fresh(docs, "lines_before", "lines_gone")
     left = dedup_lines(docs, size, id_col, text_col, (before, gone))
-    return left.where((F.col(gone) == 0) | (F.trim(quoted(text_col)) != "")).select(*quoted_all(docs.columns))
+    return left.where((F.col(gone) == 0) | quoted(text_col).rlike(r"\S")).select(*quoted_all(docs.columns))

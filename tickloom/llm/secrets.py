@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left
 from dataclasses import dataclass
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -128,11 +130,14 @@ def scanner(test: TokenTest):
 
     def run(text: str) -> list[tuple[int, int, int]]:
         found = base_spans(text)
-        covered = list(found)
+        # Starts of the fixed forms in order, and the farthest end up to each.
+        covered = sorted((s, e) for s, _, e in found)
+        starts, reach = [s for s, _ in covered], list(accumulate((e for _, e in covered), max))
 
         def is_random(start: int, end: int) -> bool:
             value = text[start:end]
-            if len(value) < LEAST_PART or is_named(value) or any(s < end and start < e for s, _, e in covered):
+            before = bisect_left(starts, end)
+            if len(value) < LEAST_PART or before and reach[before - 1] > start or is_named(value):
                 return False
             return len(value) / tokens(value) < test.most
 

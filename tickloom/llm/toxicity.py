@@ -5,9 +5,10 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field, replace
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ MAX_LABELLED = 20_000
 HELD_OUT, HELD_OUT_REST = 5, 0
 # Word beginnings of these lengths can enter the lexicon beside whole words.
 PREFIXES = (4, 5, 6, 7, 8)
-# A word is learned only if this share of its documents is toxic, and chance explains it at this level.
-LEAST_SHARE, LEVEL = 0.8, 0.05
+# A word is learned only if this share of its documents is toxic, and of those learned about this share may
+# be chance. A word counts as one of several features (itself and its beginnings).
+LEAST_SHARE, LEVEL, FEATURES = 0.8, 0.05, 6
 # Counts that a task holds before it hands them on.
 HELD_COUNTS = 200_000
 # Words whose class a task remembers.
@@ -35,149 +37,257 @@ REPORTS = "said says wrote writes claimed claims called calls quoted quotes repo
 
 WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.!?;:\n]+")
+# Classes of words: I insult, T threat, Y target, N negation, R reported speech, - any other word.
 OTHER = "-"
+SYMBOLS = "ITYNR-"
 
-# Patterns that a clause can match, with the chance of a toxic document before any label is seen.
-PATTERNS = {"none": 0.05, "insult": 0.85, "targeted": 0.95, "threat": 0.9, "negated": 0.3, "reported": 0.3}
-PRIOR_ROWS = 2.0
-MANY = 4
+# What a matched pattern adds to the weight of its word, and the log odds of a text without any, before a
+# label is seen; how firmly (as a precision) labels have to argue against them.
+PATTERNS = {"insult": 0.0, "targeted": 1.0, "threat": 1.0, "negated": -6.0, "reported": -5.0}
+BIAS, FIRM, FIRM_BIAS = -2.9, 0.25, 0.01
+# Weights of fixed words that no label tells more about, and the bounds of learned ones.
+FIXED_INSULT, FIXED_THREAT, LEAST_WEIGHT, MOST_WEIGHT = 5.0, 3.0, 0.5, 9.0
+ROUNDS = 40
 
 
 @dataclass(frozen=True)
 class Transducer:
-    """A sequential transducer: from (state, symbol) to (state, symbol); where no arc is given, the
-    symbol passes unchanged and the state is `rest` of the state."""
+    """A weighted transducer: from (state, symbol) to any number of (state, symbol, weight).
+
+    Weights are logarithms: along a path they are added, and paths are summed as logaddexp does. Where
+    no arcs are given, the symbol passes with weight 0 and the state is `rest` of the state. A path
+    counts if it ends in a state that is not in `open`.
+    """
 
     start: object
     arcs: dict
     rest: dict = field(default_factory=dict)
+    open: frozenset = frozenset()
 
-    def step(self, state, symbol):
-        return self.arcs.get((state, symbol)) or (self.rest.get(state, state), symbol)
-
-    def run(self, symbols: Iterator[str]) -> list[str]:
-        state, out = self.start, []
-        for symbol in symbols:
-            state, made = self.step(state, symbol)
-            out.append(made)
-        return out
+    def step(self, state, symbol) -> tuple:
+        found = self.arcs.get((state, symbol))
+        return ((self.rest.get(state, state), symbol, 0.0),) if found is None else found
 
 
 def compose(first: Transducer, second: Transducer, symbols: str) -> Transducer:
     """One transducer that gives what `second` makes of the output of `first` (over these symbols)."""
     start = (first.start, second.start)
-    arcs, open_ = {}, [start]
-    seen = {start}
-    while open_:
-        a, b = state = open_.pop()
+    arcs, todo, seen = {}, [start], {start}
+    while todo:
+        a, b = state = todo.pop()
         for symbol in symbols:
-            a2, middle = first.step(a, symbol)
-            b2, out = second.step(b, middle)
-            arcs[state, symbol] = ((a2, b2), out)
-            if (a2, b2) not in seen:
-                seen.add((a2, b2))
-                open_.append((a2, b2))
-    return Transducer(start, arcs)
-
-
-# Symbols: I insult, T threat, Y target, N negation, R reported speech, - any other word.
-SYMBOLS = "ITYNR-"
+            arcs[state, symbol] = found = tuple(
+                ((a2, b2), out, u + v) for a2, middle, u in first.step(a, symbol) for b2, out, v in second.step(b, middle)
+            )
+            for target, _, _ in found:
+                if target not in seen:
+                    seen.add(target)
+                    todo.append(target)
+    return Transducer(start, arcs, {}, frozenset((a, b) for a, b in seen if a in first.open or b in second.open))
 
 
 def negation(reach: int = 2) -> Transducer:
-    """Marks insults and threats at most `reach` words after a negation (i, t)."""
-    arcs = {(k, "N"): (reach, "N") for k in range(reach + 1)}
+    """Marks insults at most `reach` words after a negation (i), and takes such threats out."""
+    arcs = {(k, "N"): ((reach, "N", 0.0),) for k in range(reach + 1)}
     for k in range(1, reach + 1):
-        arcs |= {(k, "I"): (k - 1, "i"), (k, "T"): (k - 1, "t")}
+        arcs |= {(k, "I"): ((k - 1, "i", 0.0),), (k, "T"): ()}
     return Transducer(0, arcs, {k: max(0, k - 1) for k in range(reach + 1)})
 
 
 def reported_speech() -> Transducer:
-    """Marks insults after a verb of reporting, up to the end of the clause (r); takes such threats out."""
-    return Transducer(0, {(0, "R"): (1, "R"), (1, "I"): (1, "r"), (1, "T"): (1, OTHER)})
+    """Marks insults after a verb of reporting, up to the end of the clause (r), and takes such threats out."""
+    return Transducer(0, {(0, "R"): ((1, "R", 0.0),), (1, "I"): ((1, "r", 0.0),), (1, "i"): ((1, "r", 0.0),), (1, "T"): ()})
 
 
-def statements(reach: int = 3) -> Transducer:
-    """Names the pattern that each word completes: an insult, one with a target near, or a threat to a target.
+def target(reach: int = 3) -> Transducer:
+    """Marks insults with a target at most `reach` words before or after (J), and threats with one after (D).
 
-    The state holds for how many more words a target, an insult and a threat can pair with what follows.
+    What comes after is guessed: the state holds for how many more words a target goes with what follows,
+    within how many a guessed one must come, and for how many none may. Wrong guesses have no path.
     """
-    arcs, rest = {}, {}
-    gaps = [(y, i, t) for y in range(reach + 1) for i in range(reach + 1) for t in range(reach + 1)]
-    for y, i, t in gaps:
-        y2, i2, t2 = max(0, y - 1), max(0, i - 1), max(0, t - 1)
-        rest[y, i, t] = (y2, i2, t2)
-        for symbol in "-NRt":
-            arcs[(y, i, t), symbol] = ((y2, i2, t2), "")
-        arcs[(y, i, t), "I"] = ((y2, reach, t2), "targeted" if y else "insult")
-        arcs[(y, i, t), "T"] = ((y2, i2, reach), "")
-        arcs[(y, i, t), "Y"] = ((reach, i2, t2), "threat" if t else "targeted" if i else "")
-        arcs[(y, i, t), "i"] = ((y2, i2, t2), "negated")
-        arcs[(y, i, t), "r"] = ((y2, i2, t2), "reported")
-    return Transducer((0, 0, 0), arcs, rest)
-
-
-def grammar() -> Transducer:
-    marked = compose(negation(), reported_speech(), SYMBOLS)
-    return compose(marked, statements(), SYMBOLS)
+    arcs, open_ = {}, set()
+    for y in range(reach + 1):
+        for must in range(reach + 1):
+            for no in range(reach + 1):
+                state = (y, must, no)
+                if must:
+                    open_.add(state)
+                on = (max(0, y - 1), max(0, must - 1), max(0, no - 1))
+                alive = must != 1  # the last word for a guessed target is not one
+                for symbol in "-NRir":
+                    arcs[state, symbol] = ((on, symbol, 0.0),) if alive else ()
+                arcs[state, "Y"] = () if no else (((reach, 0, 0), "Y", 0.0),)
+                with_one = (on[0], on[1] or reach, on[2])
+                without = (on[0], on[1], reach)
+                if not alive:
+                    arcs[state, "I"] = arcs[state, "T"] = ()
+                elif y:
+                    arcs[state, "I"] = ((on, "J", 0.0),)
+                    arcs[state, "T"] = ((with_one, "D", 0.0),)
+                else:
+                    arcs[state, "I"] = ((with_one, "J", 0.0), (without, "I", 0.0))
+                    arcs[state, "T"] = ((with_one, "D", 0.0),)
+    return Transducer((0, 0, 0), arcs, {}, frozenset(open_))
+
+
+def insult(weights: dict) -> Transducer:
+    """Names and weighs the insults as they were marked."""
+    names = {"I": "insult", "J": "targeted", "i": "negated", "r": "reported"}
+    return Transducer(0, {(0, mark): ((0, name, weights[name]),) for mark, name in names.items()})
+
+
+def threat(weights: dict) -> Transducer:
+    """Names and weighs threats with a target."""
+    return Transducer(0, {(0, "D"): ((0, "threat", weights["threat"]),), (0, "T"): ()})
+
+
+def grammar(weights: dict | None = None, without: Sequence[str] = ()) -> Transducer:
+    """The machines one after the other; `without` leaves some of the first three out."""
+    weights = PATTERNS if weights is None else weights
+    parts = {"negation": negation(), "reported_speech": reported_speech(), "target": target()}
+    made = Transducer(0, {})
+    for name, part in parts.items():
+        if name not in without:
+            made = compose(made, part, SYMBOLS)
+    return compose(compose(made, insult(weights), SYMBOLS), threat(weights), SYMBOLS)
+
+
+Readings = list[list[tuple[str, float]]]
+
+
+def weigh(machine: Transducer, readings: Readings) -> tuple[float, float, tuple]:
+    """(log of the sum of all paths' weights, the heaviest path's weight, its outputs) over words that each
+    have any number of (class, weight)."""
+    held = {machine.start: (0.0, 0.0, ())}
+    for word in readings:
+        after: dict = {}
+        for state, (total, best, outputs) in held.items():
+            for symbol, weight in word:
+                for nxt, out, w in machine.step(state, symbol):
+                    w += weight
+                    made = (total + w, best + w, (*outputs, out) if out in PATTERNS else outputs)
+                    old = after.get(nxt)
+                    if old is not None:
+                        high, low = max(old[0], made[0]), min(old[0], made[0])
+                        made = (high + math.log1p(math.exp(low - high)), *max(old[1:], made[1:]))
+                    after[nxt] = made
+        held = after
+    ends = [found for state, found in held.items() if state not in machine.open]
+    if not ends:
+        return -math.inf, -math.inf, ()
+    high = max(e[0] for e in ends)
+    return high + math.log(sum(math.exp(e[0] - high) for e in ends)), *max(e[1:] for e in ends)
 
 
 @dataclass(frozen=True)
 class Model:
-    """Learned words and beginnings, taken-out fixed insults, and the log odds of each pattern."""
+    """Learned words and beginnings of insults with their weights, fixed insults taken out, the weights of
+    patterns, and the log odds of a text without any."""
 
-    words: frozenset = frozenset()
-    beginnings: frozenset = frozenset()
+    words: dict = field(default_factory=dict)
+    beginnings: dict = field(default_factory=dict)
     harmless: frozenset = frozenset()
-    odds: dict = field(default_factory=lambda: {k: math.log(p / (1 - p)) for k, p in PATTERNS.items()})
-    # By (pattern, matches up to MANY), where labels tell more.
-    by_matches: dict = field(default_factory=dict)
+    weights: dict = field(default_factory=lambda: dict(PATTERNS))
+    bias: float = BIAS
 
-    def verdict(self, found: Counter) -> tuple[str, float]:
-        """The strongest pattern found and the log odds of a toxic text."""
-        best = max(found, key=lambda p: (self.odds[p], p)) if found else "none"
-        return best, self.by_matches.get((best, min(sum(found.values()), MANY)), self.odds[best])
 
+class Lexicon(dict):
+    """The readings of each word, found once: what a transducer over its characters gives.
 
-class _Classes(dict):
-    """The symbol of each word, found once."""
+    Its arcs are a trie. At the end of a word, the node gives the classes of that very word; a node where
+    a beginning ends gives its class whatever characters follow. Insults and threats may also be read as
+    any other word, with weight 0.
+    """
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model = model
-        for symbol, words in (("R", REPORTS), ("N", NEGATIONS), ("Y", TARGETS), ("T", THREATS), ("I", INSULTS)):
-            self.update(dict.fromkeys(words.split(), symbol))
-        self.update(dict.fromkeys(model.harmless, OTHER))
-        self.update(dict.fromkeys(model.words, "I"))
-        self.fixed = len(self)
-
-    def __missing__(self, word: str) -> str:
-        if len(self) > self.fixed + CACHED_WORDS:
-            kept = list(self.items())[: self.fixed]
+        self.arcs: dict[tuple[int, str], int] = {}
+        self.whole: dict[int, list[tuple[str, float]]] = {}
+        self.begun: dict[int, list[tuple[str, float]]] = {}
+        self.nodes = 1
+        for symbol, words in (("R", REPORTS), ("N", NEGATIONS), ("Y", TARGETS)):
+            for word in words.split():
+                self.add(word, symbol, 0.0, self.whole)
+        for word in THREATS.split():
+            self.add(word, "T", FIXED_THREAT, self.whole)
+        fixed = {w: FIXED_INSULT for w in INSULTS.split() if w not in model.harmless}
+        fixed = {w: x for w, x in fixed.items() if not any(w[:k] in model.beginnings for k in PREFIXES)}
+        for word, weight in (fixed | model.words).items():
+            self.add(word, "I", weight, self.whole)
+        for start, weight in model.beginnings.items():
+            self.add(start, "I", weight, self.begun)
+
+    def add(self, letters: str, symbol: str, weight: float, ends: dict) -> None:
+        node = 0
+        for letter in letters:
+            node = self.arcs.setdefault((node, letter), self.nodes)
+            self.nodes = max(self.nodes, node + 1)
+        ends.setdefault(node, []).append((symbol, weight))
+
+    def __missing__(self, word: str) -> list[tuple[str, float]]:
+        if len(self) > CACHED_WORDS:
             self.clear()
-            self.update(kept)
-        hit = any(word[:k] in self.model.beginnings for k in PREFIXES)
-        value = self[word] = "I" if hit else OTHER
-        return value
-
-
-def matcher(model: Model):
-    """A function from a text to the number of times that each pattern is completed in its clauses."""
-    classes, machine = _Classes(model), grammar()
-
-    def run(text: str) -> Counter:
-        text = text.lower().replace("’", "'")
-        found: Counter = Counter()
-        if not {"I", "T"}.isdisjoint(map(classes.__getitem__, WORD.findall(text))):
-            for clause in CLAUSE_END.split(text):
-                symbols = [classes[w] for w in WORD.findall(clause)]
-                if "I" in symbols or "T" in symbols:
-                    found.update(x for x in machine.run(symbols) if x in PATTERNS)
-        return found
+        node, found = 0, []
+        for letter in word:
+            node = self.arcs.get((node, letter), -1)
+            if node < 0:
+                break
+            found += self.begun.get(node, ())
+        else:
+            found += self.whole.get(node, ())
+        sure = [r for r in found if r[0] in "YNR"]
+        self[word] = readings = sure[:1] or [*found, (OTHER, 0.0)]
+        return readings
+
+
+@dataclass(frozen=True)
+class Found:
+    """The log odds of a toxic text, and how often each pattern is on the heaviest paths of its clauses."""
+
+    odds: float
+    patterns: Counter
+
+    @property
+    def pattern(self) -> str:
+        return max(self.patterns, key=lambda p: (self.patterns[p], p)) if self.patterns else "none"
+
+
+def _clauses(text: str, lexicon: Lexicon) -> Iterator[Readings]:
+    """The clauses that have an insult or a threat."""
+    text = text.lower().replace("’", "'")
+    if max(map(len, map(lexicon.__getitem__, WORD.findall(text))), default=0) > 1:
+        for clause in CLAUSE_END.split(text):
+            readings = [lexicon[w] for w in WORD.findall(clause)]
+            if max(map(len, readings), default=0) > 1:
+                yield readings
+
+
+def matcher(model: Model, without: Sequence[str] = ()) -> Callable[[str], Found]:
+    """A function that sums the weights of a text's matched clauses."""
+    lexicon, machine = Lexicon(model), grammar(model.weights, without)
+
+    def run(text: str) -> Found:
+        odds, patterns = model.bias, Counter()
+        for readings in _clauses(text, lexicon):
+            total, _, outputs = weigh(machine, readings)
+            odds += total
+            patterns.update(outputs)
+        return Found(odds, patterns)
 
     return run
 
 
+def _matches(text: str, lexicon: Lexicon, machine: Transducer) -> Iterator[tuple[str, float]]:
+    """(pattern, word's weight) of each insult and threat; the paths of a clause are their combinations."""
+    for readings in _clauses(text, lexicon):
+        plain = [r if len(r) == 1 else [(OTHER, 0.0)] for r in readings]
+        for k, reading in enumerate(readings):
+            for symbol, weight in reading if len(reading) > 1 else ():
+                if symbol != OTHER:
+                    _, _, outputs = weigh(machine, [*plain[:k], [(symbol, weight)], *plain[k + 1 :]])
+                    yield from ((p, weight) for p in outputs)
+
+
 def labelled(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> DataFrame:
     """(text, toxic) of at most `limit` labelled rows that are not held out; each different text once."""
     rows = (
@@ -212,12 +322,21 @@ def _unlikely(toxic: float, clean: float, share: float) -> float:
     return toxic * math.log(toxic / n / share) + part
 
 
-def _learn_words(rows: DataFrame, toxic: int, clean: int) -> tuple[set, set]:
-    """Words and beginnings that mark toxic rows, and fixed insults that do not.
+def _learned(unlikely: dict[str, float], tried: int) -> set[str]:
+    """Those whose chance is so small that of all taken about LEVEL are expected to be false (by ranks)."""
+    ranked = sorted(unlikely.items(), key=lambda f: (-f[1], f[0]))
+    least = [math.log(max(tried, 1) * FEATURES / (LEVEL * (k + FEATURES))) for k in range(len(ranked))]
+    last = max((k for k, (_, u) in enumerate(ranked) if u >= least[k]), default=-1)
+    return {f for f, _ in ranked[: last + 1]}
+
+
+def _learn_words(rows: DataFrame, toxic: int, clean: int) -> tuple[dict, set]:
+    """Words and beginnings (`stem*`) that mark toxic rows, with their weights, and fixed insults that do not.
 
     Documents are counted for each word and each beginning; what chance could explain, given how many
     were tried, is left out. Near copies would count many times for one text, so a word must also
-    reach the level when each neighbourhood (word before, word after) counts once.
+    reach the level when each neighbourhood (word before, word after) counts once. The weight is the log of
+    how much more often toxic texts have it than others.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -243,12 +362,12 @@ def _learn_words(rows: DataFrame, toxic: int, clean: int) -> tuple[set, set]:
         "word-counts",
     )
     share = toxic / (toxic + clean)
-    level = math.log(max(counted.count(), 1) / LEVEL)
-    # The labelled rows are bounded, and so is the list of features that many of them share.
-    least = max(2, math.floor(level / math.log(1 / share)))
+    tried = counted.count()
+    # The labelled rows are bounded, and so is the list of features that several toxic ones share.
+    least = max(3, math.floor(math.log(max(tried, 1) / 1000) / math.log(1 / share)))
     frequent = counted.where((F.col("toxic") >= least) & (F.col("toxic") >= LEAST_SHARE * (F.col("toxic") + F.col("clean"))))
     seen = {r["feature"]: (r["toxic"], r["clean"]) for r in frequent.collect()}
-    candidates = {f for f, (t, c) in seen.items() if _unlikely(t, c, share) >= level}
+    candidates = _learned({f: _unlikely(t, c, share) for f, (t, c) in seen.items()}, tried)
 
     def around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,15 +381,49 @@ def _learn_words(rows: DataFrame, toxic: int, clean: int) -> tuple[set, set]:
 
     places = rows.where("toxic = 1").mapInArrow(around, "feature string, before string, after string")
     apart = {r["feature"]: r["n"] for r in places.distinct().groupBy("feature").agg(F.count(F.lit(1)).alias("n")).collect()}
-    strong = {f for f in candidates if _unlikely(min(seen[f][0], apart.get(f, 0)), seen[f][1], share) >= level}
+    once = {f: (min(seen[f][0], apart.get(f, 0)), seen[f][1]) for f in candidates}
+    strong = _learned({f: _unlikely(t, c, share) for f, (t, c) in once.items()}, tried)
     # Of beginnings that mark the same rows the longest stays; words that a beginning covers are left out.
     stems = {f[:-1]: seen[f][0] for f in strong if f.endswith("*")}
     longest = {s for s, n in stems.items() if not any(t != s and t.startswith(s) and m >= 0.98 * n for t, m in stems.items())}
     general = {s for s in longest if not any(s != t and s.startswith(t) for t in longest)}
     words = {f for f in strong if not f.endswith("*") and not any(f[:k] in general for k in PREFIXES)}
+
+    def weight(counts: tuple[float, float]) -> float:
+        ratio = math.log((counts[0] + 0.5) / (toxic + 1)) - math.log((counts[1] + 0.5) / (clean + 1))
+        return min(MOST_WEIGHT, max(LEAST_WEIGHT, ratio))
+
     fixed = counted.where(F.col("feature").isin(INSULTS.split())).collect()
     harmless = {r["feature"] for r in fixed if r["clean"] >= 5 and r["toxic"] < 0.5 * (r["toxic"] + r["clean"])}
-    return words | {f"{s}*" for s in general}, harmless
+    return {f: weight(once[f]) for f in words | {f"{s}*" for s in general}}, harmless
+
+
+def _train(matches: list[tuple[int, list[str], list[float]]]) -> tuple[dict, float]:
+    """The weights of patterns and the bias under which the labels (label, patterns, word weights) are likeliest.
+
+    A text's log odds are the bias and, for each match, log(1 + exp(word's weight + pattern's weight)):
+    the sum over the paths with and without it. Newton's method, drawn to the weights before labels.
+    """
+    names = list(PATTERNS)
+    start = np.array([BIAS, *PATTERNS.values()])
+    firm = np.array([FIRM_BIAS] + [FIRM] * len(names))
+    label = np.array([y for y, _, _ in matches], float)
+    text = np.repeat(np.arange(len(matches)), [len(p) for _, p, _ in matches])
+    kind = np.array([names.index(p) + 1 for _, found, _ in matches for p in found], int)
+    word = np.array([w for _, _, found in matches for w in found], float)
+    at = start.copy()
+    for _ in range(ROUNDS):
+        lifted = word + at[kind] if len(kind) else np.zeros(0)
+        odds = at[0] + np.bincount(text, np.logaddexp(0, lifted), len(matches))
+        chance = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
+        slope = np.zeros((len(matches), len(at)))
+        slope[:, 0] = 1
+        np.add.at(slope, (text, kind), 1 / (1 + np.exp(-lifted)))
+        ascent = slope.T @ (label - chance) - firm * (at - start)
+        bend = (slope * (chance * (1 - chance))[:, None]).T @ slope + np.diag(firm)
+        step = np.linalg.solve(bend, ascent)
+        at += step / max(1.0, np.abs(step).max())
+    return dict(zip(names, at[1:].tolist())), float(at[0])
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
@@ -284,46 +437,37 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
         return Model()
     learned, harmless = _learn_words(rows, counts[1], counts[0])
     model = Model(
-        frozenset(f for f in learned if not f.endswith("*")),
-        frozenset(f[:-1] for f in learned if f.endswith("*")),
+        {f: w for f, w in learned.items() if not f.endswith("*")},
+        {f[:-1]: w for f, w in learned.items() if f.endswith("*")},
         frozenset(harmless),
     )
 
     def patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        match = matcher(model)
+        lexicon, machine = Lexicon(model), grammar()
         for batch in batches:
-            found = [match(t) for t in batch.column(0).to_pylist()]
-            best = [model.verdict(f)[0] for f in found]
-            total = [min(sum(f.values()), MANY) for f in found]
-            columns = [pa.array(best, pa.string()), pa.array(total, pa.int32()), batch.column(1).cast(pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["p", "n", "y"])
-
-    tally = Counter()
-    for r in rows.mapInArrow(patterns, "p string, n int, y int").groupBy("p", "n", "y").count().collect():
-        for key in (r["p"], (r["p"], r["n"])):
-            tally[key, r["y"] == 1] += r["count"]
-
-    def chance(key, prior: float) -> float:
-        toxic, clean = tally[key, True], tally[key, False]
-        return (toxic + PRIOR_ROWS * prior) / (toxic + clean + PRIOR_ROWS)
-
-    pooled = {name: chance(name, prior) for name, prior in PATTERNS.items()}
-    odds = {name: _log_odds(p) for name, p in pooled.items()}
-    by_matches = {(name, n): _log_odds(chance((name, n), p)) for name, p in pooled.items() for n in range(MANY + 1)}
-    return replace(model, odds=odds, by_matches=by_matches)
-
+            found = [list(_matches(t, lexicon, machine)) for t in batch.column(0).to_pylist()]
+            columns = [
+                batch.column(1).cast(pa.int32()),
+                pa.array([[p for p, _ in f] for f in found], pa.list_(pa.string())),
+                pa.array([[w for _, w in f] for f in found], pa.list_(pa.float64())),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["y", "p", "w"])
 
-def _log_odds(p: float) -> float:
-    return math.log(p / (1 - p))
+    matched = rows.mapInArrow(patterns, "y int, p array<string>, w array<double>")
+    # Texts with the same matches are one row with a count; at most `limit` rows in all.
+    same = matched.groupBy("y", "p", "w").agg(F.count(F.lit(1)).alias("n")).orderBy("y", "p", "w").collect()
+    weights, bias = _train([(int(r["y"] == 1), r["p"], r["w"]) for r in same for _ in range(r["n"])])
+    return replace(model, weights=weights, bias=bias)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, score, predicted, pattern, n_matches) per row of `docs`.
 
-    Words become symbols of a lexicon transducer, clauses run through the composed grammar, and the
-    score is the chance of the strongest pattern found, given how many matches there are. A text
-    without a match, an empty text and a null text have the score of pattern `none`. Every row gives
-    one row, repeated and null ids included.
+    Words are read by a lexicon transducer over their characters, and clauses with an insult or a threat
+    run through the composed grammar. The log odds of a text are the bias and, for each such clause, the
+    log of the summed weights of all its paths, the one without a match having weight 0. `pattern` is the
+    commonest on the heaviest paths. A text without a match, an empty text and a null text have the odds
+    of the bias. Every row gives one row, repeated and null ids included.
     """
 
     def make():
@@ -331,13 +475,12 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
         def run(texts: list[str]) -> dict[str, list]:
             found = [match(t) for t in texts]
-            best, odds = zip(*(model.verdict(f) for f in found)) if found else ((), ())
-            chances = [1 / (1 + math.exp(-x)) for x in odds]
+            chances = [1 / (1 + math.exp(-min(max(f.odds, -700), 700))) for f in found]
             return {
                 "score": chances,
                 "predicted": [int(c >= 0.5) for c in chances],
-                "pattern": list(best),
-                "n_matches": [sum(f.values()) for f in found],
+                "pattern": [f.pattern for f in found],
+                "n_matches": [f.patterns.total() for f in found],
             }
 
         return run
@@ -355,7 +498,7 @@ def without_toxic(docs: DataFrame, model: Model, text_col: str = "text") -> Data
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         match = matcher(model)
         for batch in batches:
-            clean = [model.verdict(match(t or ""))[1] < 0 for t in batch.column(text_at).to_pylist()]
+            clean = [match(t or "").odds < 0 for t in batch.column(text_at).to_pylist()]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
