@@ -93,7 +93,10 @@ def cut_series(
     if at_most is not None and at_most <= rows:
         return _uncut(df, keys, order, kinds)
     per_key = store(per_key, "series_keys")
-    limit = per_key.selectExpr(f"greatest({rows}, CAST(ceil(sum(_n) / {split.max_chunks}) AS BIGINT))").first()[0]
+    most, total = per_key.agg(F.max("_n"), F.sum("_n")).first()
+    limit = max(rows, -(-(total or 0) // split.max_chunks))
+    if (most or 0) <= limit:
+        return _uncut(df, keys, order, kinds)
     large = (
         per_key.withColumn("_limit", F.lit(limit).cast("bigint"))
         .where("_n > _limit")
@@ -101,8 +104,6 @@ def cut_series(
             *[f"`{k}` AS `_l_{k}`" for k in keys], "_lo", "_limit", f"{_step('_lo', '_hi', split.slices)} AS _width"
         )
     )
-    if large.isEmpty():
-        return _uncut(df, keys, order, kinds)
 
     of_large = lean.join(F.broadcast(large), F.expr(_same(keys, "_l_"))).selectExpr("*", f"{_SLICE} AS _slice")
     slices = store(_count_slices(of_large, keys, list(totals)), "series_slices")
