@@ -151,7 +151,7 @@ def test_last_rows_are_ranked_before_a_key_is_gathered(spark, n):
     want = [r.seq for r in df.where("symbol = 'HOT'").orderBy(F.desc("ts"), F.desc("seq")).limit(n).collect()]
     assert sorted(r.seq for r in out.where("symbol = 'HOT'").collect()) == sorted(want)
     plan = S.last_rows(df, n, "symbol")._jdf.queryExecution().executedPlan().toString()
-    assert "WindowGroupLimit" in plan if n <= 1000 else "_part" in plan
+    assert "WindowGroupLimit" in plan if n <= 1000 else "_slice" in plan
 
 
 @pytest.mark.parametrize("kind, passes", [("even", 3), ("burst", 4)])
