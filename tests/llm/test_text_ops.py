@@ -346,12 +346,30 @@ def test_matches_of_a_clause_combine_into_its_paths():
     """What training takes for a clause's weight is the sum over its paths."""
     model = toxicity.Model()
     lexicon, machine = toxicity.Lexicon(model), toxicity.grammar()
-    for text in ("you moron and idiot kill them, he said not a loser", "not stupid or dumb, I will beat and hurt you", "trash trash trash"):
-        total, _, _ = toxicity.weigh(machine, [lexicon[w] for w in toxicity.WORD.findall(text)])
+    words = ["moron", "kill", "you", "not", "said", "word", "word", "trash"]
+    rng = random.Random(7)
+    clauses = [" ".join(rng.choices(words, k=rng.randrange(1, 25))) for _ in range(60)]
+    for text in ("you moron and idiot kill them, he said not a loser", "not stupid or dumb, I will beat and hurt you", *clauses):
+        total, _, _ = toxicity.weigh(machine, [lexicon.read(w) for w in toxicity.WORD.findall(text)])
         parts = [math.log1p(math.exp(w + model.weights[p])) for p, w in toxicity._matches(text, lexicon, machine)]
         assert abs(total - sum(parts)) < 1e-9
 
 
+def test_long_clauses_take_time_in_proportion():
+    model = toxicity.Model()
+    match, lexicon, machine = toxicity.matcher(model), toxicity.Lexicon(model), toxicity.grammar()
+
+    def seconds(copies):
+        text = "one two moron kill three four idiot said not " * copies
+        started = time.perf_counter()
+        assert len(list(toxicity._matches(text, lexicon, machine))) == 2 * copies
+        assert match(text).patterns.total() <= 2 * copies
+        return time.perf_counter() - started
+
+    seconds(10)
+    assert seconds(8000) < 30 * seconds(800)
+
+
 def test_training_reaches_the_top():
     rng = random.Random(2)
     rows = []
@@ -359,32 +377,36 @@ def test_training_reaches_the_top():
         found = [rng.choice(["insult", "targeted", "negated"]) for _ in range(rng.randrange(3))]
         toxic = any(p != "negated" for p in found) if rng.random() < 0.9 else rng.random() < 0.5
         rows.append((int(toxic), found, [rng.uniform(1, 4) for _ in found]))
-    weights, bias = toxicity._train(rows)
+    bias = -3.2
+    weights = toxicity._train(rows, bias)
+    before = {p: w + (bias - toxicity.BIAS if p in ("negated", "reported") else 0) for p, w in toxicity.PATTERNS.items()}
 
-    def likelihood(weights, bias):
-        total = -0.5 * toxicity.FIRM_BIAS * (bias - toxicity.BIAS) ** 2
-        total -= sum(0.5 * toxicity.FIRM * (weights[p] - w) ** 2 for p, w in toxicity.PATTERNS.items())
+    def likelihood(weights):
+        total = -sum(0.5 * toxicity.FIRM * (weights[p] - w) ** 2 for p, w in before.items())
         for y, found, words in rows:
             odds = bias + sum(math.log1p(math.exp(w + weights[p])) for p, w in zip(found, words))
             total -= math.log1p(math.exp(-odds if y else odds))
         return total
 
-    top = likelihood(weights, bias)
+    top = likelihood(weights)
     for p in weights:
         for step in (-0.02, 0.02):
-            assert likelihood(weights | {p: weights[p] + step}, bias) < top
-    assert max(likelihood(weights, bias + s) for s in (-0.02, 0.02)) < top
+            assert likelihood(weights | {p: weights[p] + step}) < top
     assert weights["negated"] < weights["insult"] and weights["threat"] == toxicity.PATTERNS["threat"]
-    assert toxicity._train([(0, [], [])])[0] == toxicity.PATTERNS
+    assert toxicity._train([], toxicity.BIAS) == toxicity.PATTERNS
 
 
 def test_lexicon_reads_characters():
     model = toxicity.Model({"blorp": 3.0}, {"zork": 2.0}, frozenset({"scum"}))
     lexicon = toxicity.Lexicon(model)
     other = (toxicity.OTHER, 0.0)
-    assert lexicon["blorp"] == [("I", 3.0), other] and lexicon["blorps"] == lexicon["scum"] == lexicon["zor"] == lexicon[""] == [other]
-    assert lexicon["zork"] == lexicon["zorkano"] == [("I", 2.0), other]
-    assert lexicon["not"] == [("N", 0.0)] and lexicon["kill"] == [("T", toxicity.FIXED_THREAT), other]
+    for word in ("blorps", "scum", "zor", "", "x", "blo"):
+        assert lexicon.read(word) == [other] and not lexicon.speaks({word})
+    assert lexicon.read("blorp") == [("I", 3.0 - model.bias), other]
+    assert lexicon.read("zork") == lexicon.read("zorkano") == [("I", 2.0 - model.bias), other]
+    assert lexicon.read("not") == [("N", 0.0)] and lexicon.read("kill") == [("T", toxicity.FIXED_THREAT - model.bias), other]
+    for _ in range(2):
+        assert lexicon.speaks({"word", "zorkus", "not"}) and not lexicon.speaks({"word", "not", "you"})
 
 
 def test_learned_lexicon_finds_more_than_fixed_words(spark, sf_dir):

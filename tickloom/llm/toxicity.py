@@ -25,8 +25,8 @@ PREFIXES = (4, 5, 6, 7, 8)
 LEAST_SHARE, LEVEL, FEATURES = 0.8, 0.05, 6
 # Counts that a task holds before it hands them on.
 HELD_COUNTS = 200_000
-# Words whose class a task remembers.
-CACHED_WORDS = 150_000
+# Words that a task remembers as neither insult nor threat: those that come first, the frequent ones among them.
+CACHED_WORDS = 300_000
 
 # Word classes that hold without labels.
 INSULTS = "idiot idiots moron morons stupid pathetic worthless trash scum clown loser losers disgusting dumb imbecile jerk"
@@ -44,10 +44,12 @@ SYMBOLS = "ITYNR-"
 # What a matched pattern adds to the weight of its word, and the log odds of a text without any, before a
 # label is seen; how firmly (as a precision) labels have to argue against them.
 PATTERNS = {"insult": 0.0, "targeted": 1.0, "threat": 1.0, "negated": -6.0, "reported": -5.0}
-BIAS, FIRM, FIRM_BIAS = -2.9, 0.25, 0.01
-# Weights of fixed words that no label tells more about, and the bounds of learned ones.
-FIXED_INSULT, FIXED_THREAT, LEAST_WEIGHT, MOST_WEIGHT = 5.0, 3.0, 0.5, 9.0
+BIAS, LEAST_BIAS, FIRM = -2.9, -4.0, 0.25
+# Log odds of a text with a fixed word that no label tells more about, and the bounds of learned ones.
+FIXED_INSULT, FIXED_THREAT, LEAST_ODDS, MOST_ODDS = 2.1, 0.1, 0.5, 9.0
 ROUNDS = 40
+# Words that the patterns look at on each side, at least.
+REACH = 4
 
 
 @dataclass(frozen=True)
@@ -158,31 +160,37 @@ Readings = list[list[tuple[str, float]]]
 def weigh(machine: Transducer, readings: Readings) -> tuple[float, float, tuple]:
     """(log of the sum of all paths' weights, the heaviest path's weight, its outputs) over words that each
     have any number of (class, weight)."""
-    held = {machine.start: (0.0, 0.0, ())}
+    held = {machine.start: (0.0, 0.0, None)}
     for word in readings:
         after: dict = {}
         for state, (total, best, outputs) in held.items():
             for symbol, weight in word:
                 for nxt, out, w in machine.step(state, symbol):
                     w += weight
-                    made = (total + w, best + w, (*outputs, out) if out in PATTERNS else outputs)
+                    made = (total + w, best + w, (outputs, out) if out in PATTERNS else outputs)
                     old = after.get(nxt)
                     if old is not None:
                         high, low = max(old[0], made[0]), min(old[0], made[0])
-                        made = (high + math.log1p(math.exp(low - high)), *max(old[1:], made[1:]))
+                        made = (high + math.log1p(math.exp(low - high)), *(old if old[1] >= made[1] else made)[1:])
                     after[nxt] = made
         held = after
     ends = [found for state, found in held.items() if state not in machine.open]
     if not ends:
         return -math.inf, -math.inf, ()
     high = max(e[0] for e in ends)
-    return high + math.log(sum(math.exp(e[0] - high) for e in ends)), *max(e[1:] for e in ends)
+    _, best, outputs = max(ends, key=lambda e: e[1])
+    named = []
+    while outputs is not None:
+        outputs, out = outputs
+        named.append(out)
+    return high + math.log(sum(math.exp(e[0] - high) for e in ends)), best, tuple(named[::-1])
 
 
 @dataclass(frozen=True)
 class Model:
-    """Learned words and beginnings of insults with their weights, fixed insults taken out, the weights of
-    patterns, and the log odds of a text without any."""
+    """Learned words and beginnings of insults with the log odds of a text that has one, fixed insults taken
+    out, the weights of patterns, and the log odds of a text without any match. A word weighs the difference
+    of both odds, so that one match gives a text the odds of its word."""
 
     words: dict = field(default_factory=dict)
     beginnings: dict = field(default_factory=dict)
@@ -191,8 +199,8 @@ class Model:
     bias: float = BIAS
 
 
-class Lexicon(dict):
-    """The readings of each word, found once: what a transducer over its characters gives.
+class Lexicon:
+    """The readings of words: what a transducer over their characters gives.
 
     Its arcs are a trie. At the end of a word, the node gives the classes of that very word; a node where
     a beginning ends gives its class whatever characters follow. Insults and threats may also be read as
@@ -200,22 +208,23 @@ class Lexicon(dict):
     """
 
     def __init__(self, model: Model):
-        super().__init__()
         self.arcs: dict[tuple[int, str], int] = {}
         self.whole: dict[int, list[tuple[str, float]]] = {}
         self.begun: dict[int, list[tuple[str, float]]] = {}
         self.nodes = 1
+        self.heads: set[str] = set()
+        self.quiet: set[str] = set()
         for symbol, words in (("R", REPORTS), ("N", NEGATIONS), ("Y", TARGETS)):
             for word in words.split():
                 self.add(word, symbol, 0.0, self.whole)
         for word in THREATS.split():
-            self.add(word, "T", FIXED_THREAT, self.whole)
+            self.add(word, "T", FIXED_THREAT - model.bias, self.whole)
         fixed = {w: FIXED_INSULT for w in INSULTS.split() if w not in model.harmless}
         fixed = {w: x for w, x in fixed.items() if not any(w[:k] in model.beginnings for k in PREFIXES)}
-        for word, weight in (fixed | model.words).items():
-            self.add(word, "I", weight, self.whole)
-        for start, weight in model.beginnings.items():
-            self.add(start, "I", weight, self.begun)
+        for word, odds in (fixed | model.words).items():
+            self.add(word, "I", odds - model.bias, self.whole)
+        for start, odds in model.beginnings.items():
+            self.add(start, "I", odds - model.bias, self.begun)
 
     def add(self, letters: str, symbol: str, weight: float, ends: dict) -> None:
         node = 0
@@ -223,10 +232,11 @@ class Lexicon(dict):
             node = self.arcs.setdefault((node, letter), self.nodes)
             self.nodes = max(self.nodes, node + 1)
         ends.setdefault(node, []).append((symbol, weight))
+        self.heads.add(letters[:3])
 
-    def __missing__(self, word: str) -> list[tuple[str, float]]:
-        if len(self) > CACHED_WORDS:
-            self.clear()
+    def read(self, word: str) -> list[tuple[str, float]]:
+        if word[:3] not in self.heads:  # no arcs lead even that far
+            return [(OTHER, 0.0)]
         node, found = 0, []
         for letter in word:
             node = self.arcs.get((node, letter), -1)
@@ -236,8 +246,17 @@ class Lexicon(dict):
         else:
             found += self.whole.get(node, ())
         sure = [r for r in found if r[0] in "YNR"]
-        self[word] = readings = sure[:1] or [*found, (OTHER, 0.0)]
-        return readings
+        return sure[:1] or [*found, (OTHER, 0.0)]
+
+    def speaks(self, words: set[str]) -> bool:
+        """Whether any of the words can be an insult or a threat."""
+        new = words - self.quiet
+        if not new:
+            return False
+        loud = {w for w in new if w[:3] in self.heads and len(self.read(w)) > 1}
+        if len(self.quiet) < CACHED_WORDS:
+            self.quiet |= new - loud
+        return bool(loud)
 
 
 @dataclass(frozen=True)
@@ -255,11 +274,11 @@ class Found:
 def _clauses(text: str, lexicon: Lexicon) -> Iterator[Readings]:
     """The clauses that have an insult or a threat."""
     text = text.lower().replace("’", "'")
-    if max(map(len, map(lexicon.__getitem__, WORD.findall(text))), default=0) > 1:
+    if lexicon.speaks(set(WORD.findall(text))):
         for clause in CLAUSE_END.split(text):
-            readings = [lexicon[w] for w in WORD.findall(clause)]
-            if max(map(len, readings), default=0) > 1:
-                yield readings
+            words = WORD.findall(clause)
+            if lexicon.speaks(set(words)):
+                yield [lexicon.read(w) for w in words]
 
 
 def matcher(model: Model, without: Sequence[str] = ()) -> Callable[[str], Found]:
@@ -278,13 +297,20 @@ def matcher(model: Model, without: Sequence[str] = ()) -> Callable[[str], Found]
 
 
 def _matches(text: str, lexicon: Lexicon, machine: Transducer) -> Iterator[tuple[str, float]]:
-    """(pattern, word's weight) of each insult and threat; the paths of a clause are their combinations."""
+    """(pattern, word's weight) of each insult and threat; the paths of a clause are their combinations.
+
+    What a word is named depends on the words within REACH, and on whether one of reporting came before.
+    """
     for readings in _clauses(text, lexicon):
         plain = [r if len(r) == 1 else [(OTHER, 0.0)] for r in readings]
+        reported: list = []
         for k, reading in enumerate(readings):
+            if k > REACH and plain[k - REACH - 1][0][0] == "R":
+                reported = [plain[k - REACH - 1]]
             for symbol, weight in reading if len(reading) > 1 else ():
                 if symbol != OTHER:
-                    _, _, outputs = weigh(machine, [*plain[:k], [(symbol, weight)], *plain[k + 1 :]])
+                    near = [*reported, *plain[max(0, k - REACH) : k], [(symbol, weight)], *plain[k + 1 : k + REACH + 1]]
+                    _, _, outputs = weigh(machine, near)
                     yield from ((p, weight) for p in outputs)
 
 
@@ -331,12 +357,12 @@ def _learned(unlikely: dict[str, float], tried: int) -> set[str]:
 
 
 def _learn_words(rows: DataFrame, toxic: int, clean: int) -> tuple[dict, set]:
-    """Words and beginnings (`stem*`) that mark toxic rows, with their weights, and fixed insults that do not.
+    """Words and beginnings (`stem*`) that mark toxic rows, with the log odds of rows that have them, and fixed
+    insults that do not.
 
     Documents are counted for each word and each beginning; what chance could explain, given how many
     were tried, is left out. Near copies would count many times for one text, so a word must also
-    reach the level when each neighbourhood (word before, word after) counts once. The weight is the log of
-    how much more often toxic texts have it than others.
+    reach the level when each neighbourhood (word before, word after) counts once.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,41 +415,39 @@ def _learn_words(rows: DataFrame, toxic: int, clean: int) -> tuple[dict, set]:
     general = {s for s in longest if not any(s != t and s.startswith(t) for t in longest)}
     words = {f for f in strong if not f.endswith("*") and not any(f[:k] in general for k in PREFIXES)}
 
-    def weight(counts: tuple[float, float]) -> float:
-        ratio = math.log((counts[0] + 0.5) / (toxic + 1)) - math.log((counts[1] + 0.5) / (clean + 1))
-        return min(MOST_WEIGHT, max(LEAST_WEIGHT, ratio))
+    def odds(counts: tuple[float, float]) -> float:
+        return min(MOST_ODDS, max(LEAST_ODDS, math.log((counts[0] + 0.5) / (counts[1] + 0.5))))
 
     fixed = counted.where(F.col("feature").isin(INSULTS.split())).collect()
     harmless = {r["feature"] for r in fixed if r["clean"] >= 5 and r["toxic"] < 0.5 * (r["toxic"] + r["clean"])}
-    return {f: weight(once[f]) for f in words | {f"{s}*" for s in general}}, harmless
+    return {f: odds(once[f]) for f in words | {f"{s}*" for s in general}}, harmless
 
 
-def _train(matches: list[tuple[int, list[str], list[float]]]) -> tuple[dict, float]:
-    """The weights of patterns and the bias under which the labels (label, patterns, word weights) are likeliest.
+def _train(matches: list[tuple[int, list[str], list[float]]], bias: float) -> dict:
+    """The weights of patterns under which the labels (label, patterns, word weights) are likeliest.
 
     A text's log odds are the bias and, for each match, log(1 + exp(word's weight + pattern's weight)):
-    the sum over the paths with and without it. Newton's method, drawn to the weights before labels.
+    the sum over the paths with and without it. Newton's method, drawn to the weights before labels; where
+    words weigh more, what takes their weight back does too.
     """
     names = list(PATTERNS)
-    start = np.array([BIAS, *PATTERNS.values()])
-    firm = np.array([FIRM_BIAS] + [FIRM] * len(names))
+    start = np.array([w + (bias - BIAS if p in ("negated", "reported") else 0.0) for p, w in PATTERNS.items()])
     label = np.array([y for y, _, _ in matches], float)
     text = np.repeat(np.arange(len(matches)), [len(p) for _, p, _ in matches])
-    kind = np.array([names.index(p) + 1 for _, found, _ in matches for p in found], int)
+    kind = np.array([names.index(p) for _, found, _ in matches for p in found], int)
     word = np.array([w for _, _, found in matches for w in found], float)
     at = start.copy()
-    for _ in range(ROUNDS):
-        lifted = word + at[kind] if len(kind) else np.zeros(0)
-        odds = at[0] + np.bincount(text, np.logaddexp(0, lifted), len(matches))
+    for _ in range(ROUNDS if len(kind) else 0):
+        lifted = word + at[kind]
+        odds = bias + np.bincount(text, np.logaddexp(0, lifted), len(matches))
         chance = 1 / (1 + np.exp(-np.clip(odds, -500, 500)))
         slope = np.zeros((len(matches), len(at)))
-        slope[:, 0] = 1
         np.add.at(slope, (text, kind), 1 / (1 + np.exp(-lifted)))
-        ascent = slope.T @ (label - chance) - firm * (at - start)
-        bend = (slope * (chance * (1 - chance))[:, None]).T @ slope + np.diag(firm)
+        ascent = slope.T @ (label - chance) - FIRM * (at - start)
+        bend = (slope * (chance * (1 - chance))[:, None]).T @ slope + FIRM * np.eye(len(at))
         step = np.linalg.solve(bend, ascent)
         at += step / max(1.0, np.abs(step).max())
-    return dict(zip(names, at[1:].tolist())), float(at[0])
+    return dict(zip(names, at.tolist()))
 
 
 def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
@@ -449,15 +473,16 @@ def fit(docs: DataFrame, labels: DataFrame, limit: int = MAX_LABELLED) -> Model:
             columns = [
                 batch.column(1).cast(pa.int32()),
                 pa.array([[p for p, _ in f] for f in found], pa.list_(pa.string())),
-                pa.array([[w for _, w in f] for f in found], pa.list_(pa.float64())),
+                pa.array([[w + model.bias for _, w in f] for f in found], pa.list_(pa.float64())),
             ]
             yield pa.RecordBatch.from_arrays(columns, names=["y", "p", "w"])
 
-    matched = rows.mapInArrow(patterns, "y int, p array<string>, w array<double>")
-    # Texts with the same matches are one row with a count; at most `limit` rows in all.
-    same = matched.groupBy("y", "p", "w").agg(F.count(F.lit(1)).alias("n")).orderBy("y", "p", "w").collect()
-    weights, bias = _train([(int(r["y"] == 1), r["p"], r["w"]) for r in same for _ in range(r["n"])])
-    return replace(model, weights=weights, bias=bias)
+    # One row per labelled text, of which there are `limit` at most.
+    matched = rows.mapInArrow(patterns, "y int, p array<string>, w array<double>").orderBy("y", "p", "w").collect()
+    quiet = Counter(r["y"] == 1 for r in matched if not r["p"])
+    bias = max(LEAST_BIAS, min(BIAS, math.log((quiet[True] + 0.5) / (quiet[False] + 0.5))))
+    texts = [(int(r["y"] == 1), r["p"], [odds - bias for odds in r["w"]]) for r in matched if r["p"]]
+    return replace(model, weights=_train(texts, bias), bias=bias)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
