@@ -91,3 +91,17 @@ def test_the_fold_runs_nothing_while_it_is_built(spark):
         assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("fold")) == list(before)
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_subscribed_never_broadcasts_the_feed(spark):
+    """Also where the estimate says that the feed is the smaller side."""
+    from tickloom.operators import ingest as I
+    from tickloom.operators.subscriptions import subscribed
+
+    text = '{"data":[{"service":"S","timestamp":1,"content":[{"key":"A","3":2.5},{"key":"B","3":1.5}]}]}'
+    content = I.explode_content(I.route(I.parse_envelopes(spark.createDataFrame([(text,)] * 3, "value string"))))
+    rows = spark.range(50_000).selectExpr("'S' AS service", "if(id = 0, 'A', concat('K', id)) AS key", "array('3') AS fields")
+    feed = subscribed(content, rows)
+    assert [tuple(r) for r in feed.select("symbol", "lastPrice").collect()] == [("A", 2.5)] * 3
+    plan = feed._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastExchange" not in plan

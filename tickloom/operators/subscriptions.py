@@ -190,10 +190,12 @@ def subscribed_as_of(content: DataFrame, log: DataFrame, ts: str = "ts", days: i
 def subscribed(content: DataFrame, state: DataFrame) -> DataFrame:
     """Feed items that a subscription state asks for, each with the fields its key asks for.
 
-    `content` comes from `ingest.explode_content`, `state` from `subscription_state`. Adaptive execution
-    broadcasts a small state and splits the items of a busy key. Fields that were not asked for are null.
+    `content` comes from `ingest.explode_content`, `state` from `subscription_state`. Items are parsed from
+    text, which Spark's estimate takes for smaller than they are, so the join is hinted: items are never
+    broadcast, a state only if the caller says so. Adaptive execution splits the items of a busy key. Fields
+    that were not asked for are null.
     """
-    items = content.withColumn("key", F.col("content.key"))
+    items = content.withColumn("key", F.col("content.key")).hint("merge")
     kept = items.join(state, ["service", "key"])
     fields = [
         F.when(F.array_contains("fields", i), F.col(f"content.`{i}`")).alias(name) for i, name in FIELD_NAMES.items()
