@@ -329,3 +329,27 @@ def test_tick_stream_of_more_files_with_null_ids(spark, monkeypatch, tmp_path):
     start_batches(stream, receive, str(tmp_path / "cp"), trigger={"availableNow": True}).awaitTermination()
     assert len(seen) >= 6 and sorted(p for part in seen for _, p in part) == [float(k) for k in range(1, 301)]
     assert all(a[-1][0] <= b[0][0] for a, b in zip(seen, seen[1:]))
+
+
+def test_a_micro_batch_takes_as_many_files_as_its_rows_need(spark, monkeypatch, ticks):
+    monkeypatch.setattr(A, "PART_ROWS", 100)
+    tasks, prices = [], []
+
+    def receive(batch, batch_id):
+        tasks.append(batch.rdd.getNumPartitions())
+        prices.extend(r["seq"] for r in batch.collect())
+
+    stream = A.file_stream(spark, ticks, "seq")
+    start_batches(stream, receive, scratch_dir(spark, "cp"), trigger={"availableNow": True}).awaitTermination()
+    assert len(tasks) >= A.STREAM_FILES and min(tasks[: A.STREAM_FILES]) > 1
+    assert sorted(prices) == sorted(r["seq"] for r in ticks.select("seq").collect())
+
+
+def test_lines_are_made_once(spark):
+    from tickloom.sinks.points import to_lines
+
+    rows = spark.createDataFrame([("A", 1.5, None), ("A", 1.5, 0), ("A", None, 0), ("A", float("nan"), 0)], "symbol string, price double, at int")
+    made = to_lines(rows.withColumn("ts", F.timestamp_seconds("at")), "t", ["price"], time="ts")
+    assert [r.line for r in made.collect()] == ["t,stock=A price=1.5 0"]
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    assert "concat_ws" not in "".join(part for part in plan.split("\n") if "Filter" in part)

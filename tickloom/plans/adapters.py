@@ -82,31 +82,35 @@ def odd_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ticks(spark, sf_dir).withColumn("close", close)
 
 
-# Files of a stream, at least, and the rows of each, about: more rows give more files.
-STREAM_FILES, FILE_ROWS = 4, 1_000_000
+# Micro-batches of a stream, at least; the rows of each, about, and of each of its files: more rows give
+# more files, then more micro-batches.
+STREAM_FILES, FILE_ROWS, PART_ROWS = 4, 4_000_000, 250_000
 
 
 def file_stream(spark: SparkSession, rows: DataFrame, *order: str, files: int | None = None) -> DataFrame:
-    """Rows as a file stream of STREAM_FILES or more micro-batches, in this order.
+    """Rows as a file stream of STREAM_FILES or more micro-batches (or `files`), in this order.
 
-    Each file is one task's and one micro-batch's work, so their number grows with the rows. The rows
-    are read once to be counted and once to be written, by ranges; a stream takes files by age, so they
-    get times in order.
+    Each file is one task's work, and a micro-batch takes as many as it needs for its rows, so what a
+    micro-batch costs besides its rows is paid once for many of them. The rows are read once to be counted
+    and once to be written, by ranges; a stream takes files by age, so they get times in order.
     """
     path = scratch_dir(spark, "stream_files")
-    files = files or max(STREAM_FILES, -(-rows.count() // FILE_ROWS))
-    rows.repartitionByRange(files, *order).sortWithinPartitions(*order).write.parquet(path)
+    total = rows.count()
+    batches = files or max(STREAM_FILES, -(-total // FILE_ROWS))
+    each = max(1, -(-total // (batches * PART_ROWS)))
+    rows.repartitionByRange(batches * each, *order).sortWithinPartitions(*order).write.parquet(path)
     context = spark.sparkContext
     folder = context._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(context._jsc.hadoopConfiguration())
     parts = sorted(str(f.getPath()) for f in system.listStatus(folder) if f.getPath().getName().startswith("part-"))
     for i, part in enumerate(parts):
         system.setTimes(context._jvm.org.apache.hadoop.fs.Path(part), 1_700_000_000_000 + 1000 * i, -1)
-    return stream_parquet(spark, path, rows.schema)
+    # Ranges without rows have no file.
+    return stream_parquet(spark, path, rows.schema, max(1, len(parts) // batches))
 
 
 def tick_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks as a file stream, the oldest first; those without an id are in the first file."""
+    """Ticks as a file stream, the oldest first; those without an id are in the first micro-batch."""
     return file_stream(spark, ticks(spark, sf_dir), "seq")
 
 

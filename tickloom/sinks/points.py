@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions.columns import line_protocol
@@ -37,16 +37,24 @@ def to_lines(
     tags: Mapping[str, str] = BAR_TAGS,
     time: str = "date",
 ) -> DataFrame:
-    """One line-protocol text per bar in column `line`; `lines_rejects` has the bars that give none."""
+    """One line-protocol text per bar in column `line`; `lines_rejects` has the bars that give none.
+
+    Those are left out before the text is made: a filter on the text would make it twice.
+    """
     line = line_protocol(measurement, {k: F.col(c) for k, c in tags.items()}, {f: F.col(f) for f in fields}, F.col(time))
-    return bars.select(line.alias("line")).where(F.col("line").isNotNull())
+    written = _reason(fields, time).isNull() & F.col(time).cast("timestamp").isNotNull()
+    return bars.where(written).select(line.alias("line"))
+
+
+def _reason(fields: Sequence[str], time: str) -> Column:
+    """Why a bar gives no line; null when it does."""
+    value = F.coalesce(*[F.when(F.abs(F.col(f).cast("double")) < float("inf"), F.col(f).cast("double")) for f in fields])
+    return F.when(F.col(time).isNull(), "no_time").when(value.isNull(), "no_value")
 
 
 def lines_rejects(bars: DataFrame, fields: Sequence[str] = BAR_FIELDS, time: str = "date") -> DataFrame:
     """The bars that give no line, with `reject_reason`: they have no time, or no field with a finite value."""
-    value = F.coalesce(*[F.when(F.abs(F.col(f).cast("double")) < float("inf"), F.col(f).cast("double")) for f in fields])
-    reason = F.when(F.col(time).isNull(), "no_time").when(value.isNull(), "no_value")
-    return bars.withColumn("reject_reason", reason).where(F.col("reject_reason").isNotNull())
+    return bars.withColumn("reject_reason", _reason(fields, time)).where(F.col("reject_reason").isNotNull())
 
 
 def write_lines(path: str, measurement: str, **columns) -> Callable[[DataFrame, int], None]:
