@@ -353,3 +353,15 @@ def test_lines_are_made_once(spark):
     assert [r.line for r in made.collect()] == ["t,stock=A price=1.5 0"]
     plan = made._jdf.queryExecution().optimizedPlan().toString()
     assert "concat_ws" not in "".join(part for part in plan.split("\n") if "Filter" in part)
+
+
+def test_updates_are_aggregated_once(spark, monkeypatch, ticks, tmp_path):
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    from tickloom.streaming.run import latest_of_updates
+
+    src = str(tmp_path / "in")
+    feed(ticks, src, 2)
+    monkeypatch.setattr(Classic, "isEmpty", lambda batch: pytest.fail("runs the aggregate once more"))
+    got = latest_of_updates(spark, ohlcv_bars_stream(source(spark, ticks, src)), ["symbol", "date"], "updates", 2)
+    columns = ("symbol", "open", "high", "low", "close", "volume", "trades")
+    assert answers(got, *columns) == answers(B.ohlcv_bars(ticks), *columns)

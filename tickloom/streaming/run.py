@@ -66,11 +66,14 @@ def latest_of_updates(
     """Run an aggregate in update mode and return the last update of each key.
 
     Unlike append mode this also gives the groups that no watermark has closed yet. A micro-batch
-    that is repeated replaces its own updates.
+    that is repeated replaces its own updates. An empty one is written too, as seeing that it is empty
+    would run the aggregate once more.
     """
     path = scratch_dir(spark, label)
     receiver = write_parquet(path + "/out")
-    query = start_batches(df, receiver, path + "/checkpoint", mode="update", trigger={"availableNow": True})
+    query = start_batches(
+        df, receiver, path + "/checkpoint", mode="update", trigger={"availableNow": True}, skip_empty=False
+    )
     query.awaitTermination()
     require_batches(query, least_batches)
     rest = [c for c in df.columns if c not in keys]
