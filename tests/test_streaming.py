@@ -365,3 +365,27 @@ def test_updates_are_aggregated_once(spark, monkeypatch, ticks, tmp_path):
     got = latest_of_updates(spark, ohlcv_bars_stream(source(spark, ticks, src)), ["symbol", "date"], "updates", 2)
     columns = ("symbol", "open", "high", "low", "close", "volume", "trades")
     assert answers(got, *columns) == answers(B.ohlcv_bars(ticks), *columns)
+
+
+def test_carried_rows_are_written_by_a_task_per_core(spark, tmp_path, ticks):
+    from tickloom.streaming.carried import carry_studies
+
+    partitions = []
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        write = lambda rows, batch_id: partitions.append(rows.rdd.getNumPartitions())
+        carry_studies([T.macd()], str(tmp_path / "tail"), write)(ticks.select("symbol", "ts", "seq", "close"), 0)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert partitions[0] <= spark.sparkContext.defaultParallelism
+
+
+def test_keys_are_moved_once(spark):
+    from tickloom.streaming.state import of_keys
+
+    rows, others = (spark.createDataFrame([(k,) for k in ks], "symbol string") for ks in (["A", "B", None], ["A", "A", None]))
+    for how, want in (("left_semi", ["A", None]), ("left_anti", ["B"])):
+        found = of_keys(rows, others, ["symbol"], how)
+        assert sorted((r.symbol for r in found.collect()), key=str) == sorted(want, key=str)
+        assert "Aggregate" in found._jdf.queryExecution().optimizedPlan().toString()

@@ -63,10 +63,12 @@ def carry_studies(
                 else:
                     rows_in_turn = rows
                 studied = with_studies(rows_in_turn, studies, keys, turn, split, most).persist()
-                write(studied.where(~F.col(OLD)).drop(OLD, NEW, TURN, *seeds), batch_id)
+                # Most of its partitions are empty where symbols are few; the kept rows are read by a task per core.
+                dealt = studied.coalesce(batch.sparkSession.sparkContext.defaultParallelism)
+                write(dealt.where(~F.col(OLD)).drop(OLD, NEW, TURN, *seeds), batch_id)
                 if not carried:
                     return
-                tail = last_rows(studied, carried, keys, turn)
+                tail = last_rows(dealt, carried, keys, turn)
                 if seeds and carried > 1:
                     place = F.row_number().over(Window.partitionBy(*names).orderBy(*[F.col(c).desc() for c in turn]))
                     tail = tail.withColumn("_place", place).withColumns({c: F.when(F.col("_place") == 1, F.col(c)) for c in seeds})

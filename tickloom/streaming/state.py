@@ -22,8 +22,12 @@ def matches(names: Sequence[str], prefix: str) -> str:
 
 
 def of_keys(rows: DataFrame, others: DataFrame, names: Sequence[str], how: str) -> DataFrame:
-    """The rows whose keys `others` has ('left_semi') or lacks ('left_anti'); nulls are values."""
-    return rows.join(others.select(*[F.col(k).alias(f"_k_{k}") for k in names]), F.expr(matches(names, "_k_")), how)
+    """The rows whose keys `others` has ('left_semi') or lacks ('left_anti'); nulls are values.
+
+    Each key is moved once, however many rows of `others` have it.
+    """
+    known = others.select(*[F.col(k).alias(f"_k_{k}") for k in names]).distinct()
+    return rows.join(known, F.expr(matches(names, "_k_")), how)
 
 
 def in_turn(rows: DataFrame, names: Sequence[str], time: str, few: bool) -> DataFrame:
